@@ -22,7 +22,7 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 
 def _norm(v):
-    if v is None:
+    if v is None or v is pd.NA or v is pd.NaT:
         return None
     if isinstance(v, float):
         if math.isnan(v):
@@ -35,6 +35,9 @@ def _norm(v):
             pass
     if isinstance(v, pd.Timestamp):
         return v.to_pydatetime()
+    if type(v).__name__ == "date":
+        import datetime as _dt
+        return _dt.datetime(v.year, v.month, v.day)
     if isinstance(v, (list, tuple)):
         return tuple(_norm(x) for x in v)
     return v
