@@ -103,4 +103,4 @@ def _load_all() -> None:
     if _LOADED:
         return
     _LOADED = True
-    from wattlake.plans import q_core, q_profile  # noqa: F401
+    from wattlake.plans import q_core, q_io, q_profile  # noqa: F401
