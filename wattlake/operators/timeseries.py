@@ -62,12 +62,28 @@ def assert_unique(df: DataFrame, keys: Sequence[str]) -> None:
         raise ValueError(f"{dup} duplicate keys on {list(keys)}; cannot reindex")
 
 
+def unique_or_fail(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows of ``df``, failing the job if any key repeats.  The check is
+    part of the same plan (a grouped count with ``assert_true``), so it
+    costs a shuffle on the keys but no separate job."""
+    keys = list(keys)
+    others = [c for c in df.columns if c not in keys]
+    g = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"),
+                              *[F.first(c).alias(c) for c in others])
+    msg = f"duplicate keys on {keys}; cannot reindex"
+    return g.where(F.assert_true(F.col("__n") == 1, msg).isNull()).select(*df.columns)
+
+
 def reindex_time(df: DataFrame, start, end, site_col: str = "site_id", time_col: str = "timestamp",
-                 check_unique: bool = True) -> DataFrame:
+                 check_unique: bool | str = "plan") -> DataFrame:
     """Left-join the data onto the complete site x hour grid: missing hours
-    become NULL rows and rows outside [start, end] are dropped."""
-    if check_unique:
+    become NULL rows and rows outside [start, end] are dropped.  Duplicate
+    (site, hour) keys are an error: ``check_unique='plan'`` fails inside the
+    query, ``True`` runs a separate check job first, ``False`` skips it."""
+    if check_unique is True:
         assert_unique(df, [site_col, time_col])
+    elif check_unique == "plan":
+        df = unique_or_fail(df, [site_col, time_col])
     grid = site_hour_grid(df, start, end, site_col, time_col)
     return grid.join(df, [site_col, time_col], "left")
 
@@ -79,47 +95,67 @@ def _w(by: Sequence[str], order: str):
     return Window.partitionBy(*by).orderBy(order)
 
 
+def _running(by: Sequence[str], order: str, descending: bool = False):
+    """Running frame (unbounded preceding .. current row).  A backward look
+    is the same running frame over the reversed order: Spark evaluates a
+    running frame incrementally (linear per partition), whereas a frame
+    ending at "unbounded following" is re-aggregated for every row."""
+    o = F.col(order).desc() if descending else F.col(order).asc()
+    return Window.partitionBy(*by).orderBy(o).rowsBetween(Window.unboundedPreceding, 0)
+
+
 def forward_fill(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ("site_id",),
                  order: str = "timestamp") -> DataFrame:
-    w = _w(by, order).rowsBetween(Window.unboundedPreceding, 0)
+    w = _running(by, order)
     return df.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in cols})
 
 
 def backward_fill(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ("site_id",),
                   order: str = "timestamp") -> DataFrame:
-    w = _w(by, order).rowsBetween(0, Window.unboundedFollowing)
-    return df.withColumns({c: F.first(c, ignorenulls=True).over(w) for c in cols})
+    w = _running(by, order, descending=True)
+    return df.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in cols})
 
 
 def ffill_bfill(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ("site_id",),
                 order: str = "timestamp") -> DataFrame:
     """Forward fill, then backward fill what is still missing at the start."""
-    wp = _w(by, order).rowsBetween(Window.unboundedPreceding, 0)
-    wn = _w(by, order).rowsBetween(0, Window.unboundedFollowing)
-    return df.withColumns({c: F.coalesce(F.last(c, ignorenulls=True).over(wp),
-                                         F.first(c, ignorenulls=True).over(wn)) for c in cols})
+    cols = list(cols)
+    fw = df.withColumns({f"__f_{c}": F.last(c, ignorenulls=True).over(_running(by, order)) for c in cols})
+    bw = fw.withColumns({f"__b_{c}": F.last(c, ignorenulls=True).over(_running(by, order, True))
+                         for c in cols})
+    return (bw.withColumns({c: F.coalesce(F.col(f"__f_{c}"), F.col(f"__b_{c}")) for c in cols})
+            .drop(*[f"__f_{c}" for c in cols], *[f"__b_{c}" for c in cols]))
 
 
 def interpolate_linear(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ("site_id",),
                        order: str = "timestamp") -> DataFrame:
     """Linear interpolation by row position within each group; leading and
-    trailing gaps take the nearest known value; all-null groups stay null."""
+    trailing gaps take the nearest known value; all-null groups stay null.
+
+    Three window passes over one partitioning: row position, previous known
+    (value, position) on the ascending running frame, next known on the
+    descending running frame; then plain arithmetic."""
+    cols = list(cols)
     pos = "__pos"
     d = df.withColumn(pos, F.row_number().over(_w(by, order)))
-    wp = _w(by, order).rowsBetween(Window.unboundedPreceding, 0)
-    wn = _w(by, order).rowsBetween(0, Window.unboundedFollowing)
+    fwd = _running(by, order)
+    bwd = _running(by, order, descending=True)
+    d = d.withColumns({k: v for c in cols for k, v in (
+        (f"__pv_{c}", F.last(c, ignorenulls=True).over(fwd)),
+        (f"__pp_{c}", F.last(F.when(F.col(c).isNotNull(), F.col(pos)), ignorenulls=True).over(fwd)))})
+    d = d.withColumns({k: v for c in cols for k, v in (
+        (f"__nv_{c}", F.last(c, ignorenulls=True).over(bwd)),
+        (f"__np_{c}", F.last(F.when(F.col(c).isNotNull(), F.col(pos)), ignorenulls=True).over(bwd)))})
     out = {}
     for c in cols:
-        v = F.col(c)
-        pv = F.last(v, ignorenulls=True).over(wp)
-        pp = F.last(F.when(v.isNotNull(), F.col(pos)), ignorenulls=True).over(wp)
-        nv = F.first(v, ignorenulls=True).over(wn)
-        np_ = F.first(F.when(v.isNotNull(), F.col(pos)), ignorenulls=True).over(wn)
+        v, pv, pp, nv, np_ = (F.col(c), F.col(f"__pv_{c}"), F.col(f"__pp_{c}"), F.col(f"__nv_{c}"),
+                              F.col(f"__np_{c}"))
         interp = pv + (nv - pv) * (F.col(pos) - pp) / (np_ - pp)
         out[c] = (F.when(v.isNotNull(), v)
                   .when(pp.isNotNull() & np_.isNotNull(), interp)
                   .otherwise(F.coalesce(pv, nv)))
-    return d.withColumns(out).drop(pos)
+    tmp = [pos] + [f"__{k}_{c}" for c in cols for k in ("pv", "pp", "nv", "np")]
+    return d.withColumns(out).drop(*tmp)
 
 
 # --------------------------------------------------------------------------
@@ -227,13 +263,14 @@ def fill_missing(df: DataFrame, ffill_cols: Sequence[str] = (), linear_cols: Seq
     the spline for linear interpolation (JVM-only plan)."""
     by = list(by)
     out = df
+    lin = list(linear_cols)
     if cubic_cols:
         if cubic_method == "cubic":
             out = interpolate_cubic(out, cubic_cols, by, order)
         else:
-            out = interpolate_linear(out, cubic_cols, by, order)
-    if linear_cols:
-        out = interpolate_linear(out, linear_cols, by, order)
+            lin = list(cubic_cols) + lin
+    if lin:
+        out = interpolate_linear(out, lin, by, order)
     fill_cols = list(ffill_cols) + list(linear_cols) + list(cubic_cols)
     if others == "ffill":
         skip = set(by) | {order} | set(fill_cols)
