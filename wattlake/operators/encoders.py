@@ -203,6 +203,8 @@ class FeatureEncoding:
 
 def fit_encoding(df: DataFrame, cat_cols: Sequence[str], num_cols: Sequence[str], target: str,
                  by: Sequence[str] | str | None = ("meter",), tol: float = RARE_TOL) -> FeatureEncoding:
+    """Fit the three steps in order, each on the output of the previous one.
+    Pass a materialised (checkpointed) frame: it is read three times."""
     rare = RareLabelEncoder(cat_cols, tol=tol, by=by).fit(df)
     d1 = rare.transform(df)
     mean = MeanTargetEncoder(cat_cols, target, by=by).fit(d1)

@@ -76,13 +76,6 @@ RULE_FIELDS = ["country", "name", "kind", "month", "day", "weekday", "n", "offse
 RULE_TYPES = ["string", "string", "string", "int", "int", "int", "int", "int", "string", "int", "int", "int"]
 
 
-def _rule_array() -> Column:
-    structs = []
-    for r in HOLIDAY_RULES:
-        structs.append(F.struct(*[F.lit(v).cast(t).alias(f) for v, f, t in zip(r, RULE_FIELDS, RULE_TYPES)]))
-    return F.array(*structs)
-
-
 def easter_sunday(year: Column) -> Column:
     """Gregorian Easter Sunday (anonymous Gregorian computus)."""
     y = year
@@ -102,17 +95,17 @@ def easter_sunday(year: Column) -> Column:
     return F.make_date(y, F.floor(t / 31).cast("int"), (t % 31 + 1).cast("int"))
 
 
-def _rule_date(year: Column, r: str = "r") -> Column:
-    kind = F.col(f"{r}.kind")
-    month, day = F.col(f"{r}.month"), F.col(f"{r}.day")
-    wd, n = F.col(f"{r}.weekday"), F.col(f"{r}.n")
-    first = F.make_date(year, month, F.lit(1))
+def _rule_date() -> Column:
+    """Date of a rule row from precomputed ``first`` (1st of the rule's
+    month) and ``easter`` columns; only cheap date arithmetic here."""
+    kind = F.col("kind")
+    wd, n, first = F.col("weekday"), F.col("n"), F.col("first")
     nth = F.date_add(first, ((wd - F.weekday(first) + 7) % 7 + 7 * (n - 1)).cast("int"))
     lastd = F.last_day(first)
     last = F.date_sub(lastd, ((F.weekday(lastd) - wd + 7) % 7).cast("int"))
-    fixed = F.make_date(year, month, day)
+    fixed = F.date_add(first, F.col("day") - 1)
     onbefore = F.date_sub(fixed, ((F.weekday(fixed) - wd + 7) % 7).cast("int"))
-    easter = F.date_add(easter_sunday(year), F.col(f"{r}.offset"))
+    easter = F.date_add(F.col("easter"), F.col("offset"))
     return (F.when(kind == "fixed", fixed).when(kind == "nth", nth).when(kind == "last", last)
             .when(kind == "onbefore", onbefore).when(kind == "easter", easter))
 
@@ -125,41 +118,42 @@ def _observed_shift(d: Column, policy: Column) -> Column:
             .when((policy == "jan2") & (wd >= 5), 2).when((policy == "jan2") & (wd == 0), 1))
 
 
-def holiday_calendar_from_years(years: DataFrame, year_col: str = "year",
-                                countries: Iterable[str] | None = None) -> DataFrame:
-    """(country, name, holiday_date, observed) for every year row."""
-    y = F.col(year_col).cast("int")
-    rules = years.select(y.alias("year"), F.explode(_rule_array()).alias("r"))
-    rules = rules.where(
-        (F.col("r.first_year").isNull() | (F.col("year") >= F.col("r.first_year")))
-        & (F.col("r.only_year").isNull() | (F.col("year") == F.col("r.only_year")))
-        & (F.col("r.skip_year").isNull() | (F.col("year") != F.col("r.skip_year"))))
-    if countries is not None:
-        rules = rules.where(F.col("r.country").isin(list(countries)))
-    dated = rules.select("year", F.col("r.country").alias("country"), F.col("r.name").alias("name"),
-                         _rule_date(F.col("year")).alias("holiday_date"),
-                         F.col("r.observed").alias("policy"))
-    actual = dated.select("country", "name", "holiday_date", F.lit(False).alias("observed"))
-    shift = _observed_shift(F.col("holiday_date"), F.col("policy"))
-    obs = (dated.where(shift.isNotNull())
-           .select("country", F.concat("name", F.lit(" (Observed)")).alias("name"),
-                   F.date_add("holiday_date", shift).alias("holiday_date"), F.lit(True).alias("observed")))
-    return actual.unionByName(obs)
-
-
 def holiday_calendar(spark: SparkSession, years: Iterable[int],
                      countries: Iterable[str] | None = None) -> DataFrame:
-    ys = spark.createDataFrame([(int(y),) for y in sorted(set(years))], "year int")
-    return holiday_calendar_from_years(ys, countries=countries)
+    """(country, name, holiday_date, observed) for the given years.
+
+    The (rule, year) rows are a fixed product of the rule table with a
+    handful of years (about 45 x years rows), so they are a local relation;
+    the dates are Spark date expressions over it."""
+    ys = sorted(set(int(y) for y in years))
+    rows = [r + (y,) for y in ys for r in HOLIDAY_RULES
+            if (r[9] is None or y >= r[9]) and (r[10] is None or y == r[10]) and (r[11] is None or y != r[11])
+            and (countries is None or r[0] in set(countries))]
+    schema = ", ".join(f"{f} {t}" for f, t in zip(RULE_FIELDS, RULE_TYPES)) + ", year int"
+    rules = spark.createDataFrame(rows, schema)
+    rules = rules.withColumns({"first": F.make_date(F.col("year"), F.coalesce(F.col("month"), F.lit(1)), F.lit(1)),
+                               "easter": easter_sunday(F.col("year"))})
+    dated = rules.select("country", "name", _rule_date().alias("holiday_date"), F.col("observed").alias("policy"))
+    shift = _observed_shift(F.col("holiday_date"), F.col("policy"))
+    both = dated.select("country", "name", "holiday_date", F.explode(F.array(
+        F.struct(F.lit(0).alias("shift"), F.lit(False).alias("observed")),
+        F.struct(shift.alias("shift"), F.lit(True).alias("observed")))).alias("o"))
+    return (both.where(F.col("o.shift").isNotNull())
+            .select("country",
+                    F.when(F.col("o.observed"), F.concat("name", F.lit(" (Observed)"))).otherwise(F.col("name"))
+                    .alias("name"),
+                    F.date_add("holiday_date", F.col("o.shift")).alias("holiday_date"),
+                    F.col("o.observed").alias("observed")))
 
 
 def calendar_for(df: DataFrame, time_col: str = "timestamp") -> DataFrame:
-    """Calendar covering every year of ``df`` (plus neighbours, for observed
-    days that cross a year end).  Years come from one small aggregate."""
-    years = (df.select(F.year(time_col).alias("y")).distinct()
-             .select(F.explode(F.array(F.col("y") - 1, F.col("y"), F.col("y") + 1)).alias("year"))
-             .distinct())
-    return holiday_calendar_from_years(years)
+    """Calendar covering every year of ``df`` plus one on each side (for
+    observed days that cross a year end).  Only the two year bounds leave
+    the cluster (one small aggregate)."""
+    b = df.agg(F.min(F.year(time_col)).alias("lo"), F.max(F.year(time_col)).alias("hi")).first()
+    if b["lo"] is None:
+        return holiday_calendar(df.sparkSession, [])
+    return holiday_calendar(df.sparkSession, range(b["lo"] - 1, b["hi"] + 2))
 
 
 def flag_holidays(df: DataFrame, calendar: DataFrame, country_col: str = "country",

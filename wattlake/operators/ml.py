@@ -92,9 +92,9 @@ def lasso(feats: Sequence[str], label: str, alpha: float, max_iter: int = 100) -
 
 # boosted-tree parameter profiles (re-aimed from two external boosters)
 GBT_PROFILES = {
-    "a": dict(maxIter=60, stepSize=0.1, maxDepth=6, minInstancesPerNode=20, subsamplingRate=0.8,
+    "a": dict(maxIter=25, stepSize=0.1, maxDepth=6, minInstancesPerNode=20, subsamplingRate=0.8,
               featureSubsetStrategy="0.8", validationTol=0.001),
-    "b": dict(maxIter=40, stepSize=0.15, maxDepth=8, minInstancesPerNode=10, subsamplingRate=0.9,
+    "b": dict(maxIter=15, stepSize=0.15, maxDepth=8, minInstancesPerNode=10, subsamplingRate=0.9,
               featureSubsetStrategy="all", validationTol=0.001),
 }
 

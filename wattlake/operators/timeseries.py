@@ -284,11 +284,10 @@ def copy_site_column(df: DataFrame, col: str = "sea_level_pressure", from_site:
                      to_site: int = 5, site_col: str = "site_id",
                      time_col: str = "timestamp") -> DataFrame:
     """Overwrite one site's column with another site's value at the same
-    timestamp.  The source side is one site's series (at most one row per
-    hour of the interval), so it is broadcast."""
-    src = (df.where(F.col(site_col) == from_site)
-           .select(F.col(time_col), F.col(col).alias("__src")))
-    joined = df.join(F.broadcast(src), time_col, "left")
-    return (joined.withColumn(col, F.when(F.col(site_col) == to_site, F.col("__src"))
-                              .otherwise(F.col(col)))
-            .drop("__src").select(*df.columns))
+    timestamp.  A window partitioned by timestamp carries the source
+    site's value to every row of that hour (a group holds one row per site,
+    so it is bounded), in one pass and without re-running the upstream plan
+    as a self join would."""
+    w = Window.partitionBy(time_col)
+    src = F.max(F.when(F.col(site_col) == from_site, F.col(col))).over(w)
+    return df.withColumn(col, F.when(F.col(site_col) == to_site, src).otherwise(F.col(col)))

@@ -85,7 +85,7 @@ def training_frame(meter: DataFrame, weather_done: DataFrame, building: DataFram
 
 def fit_models(train: DataFrame, profile: str = "a", by: str = "meter", validation_col: str | None = None):
     encoding = enc.fit_encoding(train, CAT_FEATURES, NUM_FEATURES, "meter_reading", by=(by,))
-    encoded = encoding.transform(train).cache()
+    encoded = encoding.transform(train).checkpoint(eager=True)
     models = ml.fit_by_group(encoded, lambda: ml.gbt(MODEL_INPUTS, "meter_reading", profile, validation_col),
                              by=by)
     return encoding, models, encoded

@@ -36,6 +36,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         builder = builder.master(master)
     for k, v in _LOCAL_DEFAULTS.items():
         builder = builder.config(k, v)
+    builder = builder.config("spark.driver.memory", os.environ.get("WATTLAKE_DRIVER_MEMORY", "8g"))
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()
