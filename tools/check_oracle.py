@@ -51,6 +51,20 @@ def _rows(pdf: pd.DataFrame):
     return cols, sorted(out, key=lambda r: tuple((x is None, str(type(x)), str(x)) for x in r))
 
 
+def compare(spdf: pd.DataFrame, dpdf: pd.DataFrame) -> str | None:
+    """None when equal (columns, row count, values after rounding), else a reason."""
+    sc, sr = _rows(spdf)
+    dc, dr = _rows(dpdf)
+    if sc != dc:
+        return f"columns {sc} vs {dc}"
+    if len(sr) != len(dr):
+        return f"rows {len(sr)} vs {len(dr)}"
+    diffs = [(a, b) for a, b in zip(sr, dr) if a != b]
+    if diffs:
+        return f"{len(diffs)} rows differ, first {diffs[0]}"
+    return None
+
+
 def main():
     args = sys.argv[1:]
     sf_dir = args[0] if args and os.path.isdir(args[0]) else "/root/testdata/sf0.01"
