@@ -158,3 +158,13 @@ def test_nth_group_uses_distinct_members(spark):
     df = spark.createDataFrame(rows, "meter int, building_id int")
     out = sorted({(r.meter, r.building_id) for r in flt.nth_group(df, 1, 3).collect()})
     assert out == [(0, 7), (0, 9)]
+
+
+def test_exact_quantiles_match_numpy(spark):
+    rng = np.random.default_rng(3)
+    vals = np.concatenate([rng.normal(size=3000), np.zeros(500), [np.nan] * 10])
+    df = spark.createDataFrame([(None if np.isnan(v) else float(v),) for v in vals], "x double")
+    probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.99, 1.0]
+    got = pr.exact_quantiles(df, "x", probs, accuracy=100)
+    ref = np.quantile(vals[~np.isnan(vals)], probs)
+    assert np.allclose(got, ref, rtol=0, atol=1e-12)

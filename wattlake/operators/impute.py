@@ -13,16 +13,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def group_median(df: DataFrame, col: str, by: str | Sequence[str], method: str = "exact") -> DataFrame:
+def group_median(df: DataFrame, col: str, by: str | Sequence[str], method: str = "percentile") -> DataFrame:
     by = [by] if isinstance(by, str) else list(by)
-    if method == "exact":
+    if method == "percentile":
         med = F.percentile(F.col(col), F.lit(0.5))
     else:
         med = F.percentile_approx(F.col(col), F.lit(0.5), 1_000_000).cast("double")
     return df.groupBy(*by).agg(med.alias(f"__med_{col}"))
 
 
-def impute_group_median(df: DataFrame, col: str, by: str | Sequence[str], method: str = "exact") -> DataFrame:
+def impute_group_median(df: DataFrame, col: str, by: str | Sequence[str], method: str = "percentile") -> DataFrame:
     """Fill NULLs of ``col`` with the median of its group (groups with no
     value stay NULL)."""
     by = [by] if isinstance(by, str) else list(by)

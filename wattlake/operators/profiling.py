@@ -72,12 +72,12 @@ def column_stats(df: DataFrame) -> DataFrame:
     return _long(agg, structs)
 
 
-def quantile_exprs(col: str, probs: Sequence[float], method: str = "exact",
+def quantile_exprs(col: str, probs: Sequence[float], method: str = "percentile",
                    accuracy: int = 1_000_000) -> Column:
-    """Array of quantiles.  ``exact``: linear interpolation between order
-    statistics (``percentile``); ``approx``: ``percentile_approx`` with a
-    bounded sketch per task, the choice for unbounded fact columns."""
-    if method == "exact":
+    """Aggregate expression for an array of quantiles.  ``percentile``:
+    Spark's exact aggregate (buffers each group's values in one task; for
+    dimension-sized groups); ``approx``: ``percentile_approx`` sketch."""
+    if method == "percentile":
         return F.percentile(F.col(col), F.array(*[F.lit(float(p)) for p in probs]))
     if method == "approx":
         return F.percentile_approx(F.col(col), F.array(*[F.lit(float(p)) for p in probs]),
@@ -85,14 +85,72 @@ def quantile_exprs(col: str, probs: Sequence[float], method: str = "exact",
     raise ValueError(method)
 
 
+def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], accuracy: int = 10_000) -> list:
+    """Exact linear-interpolation quantiles of one column, distributed.
+
+    1. count n;
+    2. a ``percentile_approx`` sketch brackets every needed order statistic
+       (its rank error is at most n/accuracy; the bracket is twice that);
+    3. one aggregate counts the rows below each bracket;
+    4. the values inside each bracket, grouped by (bracket, value) -- about
+       4n/accuracy rows per bracket -- get a running count per bracket, and
+       one grouped aggregate picks the order statistics.
+    No task ever holds the whole column; the driver sees a few numbers."""
+    import math
+    from pyspark.sql import Window
+    d = df.select(F.col(col).cast("double").alias("__x")).where(F.col("__x").isNotNull())
+    probs = [float(p) for p in probs]
+    n = d.count()
+    if n == 0:
+        return [None] * len(probs)
+    margin = 2 * math.ceil(n / accuracy) + 2
+    ranks = []
+    for p in probs:
+        pos = p * (n - 1)
+        k0 = int(math.floor(pos))
+        ranks.append((k0, min(k0 + 1, n - 1), pos - k0))
+    lo_p = [max(0.0, (k0 - margin) / n) for k0, _, _ in ranks]
+    hi_p = [min(1.0, (k1 + 1 + margin) / n) for _, k1, _ in ranks]
+    b = d.agg(F.percentile_approx("__x", F.array(*[F.lit(v) for v in lo_p + hi_p]), accuracy).alias("b")).first()["b"]
+    lo_v, hi_v = [float(v) for v in b[:len(probs)]], [float(v) for v in b[len(probs):]]
+    below = d.agg(*[F.count_if(F.col("__x") < F.lit(v)).alias(f"c{i}") for i, v in enumerate(lo_v)]).first()
+    brackets = F.array(*[F.when(F.col("__x").between(F.lit(lv), F.lit(hv)), F.lit(i))
+                         for i, (lv, hv) in enumerate(zip(lo_v, hi_v))])
+    cand = (d.select("__x", F.explode(F.filter(brackets, lambda e: e.isNotNull())).alias("__b"))
+            .groupBy("__b", "__x").agg(F.count("*").alias("__n"))
+            .withColumn("__cum", F.sum("__n").over(Window.partitionBy("__b").orderBy("__x")
+                                                   .rowsBetween(Window.unboundedPreceding, 0))))
+
+    def target(j):
+        e = None
+        for i, r in enumerate(ranks):
+            t = F.lit(r[j] - below[f"c{i}"] + 1)
+            e = F.when(F.col("__b") == i, t) if e is None else e.when(F.col("__b") == i, t)
+        return e
+
+    picked = {r["__b"]: (r["v0"], r["v1"]) for r in cand.groupBy("__b").agg(
+        F.min(F.when(F.col("__cum") >= target(0), F.col("__x"))).alias("v0"),
+        F.min(F.when(F.col("__cum") >= target(1), F.col("__x"))).alias("v1")).collect()}
+    out = []
+    for i, (_, _, frac) in enumerate(ranks):
+        v0, v1 = picked[i]
+        out.append(v0 + (v1 - v0) * frac if frac else v0)
+    return out
+
+
 def describe(df: DataFrame, cols: Sequence[str] | None = None, method: str = "exact") -> DataFrame:
-    """count, mean, std, min, 25%, 50%, 75%, max per numeric column."""
+    """count, mean, std, min, 25%, 50%, 75%, max per numeric column.
+    ``exact``: distributed exact quantiles (``exact_quantiles``);
+    ``percentile`` / ``approx``: the single aggregate variants."""
     cols = list(cols) if cols else numeric_columns(df)
     aggs = []
     for i, c in enumerate(cols):
+        if method == "exact":
+            q = F.array(*[F.lit(v).cast("double") for v in exact_quantiles(df, c, (0.25, 0.5, 0.75))])
+        else:
+            q = quantile_exprs(c, (0.25, 0.5, 0.75), method)
         aggs += [F.count(c).alias(f"c{i}"), F.avg(c).alias(f"m{i}"), F.stddev_samp(c).alias(f"s{i}"),
-                 _dbl(F.min(c)).alias(f"lo{i}"), _dbl(F.max(c)).alias(f"hi{i}"),
-                 quantile_exprs(c, (0.25, 0.5, 0.75), method).alias(f"q{i}")]
+                 _dbl(F.min(c)).alias(f"lo{i}"), _dbl(F.max(c)).alias(f"hi{i}"), q.alias(f"q{i}")]
     agg = df.agg(*aggs)
     structs = [F.struct(F.lit(c).alias("column"), F.col(f"c{i}").alias("count"),
                         F.col(f"m{i}").alias("mean"), F.col(f"s{i}").alias("std"),
@@ -305,7 +363,11 @@ def outlier_thresholds(df: DataFrame, col: str, stat: str = "std", mult: float =
         return a.select((F.col("m") - F.col("s") * mult).alias("lower"),
                         (F.col("m") + F.col("s") * mult).alias("upper"))
     if stat == "iqr":
-        a = df.agg(quantile_exprs(col, (0.25, 0.75), method).alias("q"))
+        if method == "exact":
+            a = df.sparkSession.range(1).select(
+                F.array(*[F.lit(v).cast("double") for v in exact_quantiles(df, col, (0.25, 0.75))]).alias("q"))
+        else:
+            a = df.agg(quantile_exprs(col, (0.25, 0.75), method).alias("q"))
         q25, q75 = F.col("q")[0], F.col("q")[1]
         return a.select((q25 - (q75 - q25) * mult).alias("lower"),
                         (q75 + (q75 - q25) * mult).alias("upper"))

@@ -103,4 +103,4 @@ def _load_all() -> None:
     if _LOADED:
         return
     _LOADED = True
-    from wattlake.plans import q_core, q_features, q_io, q_model, q_pipelines, q_profile, q_windows  # noqa: F401,E501
+    from wattlake.plans import q_core, q_features, q_io, q_model, q_pipelines, q_profile, q_stream, q_windows  # noqa: F401,E501
