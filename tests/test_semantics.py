@@ -168,3 +168,12 @@ def test_exact_quantiles_match_numpy(spark):
     got = pr.exact_quantiles(df, "x", probs, accuracy=100)
     ref = np.quantile(vals[~np.isnan(vals)], probs)
     assert np.allclose(got, ref, rtol=0, atol=1e-12)
+
+
+def test_exact_quantiles_multi_columns(spark):
+    rng = np.random.default_rng(5)
+    a, b = rng.integers(0, 50, 2000).astype(float), rng.exponential(size=2000)
+    df = spark.createDataFrame([(float(x), float(y)) for x, y in zip(a, b)], "a double, b double")
+    got = pr.exact_quantiles_multi(df, ["a", "b"], [0.25, 0.5, 0.9], accuracy=50)
+    assert np.allclose(got["a"], np.quantile(a, [0.25, 0.5, 0.9]), atol=1e-12)
+    assert np.allclose(got["b"], np.quantile(b, [0.25, 0.5, 0.9]), atol=1e-12)

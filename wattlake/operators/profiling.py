@@ -86,55 +86,86 @@ def quantile_exprs(col: str, probs: Sequence[float], method: str = "percentile",
 
 
 def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], accuracy: int = 10_000) -> list:
-    """Exact linear-interpolation quantiles of one column, distributed.
+    """Exact linear-interpolation quantiles of one column (see
+    ``exact_quantiles_multi``)."""
+    return exact_quantiles_multi(df, [col], probs, accuracy)[col]
 
-    1. count n;
-    2. a ``percentile_approx`` sketch brackets every needed order statistic
-       (its rank error is at most n/accuracy; the bracket is twice that);
-    3. one aggregate counts the rows below each bracket;
-    4. the values inside each bracket, grouped by (bracket, value) -- about
+
+def exact_quantiles_multi(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
+                          accuracy: int = 10_000) -> dict:
+    """Exact linear-interpolation quantiles of several columns, distributed,
+    in four jobs whatever the number of columns:
+
+    1. non-null count per column;
+    2. a ``percentile_approx`` sketch per column brackets every needed order
+       statistic (rank error <= n/accuracy; the bracket is twice that);
+    3. rows below each bracket;
+    4. in-bracket values grouped by (column, bracket, value) -- about
        4n/accuracy rows per bracket -- get a running count per bracket, and
        one grouped aggregate picks the order statistics.
-    No task ever holds the whole column; the driver sees a few numbers."""
+    No task ever holds a whole column; the driver sees a few numbers."""
     import math
     from pyspark.sql import Window
-    d = df.select(F.col(col).cast("double").alias("__x")).where(F.col("__x").isNotNull())
+    cols = list(cols)
     probs = [float(p) for p in probs]
-    n = d.count()
-    if n == 0:
-        return [None] * len(probs)
-    margin = 2 * math.ceil(n / accuracy) + 2
-    ranks = []
-    for p in probs:
-        pos = p * (n - 1)
-        k0 = int(math.floor(pos))
-        ranks.append((k0, min(k0 + 1, n - 1), pos - k0))
-    lo_p = [max(0.0, (k0 - margin) / n) for k0, _, _ in ranks]
-    hi_p = [min(1.0, (k1 + 1 + margin) / n) for _, k1, _ in ranks]
-    b = d.agg(F.percentile_approx("__x", F.array(*[F.lit(v) for v in lo_p + hi_p]), accuracy).alias("b")).first()["b"]
-    lo_v, hi_v = [float(v) for v in b[:len(probs)]], [float(v) for v in b[len(probs):]]
-    below = d.agg(*[F.count_if(F.col("__x") < F.lit(v)).alias(f"c{i}") for i, v in enumerate(lo_v)]).first()
-    brackets = F.array(*[F.when(F.col("__x").between(F.lit(lv), F.lit(hv)), F.lit(i))
-                         for i, (lv, hv) in enumerate(zip(lo_v, hi_v))])
-    cand = (d.select("__x", F.explode(F.filter(brackets, lambda e: e.isNotNull())).alias("__b"))
-            .groupBy("__b", "__x").agg(F.count("*").alias("__n"))
-            .withColumn("__cum", F.sum("__n").over(Window.partitionBy("__b").orderBy("__x")
-                                                   .rowsBetween(Window.unboundedPreceding, 0))))
-
-    def target(j):
+    xs = {c: F.col(c).cast("double") for c in cols}
+    ns = df.agg(*[F.count(xs[c]).alias(f"n{j}") for j, c in enumerate(cols)]).first()
+    plan = {}
+    sketches = []
+    for j, c in enumerate(cols):
+        n = ns[f"n{j}"]
+        if not n:
+            continue
+        margin = 2 * math.ceil(n / accuracy) + 2
+        ranks = []
+        for p in probs:
+            pos = p * (n - 1)
+            k0 = int(math.floor(pos))
+            ranks.append((k0, min(k0 + 1, n - 1), pos - k0))
+        lo_p = [max(0.0, (k0 - margin) / n) for k0, _, _ in ranks]
+        hi_p = [min(1.0, (k1 + 1 + margin) / n) for _, k1, _ in ranks]
+        plan[c] = {"j": j, "ranks": ranks}
+        sketches.append(F.percentile_approx(xs[c], F.array(*[F.lit(v) for v in lo_p + hi_p]), accuracy)
+                        .alias(f"b{j}"))
+    out = {c: [None] * len(probs) for c in cols}
+    if not plan:
+        return out
+    b = df.agg(*sketches).first()
+    for c, pl in plan.items():
+        v = [float(x) for x in b[f"b{pl['j']}"]]
+        pl["lo"], pl["hi"] = v[:len(probs)], v[len(probs):]
+    below = df.agg(*[F.count_if(xs[c] < F.lit(lv)).alias(f"c{pl['j']}_{i}")
+                     for c, pl in plan.items() for i, lv in enumerate(pl["lo"])]).first()
+    # one row per (column, bracket) a value falls in
+    tags = []
+    for c, pl in plan.items():
+        for i, (lv, hv) in enumerate(zip(pl["lo"], pl["hi"])):
+            tags.append(F.when(xs[c].between(F.lit(lv), F.lit(hv)),
+                               F.struct(F.lit(pl["j"]).alias("k"), F.lit(i).alias("b"), xs[c].alias("x"))))
+    cand = (df.select(F.explode(F.filter(F.array(*tags), lambda e: e.isNotNull())).alias("t"))
+            .select("t.k", "t.b", "t.x")
+            .groupBy("k", "b", "x").agg(F.count("*").alias("n"))
+            .withColumn("cum", F.sum("n").over(Window.partitionBy("k", "b").orderBy("x")
+                                               .rowsBetween(Window.unboundedPreceding, 0))))
+
+    def target(which):
         e = None
-        for i, r in enumerate(ranks):
-            t = F.lit(r[j] - below[f"c{i}"] + 1)
-            e = F.when(F.col("__b") == i, t) if e is None else e.when(F.col("__b") == i, t)
+        for c, pl in plan.items():
+            for i, r in enumerate(pl["ranks"]):
+                cond = (F.col("k") == pl["j"]) & (F.col("b") == i)
+                t = F.lit(r[which] - below[f"c{pl['j']}_{i}"] + 1)
+                e = F.when(cond, t) if e is None else e.when(cond, t)
         return e
 
-    picked = {r["__b"]: (r["v0"], r["v1"]) for r in cand.groupBy("__b").agg(
-        F.min(F.when(F.col("__cum") >= target(0), F.col("__x"))).alias("v0"),
-        F.min(F.when(F.col("__cum") >= target(1), F.col("__x"))).alias("v1")).collect()}
-    out = []
-    for i, (_, _, frac) in enumerate(ranks):
-        v0, v1 = picked[i]
-        out.append(v0 + (v1 - v0) * frac if frac else v0)
+    picked = {(r["k"], r["b"]): (r["v0"], r["v1"]) for r in cand.groupBy("k", "b").agg(
+        F.min(F.when(F.col("cum") >= target(0), F.col("x"))).alias("v0"),
+        F.min(F.when(F.col("cum") >= target(1), F.col("x"))).alias("v1")).collect()}
+    for c, pl in plan.items():
+        res = []
+        for i, (_, _, frac) in enumerate(pl["ranks"]):
+            v0, v1 = picked[(pl["j"], i)]
+            res.append(v0 + (v1 - v0) * frac if frac else v0)
+        out[c] = res
     return out
 
 
@@ -144,9 +175,10 @@ def describe(df: DataFrame, cols: Sequence[str] | None = None, method: str = "ex
     ``percentile`` / ``approx``: the single aggregate variants."""
     cols = list(cols) if cols else numeric_columns(df)
     aggs = []
+    exact = exact_quantiles_multi(df, cols, (0.25, 0.5, 0.75)) if method == "exact" else {}
     for i, c in enumerate(cols):
         if method == "exact":
-            q = F.array(*[F.lit(v).cast("double") for v in exact_quantiles(df, c, (0.25, 0.5, 0.75))])
+            q = F.array(*[F.lit(v).cast("double") for v in exact[c]])
         else:
             q = quantile_exprs(c, (0.25, 0.5, 0.75), method)
         aggs += [F.count(c).alias(f"c{i}"), F.avg(c).alias(f"m{i}"), F.stddev_samp(c).alias(f"s{i}"),
