@@ -498,3 +498,33 @@ def target_correlation(df: DataFrame, target: str, cols: Sequence[str] | None =
 
 def time_bounds(df: DataFrame, time_col: str = "timestamp") -> DataFrame:
     return df.agg(F.min(time_col).alias("start"), F.max(time_col).alias("end"))
+
+
+def filter_selections(df: DataFrame, feats: Sequence[str], target: str, var_min: float = 0.01,
+                      target_corr_min: float = 0.1, pair_corr_max: float = 0.8) -> DataFrame:
+    """Three filter-style feature selections from ONE aggregate over ``df``:
+    'variance' (sample variance >= var_min), 'target_corr' (correlation with
+    the target > target_corr_min) and 'uncorrelated' (not the later column of
+    a pair with correlation >= pair_corr_max).  Long form (method, feature)."""
+    feats = list(feats)
+    aggs = [F.var_samp(F.col(c).cast("double")).alias(f"v{i}") for i, c in enumerate(feats)]
+    aggs += [F.corr(F.col(c).cast("double"), F.col(target).cast("double")).alias(f"t{i}")
+             for i, c in enumerate(feats)]
+    pairs = [(i, j) for i in range(len(feats)) for j in range(i + 1, len(feats))]
+    aggs += [F.corr(F.col(feats[i]).cast("double"), F.col(feats[j]).cast("double")).alias(f"p{i}_{j}")
+             for i, j in pairs]
+    one = df.agg(*aggs)
+    structs = []
+    for j, c in enumerate(feats):
+        shadowed = [F.coalesce(F.col(f"p{i}_{j}") >= pair_corr_max, F.lit(False)) for i in range(j)]
+        corr_hit = F.lit(False)
+        for e in shadowed:
+            corr_hit = corr_hit | e
+        structs += [
+            F.struct(F.lit("variance").alias("method"), F.lit(c).alias("feature"),
+                     F.coalesce(F.col(f"v{j}") >= var_min, F.lit(False)).alias("ok")),
+            F.struct(F.lit("target_corr").alias("method"), F.lit(c).alias("feature"),
+                     F.coalesce(F.col(f"t{j}") > target_corr_min, F.lit(False)).alias("ok")),
+            F.struct(F.lit("uncorrelated").alias("method"), F.lit(c).alias("feature"), (~corr_hit).alias("ok")),
+        ]
+    return one.select(F.inline(F.array(*structs))).where("ok").drop("ok")

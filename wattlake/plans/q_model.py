@@ -180,14 +180,8 @@ def q_selection_votes(spark, sf):
     with the target > 0.1, and not the second column of a pair with
     correlation >= 0.8."""
     d = _sel_frame(spark, sf).select("meter_reading", *_SEL_FEATS)
-    variance = (pr.variance_flags(d, _SEL_FEATS).where(~F.col("quasiconstant"))
-                .select(F.lit("variance").alias("method"), F.col("column").alias("feature")))
-    tcorr = (pr.target_correlation(d, "meter_reading", _SEL_FEATS, threshold=0.1)
-             .select(F.lit("target_corr").alias("method"), "feature"))
-    corr = pr.correlated_features(pr.correlation_matrix(d, _SEL_FEATS), 0.8).select(F.col("col2").alias("feature"))
     feats = spark.createDataFrame([(c,) for c in _SEL_FEATS], "feature string")
-    unc = feats.join(corr, "feature", "left_anti").select(F.lit("uncorrelated").alias("method"), "feature")
-    return ml.selection_votes(variance.unionByName(tcorr).unionByName(unc), feats)
+    return ml.selection_votes(pr.filter_selections(d, _SEL_FEATS, "meter_reading"), feats)
 
 
 # -------------------------------------------------------------- validation
