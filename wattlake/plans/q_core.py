@@ -36,3 +36,15 @@ def q_site_hour_profile(spark, sf):
             .agg(F.round(F.avg("meter_reading"), 6).alias("mean_reading"),
                  F.round(F.avg("air_temperature"), 6).alias("mean_air_temperature"),
                  F.count("*").alias("n_readings")))
+
+
+@register("join_weather", with_ctes("""
+select m.row_id, m.building_id, m.meter, m.timestamp, m.meter_reading, b.site_id, b.primary_use,
+       b.square_feet, b.year_built, b.floor_count, w.air_temperature, w.dew_temperature,
+       w.sea_level_pressure, w.wind_direction, w.wind_speed
+from meter_fx m left join building_fx b on m.building_id = b.building_id
+left join weather_fx w on b.site_id = w.site_id and m.timestamp = w.timestamp""",
+    METER_CTE, BUILDING_CTE, WEATHER_CTE))
+def q_join_weather(spark, sf):
+    mb = joins.join_building(fx.meter_readings(spark, sf), fx.buildings(spark, sf))
+    return joins.join_weather(mb, fx.weather(spark, sf))

@@ -249,3 +249,15 @@ def q_score(spark, sf):
     encoding, models, _ = fitted(spark, sf, "a")
     return pl.score(fx.scoring_meter(spark, sf), fx.weather(spark, sf), fx.buildings(spark, sf), encoding, models,
                     on_nulls="report")
+
+
+@register("merge_data", with_ctes("""
+select m.row_id, m.building_id, m.meter, m.timestamp, m.meter_reading, b.site_id, b.primary_use,
+       b.square_feet, b.year_built, b.floor_count, """
+    + ", ".join(f"round(w.{c}, 6) as {c}" for c in W_MEASURES) + """
+from meter_fx m left join building_fx b on m.building_id = b.building_id
+left join wp w on b.site_id = w.site_id and m.timestamp = w.timestamp""", METER_CTE, BUILDING_CTE, *FILLED_CTES))
+def q_merge_data(spark, sf):
+    """meter ⟕ building ⟕ processed weather (the modelled merge step)."""
+    from wattlake.operators.joins import merge_data
+    return round_doubles(merge_data(fx.meter_readings(spark, sf), weather_done(spark, sf), fx.buildings(spark, sf)))
