@@ -167,10 +167,16 @@ def grid_search(df: DataFrame, feats: Sequence[str], label: str, alphas: Sequenc
 
     with ThreadPoolExecutor(max_workers=parallelism) as ex:
         rows = list(ex.map(one, tasks))
-    res = spark.createDataFrame(rows, "alpha double, fold int, msle double")
-    from pyspark.sql import Window
-    out = res.groupBy("alpha").agg(F.avg("msle").alias("mean_msle"), F.stddev_pop("msle").alias("std_msle"))
-    return out.withColumn("rank", F.rank().over(Window.orderBy("mean_msle")))
+    # the fold scores are already driver-side Python values (one per fit)
+    import statistics
+    summary = []
+    for a in alphas:
+        v = [m for (al, _, m) in rows if al == float(a)]
+        summary.append((float(a), statistics.fmean(v), statistics.pstdev(v)))
+    order = sorted(range(len(summary)), key=lambda i: (summary[i][1], i))
+    rank = {i: r + 1 for r, i in enumerate(order)}
+    return spark.createDataFrame([s + (rank[i],) for i, s in enumerate(summary)],
+                                 "alpha double, mean_msle double, std_msle double, rank int")
 
 
 def sample_params(space: dict, n_trials: int, seed: int = 42) -> list[dict]:
@@ -217,9 +223,10 @@ def random_search(train: DataFrame, val: DataFrame, feats: Sequence[str], label:
 
     with ThreadPoolExecutor(max_workers=parallelism) as ex:
         rows = list(ex.map(one, range(n_trials)))
-    from pyspark.sql import Window
-    res = spark.createDataFrame(rows, "trial int, params string, msle double")
-    return res.withColumn("rank", F.rank().over(Window.orderBy("msle", "trial")))
+    order = sorted(range(len(rows)), key=lambda i: (rows[i][2], rows[i][0]))
+    rank = {i: r + 1 for r, i in enumerate(order)}
+    return spark.createDataFrame([r + (rank[i],) for i, r in enumerate(rows)],
+                                 "trial int, params string, msle double, rank int")
 
 
 # ------------------------------------------------------ feature selection
