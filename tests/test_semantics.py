@@ -177,3 +177,24 @@ def test_exact_quantiles_multi_columns(spark):
     got = pr.exact_quantiles_multi(df, ["a", "b"], [0.25, 0.5, 0.9], accuracy=50)
     assert np.allclose(got["a"], np.quantile(a, [0.25, 0.5, 0.9]), atol=1e-12)
     assert np.allclose(got["b"], np.quantile(b, [0.25, 0.5, 0.9]), atol=1e-12)
+
+
+@pytest.mark.parametrize("chunk", [1, 5, 24])
+def test_chunked_fill_equals_single_window(spark, chunk):
+    rng = np.random.default_rng(11)
+    rows = []
+    for s in (0, 1, 2):
+        for i in range(60):
+            v = None if rng.random() < 0.5 else float(rng.integers(0, 100))
+            rows.append((s, h(i), v, None if i % 13 else 1.0))
+    rows += [(3, h(i), None, None) for i in range(10)]
+    df = spark.createDataFrame(rows, "site_id int, timestamp timestamp_ntz, a double, b double")
+    ref = ts.ffill_bfill(ts.interpolate_linear(df, ["a", "b"]), ["a", "b"])
+    got = ts.fill_chunked(df, ["a", "b"], chunk_hours=chunk, method="linear")
+    key = lambda r: (r.site_id, r.timestamp)
+    for x, y in zip(sorted(ref.collect(), key=key), sorted(got.collect(), key=key)):
+        for c in ("a", "b"):
+            assert (x[c] is None and y[c] is None) or abs(x[c] - y[c]) < 1e-9, (x, y)
+    got_f = ts.fill_chunked(df, ["a"], chunk_hours=chunk, method="ffill")
+    ref_f = ts.ffill_bfill(df, ["a"])
+    assert sorted(got_f.collect(), key=key) == sorted(ref_f.collect(), key=key)

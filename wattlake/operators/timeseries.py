@@ -255,12 +255,14 @@ def interpolate_cubic(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ("
 def fill_missing(df: DataFrame, ffill_cols: Sequence[str] = (), linear_cols: Sequence[str] = (),
                  cubic_cols: Sequence[str] = (), by: Sequence[str] = ("site_id",),
                  order: str = "timestamp", others: str | None = None,
-                 cubic_method: str = "cubic") -> DataFrame:
+                 cubic_method: str = "cubic", chunk_hours: int | None = None) -> DataFrame:
     """Per-group fill: listed columns forward/backward fill, linear or cubic
     interpolation, each followed by ffill + bfill.  ``others='ffill'`` also
     ffill/bfills every remaining column (packaged-pipeline variant).  A
     series with no value at all stays null.  ``cubic_method='linear'`` swaps
-    the spline for linear interpolation (JVM-only plan)."""
+    the spline for linear interpolation (JVM-only plan).  ``chunk_hours``
+    runs the linear and ffill steps as chunked windows (``fill_chunked``),
+    for keys whose series are too long for one task."""
     by = list(by)
     out = df
     lin = list(linear_cols)
@@ -269,6 +271,14 @@ def fill_missing(df: DataFrame, ffill_cols: Sequence[str] = (), linear_cols: Seq
             out = interpolate_cubic(out, cubic_cols, by, order)
         else:
             lin = list(cubic_cols) + lin
+    if chunk_hours:
+        if lin:
+            out = fill_chunked(out, lin, by, order, chunk_hours, "linear")
+        rest = list(ffill_cols) + ([c for c in cubic_cols] if cubic_method == "cubic" else [])
+        if others == "ffill":
+            skip = set(by) | {order} | set(lin) | set(rest)
+            rest += [c for c in df.columns if c not in skip]
+        return fill_chunked(out, rest, by, order, chunk_hours, "ffill") if rest else out
     if lin:
         out = interpolate_linear(out, lin, by, order)
     fill_cols = list(ffill_cols) + list(linear_cols) + list(cubic_cols)
@@ -291,3 +301,70 @@ def copy_site_column(df: DataFrame, col: str = "sea_level_pressure", from_site:
     w = Window.partitionBy(time_col)
     src = F.max(F.when(F.col(site_col) == from_site, F.col(col))).over(w)
     return df.withColumn(col, F.when(F.col(site_col) == to_site, src).otherwise(F.col(col)))
+
+
+# --------------------------------------------------------------------------
+# skew-safe variant: split every key's series into time chunks
+
+def fill_chunked(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ("site_id",),
+                 order: str = "timestamp", chunk_hours: int = 24 * 7, method: str = "linear") -> DataFrame:
+    """ffill+bfill (``method='ffill'``) or linear interpolation by row
+    position followed by ffill+bfill (``'linear'``), with each key's series
+    cut into chunks of ``chunk_hours``.
+
+    The row windows run per (key, chunk), so a key holding a third of all
+    rows is spread over many tasks.  What crosses chunk borders -- the row
+    offset and the last / next known value and position -- comes from a
+    small per-(key, chunk) summary (keys x chunks rows) with windows over
+    chunks, joined back on (key, chunk), the partitioning the row windows
+    already have.  Results equal the single-window operators."""
+    by, cols = list(by), list(cols)
+    kc = by + ["__c"]
+    hours = F.datediff(F.to_date(F.col(order)), F.lit("1970-01-01").cast("date")) * 24 + F.hour(F.col(order))
+    d = df.withColumn("__c", F.floor(hours / F.lit(chunk_hours)))
+    w_asc = Window.partitionBy(*kc).orderBy(order)
+    d = d.withColumn("__lp", F.row_number().over(w_asc))
+    fwd = Window.partitionBy(*kc).orderBy(F.col(order).asc()).rowsBetween(Window.unboundedPreceding, 0)
+    bwd = Window.partitionBy(*kc).orderBy(F.col(order).desc()).rowsBetween(Window.unboundedPreceding, 0)
+    known = {c: F.when(F.col(c).isNotNull(), F.struct(F.col(c).alias("v"), F.col("__lp").alias("p")))
+             for c in cols}
+    d = d.withColumns({f"__f_{c}": F.last(known[c], ignorenulls=True).over(fwd) for c in cols})
+    d = d.withColumns({f"__b_{c}": F.last(known[c], ignorenulls=True).over(bwd) for c in cols})
+    # per-chunk summary: row count, last and first known (value, local pos)
+    summ = d.groupBy(*kc).agg(
+        F.count("*").alias("__n"),
+        *[F.max_by(known[c], F.when(F.col(c).isNotNull(), F.col("__lp"))).alias(f"__sl_{c}") for c in cols],
+        *[F.min_by(known[c], F.when(F.col(c).isNotNull(), F.col("__lp"))).alias(f"__sf_{c}") for c in cols])
+    before = Window.partitionBy(*by).orderBy("__c").rowsBetween(Window.unboundedPreceding, -1)
+    after = Window.partitionBy(*by).orderBy(F.col("__c").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    summ = summ.withColumn("__off", F.coalesce(F.sum("__n").over(before), F.lit(0)))
+
+    def glob(s: Column) -> Column:  # local position -> position within the key
+        return F.when(s.isNotNull(), F.struct(s["v"].alias("v"), (s["p"] + F.col("__off")).alias("p")))
+
+    summ = summ.withColumns({f"__gl_{c}": glob(F.col(f"__sl_{c}")) for c in cols}
+                            | {f"__gf_{c}": glob(F.col(f"__sf_{c}")) for c in cols})
+    summ = summ.withColumns({f"__cp_{c}": F.last(f"__gl_{c}", ignorenulls=True).over(before) for c in cols}
+                            | {f"__cn_{c}": F.last(f"__gf_{c}", ignorenulls=True).over(after) for c in cols})
+    summ = summ.select(*kc, "__off", *[f"__cp_{c}" for c in cols], *[f"__cn_{c}" for c in cols])
+    j = d.join(summ, kc, "left")
+    pos = F.col("__lp") + F.col("__off")
+    out = {}
+    for c in cols:
+        f, b = F.col(f"__f_{c}"), F.col(f"__b_{c}")
+        prev = F.coalesce(F.when(f.isNotNull(), F.struct(f["v"].alias("v"), (f["p"] + F.col("__off")).alias("p"))),
+                          F.col(f"__cp_{c}"))
+        nxt = F.coalesce(F.when(b.isNotNull(), F.struct(b["v"].alias("v"), (b["p"] + F.col("__off")).alias("p"))),
+                         F.col(f"__cn_{c}"))
+        pv, pp, nv, np_ = prev["v"], prev["p"], nxt["v"], nxt["p"]
+        if method == "linear":
+            interp = pv + (nv - pv) * (pos - pp) / (np_ - pp)
+            out[c] = (F.when(F.col(c).isNotNull(), F.col(c))
+                      .when(pp.isNotNull() & np_.isNotNull(), interp)
+                      .otherwise(F.coalesce(pv, nv)))
+        elif method == "ffill":
+            out[c] = F.coalesce(F.col(c), pv, nv)
+        else:
+            raise ValueError(method)
+    tmp = ["__c", "__lp", "__off"] + [f"__{k}_{c}" for c in cols for k in ("f", "b", "cp", "cn")]
+    return j.withColumns(out).drop(*tmp).select(*df.columns)
