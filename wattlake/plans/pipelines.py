@@ -83,11 +83,19 @@ def training_frame(meter: DataFrame, weather_done: DataFrame, building: DataFram
     return fr.withColumn("meter_reading", F.log1p("meter_reading"))
 
 
-def fit_models(train: DataFrame, profile: str = "a", by: str = "meter", validation_col: str | None = None):
+def fit_models(train: DataFrame, profile: str = "a", by: str = "meter", val: DataFrame | None = None):
+    """Encoders fitted on ``train`` per meter type, then one boosted model
+    per meter.  With ``val``, its rows ride along flagged in ``is_val`` and
+    the booster stops early on them (``validationIndicatorCol``)."""
+    from wattlake.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(train.sparkSession)
     encoding = enc.fit_encoding(train, CAT_FEATURES, NUM_FEATURES, "meter_reading", by=(by,))
-    encoded = encoding.transform(train).checkpoint(eager=True)
-    models = ml.fit_by_group(encoded, lambda: ml.gbt(MODEL_INPUTS, "meter_reading", profile, validation_col),
-                             by=by)
+    rows = train.withColumn("is_val", F.lit(False))
+    if val is not None:
+        rows = rows.unionByName(val.withColumn("is_val", F.lit(True)))
+    encoded = encoding.transform(rows).checkpoint(eager=True)
+    vcol = "is_val" if val is not None else None
+    models = ml.fit_by_group(encoded, lambda: ml.gbt(MODEL_INPUTS, "meter_reading", profile, vcol), by=by)
     return encoding, models, encoded
 
 

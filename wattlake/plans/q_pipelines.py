@@ -109,6 +109,8 @@ def model_frame(spark, sf):
     """Training frame with an 80/20 hash split, cached once per session."""
     key = ("frame", id(spark), sf)
     if key not in _CACHE:
+        from wattlake.session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(spark)
         fr = pl.training_frame(fx.meter_readings(spark, sf), weather_done(spark, sf, "cubic"),
                                fx.buildings(spark, sf))
         fr = ml.assign_split(fr, ratios=(0.8, 0.2), names=("train", "val"))
@@ -122,7 +124,8 @@ def fitted(spark, sf, profile="a"):
     key = ("models", id(spark), sf, profile)
     if key not in _CACHE:
         fr = model_frame(spark, sf)
-        _CACHE[key] = pl.fit_models(fr.where(F.col("split") == "train"), profile)
+        _CACHE[key] = pl.fit_models(fr.where(F.col("split") == "train"), profile,
+                                    val=fr.where(F.col("split") == "val"))
     return _CACHE[key]
 
 
