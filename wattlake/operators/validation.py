@@ -48,7 +48,9 @@ def validate_weather(weather: DataFrame, limits: Mapping[str, tuple] | None = No
 
 
 def validate_inputs(meter: DataFrame, weather: DataFrame, meter_cols: Sequence[str] = METER_COLS,
-                    weather_cols: Sequence[str] = WEATHER_COLS, raise_on_error: bool = False) -> DataFrame:
+                    weather_cols: Sequence[str] = WEATHER_COLS, raise_on_error: bool = False,
+                    meter_limits: Mapping[str, tuple] | None = None,
+                    weather_limits: Mapping[str, tuple] | None = None) -> DataFrame:
     """Column checks, then value rules; report rows (table, rule, violations)."""
     col_report = validate_columns(meter, meter_cols, "meter").unionByName(
         validate_columns(weather, weather_cols, "weather"))
@@ -62,7 +64,8 @@ def validate_inputs(meter: DataFrame, weather: DataFrame, meter_cols: Sequence[s
             raise AssertionError(f"Missing {r['column']} column." if not r["present"]
                                  else f"Type of {r['column']} column not supported.")
         return col_rows
-    report = col_rows.unionByName(validate_meter(meter)).unionByName(validate_weather(weather))
+    report = (col_rows.unionByName(validate_meter(meter, meter_limits))
+              .unionByName(validate_weather(weather, weather_limits)))
     if raise_on_error:
         failing = report.where("violations > 0").limit(1).collect()
         if failing:

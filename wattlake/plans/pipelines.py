@@ -115,14 +115,22 @@ def prediction_pipeline(features: DataFrame, encoding: enc.FeatureEncoding, mode
     return pred.select("row_id", "meter_reading")
 
 
+def building_limits(building: DataFrame) -> dict:
+    """Meter validation limits from the building dimension: ids must be
+    0..max(building_id) (the fixed 0..1448 is that bound for the modelled
+    1,449-building table)."""
+    hi = building.agg(F.max("building_id")).first()[0]
+    return {"building_id": (0, int(hi) if hi is not None else 0), "meter": (0, 3)}
+
+
 def score(meter: DataFrame, weather: DataFrame, building: DataFrame, encoding, models,
-          on_nulls: str = "raise", bounds: str = "reference") -> DataFrame:
+          on_nulls: str = "raise", bounds: str = "reference", meter_limits: dict | None = None) -> DataFrame:
     """Batch scoring job: validate -> weather pipeline over the input's own
     interval -> merge -> features -> null check -> predict.
 
     ``bounds='reference'`` takes start/end before the local-time shift (the
     modelled behaviour); ``'local'`` takes them after."""
-    val.validate_inputs(meter, weather, raise_on_error=True)
+    val.validate_inputs(meter, weather, raise_on_error=True, meter_limits=meter_limits)
     if bounds == "local":
         b = ts.to_local_time(weather).agg(F.min("timestamp").alias("s"), F.max("timestamp").alias("e")).first()
     else:

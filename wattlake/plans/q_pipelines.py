@@ -250,8 +250,9 @@ def q_score(spark, sf):
     """Flagship batch job: validate -> weather over the input's interval ->
     merge -> features -> null report -> predict -> (row_id, meter_reading)."""
     encoding, models, _ = fitted(spark, sf, "a")
-    return pl.score(fx.scoring_meter(spark, sf), fx.weather(spark, sf), fx.buildings(spark, sf), encoding, models,
-                    on_nulls="report")
+    building = fx.buildings(spark, sf)
+    return pl.score(fx.scoring_meter(spark, sf), fx.weather(spark, sf), building, encoding, models,
+                    on_nulls="report", meter_limits=pl.building_limits(building))
 
 
 @register("merge_data", with_ctes("""
