@@ -118,13 +118,13 @@ def backward_fill(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ("site
 
 def ffill_bfill(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ("site_id",),
                 order: str = "timestamp") -> DataFrame:
-    """Forward fill, then backward fill what is still missing at the start."""
-    cols = list(cols)
-    fw = df.withColumns({f"__f_{c}": F.last(c, ignorenulls=True).over(_running(by, order)) for c in cols})
-    bw = fw.withColumns({f"__b_{c}": F.last(c, ignorenulls=True).over(_running(by, order, True))
-                         for c in cols})
-    return (bw.withColumns({c: F.coalesce(F.col(f"__f_{c}"), F.col(f"__b_{c}")) for c in cols})
-            .drop(*[f"__f_{c}" for c in cols], *[f"__b_{c}" for c in cols]))
+    """Forward fill, then backward fill what is still missing at the start.
+    One projection: Spark plans the ascending and descending running
+    frames as two window operators over one exchange."""
+    cols = set(cols)
+    fw, bw = _running(by, order), _running(by, order, True)
+    return df.select(*[F.coalesce(F.last(c, ignorenulls=True).over(fw), F.last(c, ignorenulls=True).over(bw)).alias(c)
+                       if c in cols else F.col(c) for c in df.columns])
 
 
 def interpolate_linear(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ("site_id",),
@@ -132,30 +132,28 @@ def interpolate_linear(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (
     """Linear interpolation by row position within each group; leading and
     trailing gaps take the nearest known value; all-null groups stay null.
 
-    Three window passes over one partitioning: row position, previous known
-    (value, position) on the ascending running frame, next known on the
+    Window passes over one partitioning: row position, then previous known
+    (value, position) on the ascending running frame and next known on the
     descending running frame; then plain arithmetic."""
     cols = list(cols)
     pos = "__pos"
     d = df.withColumn(pos, F.row_number().over(_w(by, order)))
     fwd = _running(by, order)
     bwd = _running(by, order, descending=True)
-    d = d.withColumns({k: v for c in cols for k, v in (
-        (f"__pv_{c}", F.last(c, ignorenulls=True).over(fwd)),
-        (f"__pp_{c}", F.last(F.when(F.col(c).isNotNull(), F.col(pos)), ignorenulls=True).over(fwd)))})
-    d = d.withColumns({k: v for c in cols for k, v in (
-        (f"__nv_{c}", F.last(c, ignorenulls=True).over(bwd)),
-        (f"__np_{c}", F.last(F.when(F.col(c).isNotNull(), F.col(pos)), ignorenulls=True).over(bwd)))})
-    out = {}
-    for c in cols:
-        v, pv, pp, nv, np_ = (F.col(c), F.col(f"__pv_{c}"), F.col(f"__pp_{c}"), F.col(f"__nv_{c}"),
-                              F.col(f"__np_{c}"))
+    known = {c: F.when(F.col(c).isNotNull(), F.struct(F.col(c).alias("v"), F.col(pos).alias("p"))) for c in cols}
+    d = d.select("*", *[F.last(known[c], ignorenulls=True).over(fwd).alias(f"__prev_{c}") for c in cols],
+                 *[F.last(known[c], ignorenulls=True).over(bwd).alias(f"__next_{c}") for c in cols])
+    out = []
+    for c in df.columns:
+        if c not in cols:
+            out.append(F.col(c))
+            continue
+        v, prev, nxt = F.col(c), F.col(f"__prev_{c}"), F.col(f"__next_{c}")
+        pv, pp, nv, np_ = prev["v"], prev["p"], nxt["v"], nxt["p"]
         interp = pv + (nv - pv) * (F.col(pos) - pp) / (np_ - pp)
-        out[c] = (F.when(v.isNotNull(), v)
-                  .when(pp.isNotNull() & np_.isNotNull(), interp)
-                  .otherwise(F.coalesce(pv, nv)))
-    tmp = [pos] + [f"__{k}_{c}" for c in cols for k in ("pv", "pp", "nv", "np")]
-    return d.withColumns(out).drop(*tmp)
+        out.append(F.when(v.isNotNull(), v).when(pp.isNotNull() & np_.isNotNull(), interp)
+                   .otherwise(F.coalesce(pv, nv)).alias(c))
+    return d.select(*out)
 
 
 # --------------------------------------------------------------------------
@@ -280,10 +278,12 @@ def fill_missing(df: DataFrame, ffill_cols: Sequence[str] = (), linear_cols: Seq
             rest += [c for c in df.columns if c not in skip]
         return fill_chunked(out, rest, by, order, chunk_hours, "ffill") if rest else out
     if lin:
+        # linear interpolation already gives edges their nearest known
+        # value, so its columns need no ffill/bfill pass afterwards
         out = interpolate_linear(out, lin, by, order)
-    fill_cols = list(ffill_cols) + list(linear_cols) + list(cubic_cols)
+    fill_cols = list(ffill_cols) + (list(cubic_cols) if cubic_method == "cubic" else [])
     if others == "ffill":
-        skip = set(by) | {order} | set(fill_cols)
+        skip = set(by) | {order} | set(fill_cols) | set(lin)
         fill_cols += [c for c in df.columns if c not in skip]
     if fill_cols:
         out = ffill_bfill(out, fill_cols, by, order)
