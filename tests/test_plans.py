@@ -49,3 +49,25 @@ def test_no_cross_join_or_single_partition_exchange(spark, key):
     for line in p.splitlines():
         if line.strip().lstrip("+-: ").startswith("Window ["):
             assert "], [], [" not in line, line
+
+
+def test_weather_broadcast_only_with_a_proven_bound(spark):
+    from wattlake.operators import timeseries as ts
+    from wattlake.operators.joins import merge_data
+    from wattlake.plans.q_pipelines import weather_bound, weather_done
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        m, b, w = fx.meter_readings(spark, SF_SMALL), fx.buildings(spark, SF_SMALL), weather_done(spark, SF_SMALL)
+        bound = weather_bound(spark, SF_SMALL)
+        assert bound == ts.site_hour_grid(ts.to_local_time(fx.weather(spark, SF_SMALL)), fx.INTERVAL_START,
+                                          fx.INTERVAL_END).count()
+        with_bound = plan(merge_data(m, w, b, weather_rows=bound))
+        without = plan(merge_data(m, w, b))
+        assert "BroadcastHashJoin" in with_bound
+        assert "SortMergeJoin" in without
+        assert "SortMergeJoin" in plan(merge_data(m, w, b, weather_rows=10 ** 9))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")

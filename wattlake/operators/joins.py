@@ -28,18 +28,31 @@ def join_building(meter: DataFrame, building: DataFrame, on: str | Sequence[str]
     return meter.drop(*dup).join(building, keys, how)
 
 
+# largest dimension (rows) shipped to every executor
+BROADCAST_MAX_ROWS = 2_000_000
+
+
 def join_weather(mb: DataFrame, weather: DataFrame,
-                 on: Sequence[str] = ("site_id", "timestamp"), how: str = "left") -> DataFrame:
+                 on: Sequence[str] = ("site_id", "timestamp"), how: str = "left",
+                 weather_rows: int | None = None) -> DataFrame:
+    """meter ⟕ weather on (site, hour).  ``weather_rows`` is a proven upper
+    bound of the weather rows (a reindexed weather table has exactly sites x
+    hours); under ``BROADCAST_MAX_ROWS`` the weather side is broadcast, so the
+    meter fact table is never shuffled for this join.  Without a bound, or
+    above it, Spark's own size estimate and AQE decide."""
     keys = list(on)
     dup = [c for c in weather.columns if c in mb.columns and c not in keys]
-    return mb.join(weather.drop(*dup), keys, how)
+    w = weather.drop(*dup)
+    if weather_rows is not None and weather_rows <= BROADCAST_MAX_ROWS:
+        w = F.broadcast(w)
+    return mb.join(w, keys, how)
 
 
 def merge_data(meter: DataFrame, weather: DataFrame, building: DataFrame,
                on_mb: str | Sequence[str] = "building_id",
-               on_mbw: Sequence[str] = ("site_id", "timestamp")) -> DataFrame:
+               on_mbw: Sequence[str] = ("site_id", "timestamp"), weather_rows: int | None = None) -> DataFrame:
     """meter ⟕ building ⟕ weather."""
-    return join_weather(join_building(meter, building, on_mb), weather, on_mbw)
+    return join_weather(join_building(meter, building, on_mb), weather, on_mbw, weather_rows=weather_rows)
 
 
 def attach_keys(pred: DataFrame, keys: DataFrame, on: str = "row_id") -> DataFrame:

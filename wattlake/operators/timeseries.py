@@ -54,6 +54,17 @@ def site_hour_grid(df: DataFrame, start, end, site_col: str = "site_id",
             .select(site_col, F.explode(hour_sequence(start, end)).alias(time_col)))
 
 
+def grid_rows(df: DataFrame, start, end, site_col: str = "site_id") -> int:
+    """Exact row count of ``site_hour_grid``/``reindex_time`` output: distinct
+    sites (one small aggregate) times the hours of [start, end]."""
+    def _dt(t):
+        if isinstance(t, str):
+            t = dt.datetime.fromisoformat(t)
+        return t
+    hours = int((_dt(end) - _dt(start)).total_seconds() // 3600) + 1
+    return df.select(site_col).distinct().count() * max(hours, 0)
+
+
 def assert_unique(df: DataFrame, keys: Sequence[str]) -> None:
     """Raise if any key appears more than once (one aggregate job)."""
     dup = (df.groupBy(*keys).count().where(F.col("count") > 1)

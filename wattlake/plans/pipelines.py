@@ -47,10 +47,11 @@ def building_clean(building: DataFrame) -> DataFrame:
 
 def feature_pipeline(meter: DataFrame, weather: DataFrame, building: DataFrame,
                      feats: Sequence[str] | None = tuple(MODEL_FEATURES),
-                     keep: Sequence[str] = ("row_id",)) -> DataFrame:
+                     keep: Sequence[str] = ("row_id",), weather_rows: int | None = None) -> DataFrame:
     """merge -> humidity / wind -> date parts -> country / holiday -> select.
-    ``keep`` columns (row id, target) ride along in front of the features."""
-    mbw = merge_data(meter, weather, building)
+    ``keep`` columns (row id, target) ride along in front of the features.
+    ``weather_rows``: proven bound of the weather rows (see ``join_weather``)."""
+    mbw = merge_data(meter, weather, building, weather_rows=weather_rows)
     cal = hol.calendar_for(meter)
     out = feat.feature_frame(mbw, cal, None)
     if feats is None:
@@ -73,12 +74,12 @@ def eda_clean(meter: DataFrame, building: DataFrame, mult: float = 50) -> DataFr
 
 
 def training_frame(meter: DataFrame, weather_done: DataFrame, building: DataFrame,
-                   per: str | None = "meter") -> DataFrame:
+                   per: str | None = "meter", weather_rows: int | None = None) -> DataFrame:
     """Model frame: positive readings, features, target = log1p(reading
     normalised by area)."""
     m = flt.drop_nonpositive(meter).where(F.col("meter_reading").isNotNull())
     fr = feature_pipeline(m, weather_done, building_clean(building),
-                          feats=MODEL_FEATURES, keep=("row_id", "meter_reading"))
+                          feats=MODEL_FEATURES, keep=("row_id", "meter_reading"), weather_rows=weather_rows)
     fr = feat.normalize_by_area(fr, per=per)
     return fr.withColumn("meter_reading", F.log1p("meter_reading"))
 
@@ -136,7 +137,9 @@ def score(meter: DataFrame, weather: DataFrame, building: DataFrame, encoding, m
     else:
         b = weather.agg(F.min("timestamp").alias("s"), F.max("timestamp").alias("e")).first()
     w = weather_pipeline(weather, b["s"], b["e"])
-    fr = feature_pipeline(meter, w, building_clean(building), feats=MODEL_FEATURES, keep=("row_id",))
+    rows = ts.grid_rows(ts.to_local_time(weather), b["s"], b["e"])
+    fr = feature_pipeline(meter, w, building_clean(building), feats=MODEL_FEATURES, keep=("row_id",),
+                          weather_rows=rows)
     if on_nulls == "raise":
         pr.assert_no_nulls(fr)
     return prediction_pipeline(fr, encoding, models)

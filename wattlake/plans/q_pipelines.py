@@ -34,6 +34,12 @@ def weather_done(spark, sf, cubic_method="linear"):
     return pl.weather_pipeline(fx.weather(spark, sf), fx.INTERVAL_START, fx.INTERVAL_END, cubic_method=cubic_method)
 
 
+def weather_bound(spark, sf):
+    """Rows of the processed weather: sites x hours of the interval."""
+    from wattlake.operators import timeseries as ts
+    return ts.grid_rows(fx.weather(spark, sf), fx.INTERVAL_START, fx.INTERVAL_END)
+
+
 @register("weather_pipeline", with_ctes(
     "select site_id, timestamp, " + ", ".join(f"round({c}, 6) as {c}" for c in W_MEASURES) + " from wp",
     *FILLED_CTES))
@@ -66,7 +72,7 @@ left join countries_fx c on b.site_id = c.site_id"""
                                         *_holiday_sql_ctes(_YEARS_FROM_METER)))
 def q_feature_pipeline(spark, sf):
     return round_doubles(pl.feature_pipeline(fx.meter_readings(spark, sf), weather_done(spark, sf),
-                                             fx.buildings(spark, sf)))
+                                             fx.buildings(spark, sf), weather_rows=weather_bound(spark, sf)))
 
 
 @register("eda_clean", with_ctes("""
@@ -112,7 +118,7 @@ def model_frame(spark, sf):
         from wattlake.session import ensure_checkpoint_dir
         ensure_checkpoint_dir(spark)
         fr = pl.training_frame(fx.meter_readings(spark, sf), weather_done(spark, sf, "cubic"),
-                               fx.buildings(spark, sf))
+                               fx.buildings(spark, sf), weather_rows=weather_bound(spark, sf))
         fr = ml.assign_split(fr, ratios=(0.8, 0.2), names=("train", "val"))
         # cut the lineage (weather windows, holidays, joins) once; the
         # checkpoint lives in the shared spark.checkpoint.dir
@@ -241,7 +247,7 @@ def q_prediction_pipeline(spark, sf):
     encoding, models, _ = fitted(spark, sf, "a")
     feats = pl.feature_pipeline(fx.scoring_meter(spark, sf), weather_done(spark, sf, "cubic"),
                                 pl.building_clean(fx.buildings(spark, sf)), feats=pl.MODEL_FEATURES,
-                                keep=("row_id",))
+                                keep=("row_id",), weather_rows=weather_bound(spark, sf))
     return pl.prediction_pipeline(feats, encoding, models)
 
 
@@ -264,4 +270,5 @@ left join wp w on b.site_id = w.site_id and m.timestamp = w.timestamp""", METER_
 def q_merge_data(spark, sf):
     """meter ⟕ building ⟕ processed weather (the modelled merge step)."""
     from wattlake.operators.joins import merge_data
-    return round_doubles(merge_data(fx.meter_readings(spark, sf), weather_done(spark, sf), fx.buildings(spark, sf)))
+    return round_doubles(merge_data(fx.meter_readings(spark, sf), weather_done(spark, sf), fx.buildings(spark, sf),
+                                    weather_rows=weather_bound(spark, sf)))
