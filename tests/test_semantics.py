@@ -198,3 +198,36 @@ def test_chunked_fill_equals_single_window(spark, chunk):
     got_f = ts.fill_chunked(df, ["a"], chunk_hours=chunk, method="ffill")
     ref_f = ts.ffill_bfill(df, ["a"])
     assert sorted(got_f.collect(), key=key) == sorted(ref_f.collect(), key=key)
+
+
+def test_weather_pipeline_invariants(spark):
+    from conftest import SF_SMALL
+    from wattlake.plans import pipelines as pl
+    from wattlake.sources import fixtures as fx
+    raw = fx.weather(spark, SF_SMALL)
+    for method in ("linear", "cubic"):
+        w = pl.weather_pipeline(raw, fx.INTERVAL_START, fx.INTERVAL_END, cubic_method=method).cache()
+        n_sites = raw.select("site_id").distinct().count()
+        assert w.count() == n_sites * fx.INTERVAL_HOURS
+        assert w.select("site_id", "timestamp").distinct().count() == w.count()
+        # site 5 has no pressure of its own: it carries site 1's values hour by hour
+        s1 = {r.timestamp: r.sea_level_pressure for r in w.where("site_id = 1").collect()}
+        s5 = {r.timestamp: r.sea_level_pressure for r in w.where("site_id = 5").collect()}
+        assert s5 and all(s5[t] == s1[t] for t in s5)
+        # every series with at least one value is completely filled
+        for c in ["air_temperature", "dew_temperature", "wind_speed", "wind_direction"]:
+            per = w.groupBy("site_id").agg(F.count(c).alias("n")).collect()
+            assert all(r.n in (0, fx.INTERVAL_HOURS) for r in per), (method, c)
+        w.unpersist()
+
+
+def test_reference_bounds_shift_western_sites(spark):
+    # bounds taken before the local-time shift: a UTC-5 site loses its first
+    # five hours (shifted before the interval) and gets an empty tail that
+    # the fill then carries forward
+    rows = [(0, h(i), float(i)) for i in range(10)]
+    df = spark.createDataFrame(rows, "site_id int, timestamp timestamp_ntz, air_temperature double")
+    r = ts.reindex_time(ts.to_local_time(df), h(0), h(9)).orderBy("timestamp").collect()
+    assert [x.air_temperature for x in r] == [5.0, 6.0, 7.0, 8.0, 9.0, None, None, None, None, None]
+    filled = ts.ffill_bfill(ts.reindex_time(ts.to_local_time(df), h(0), h(9)), ["air_temperature"])
+    assert [x.air_temperature for x in filled.orderBy("timestamp").collect()][5:] == [9.0] * 5
