@@ -118,8 +118,23 @@ def _observed_shift(d: Column, policy: Column) -> Column:
             .when((policy == "jan2") & (wd >= 5), 2).when((policy == "jan2") & (wd == 0), 1))
 
 
+_CALENDARS: dict = {}
+
+
 def holiday_calendar(spark: SparkSession, years: Iterable[int],
                      countries: Iterable[str] | None = None) -> DataFrame:
+    """(country, name, holiday_date, observed) for the given years; the plan
+    is built once per session for a given year set."""
+    ys = tuple(sorted(set(int(y) for y in years)))
+    cs = None if countries is None else tuple(sorted(set(countries)))
+    key = (id(spark), spark.sparkContext.applicationId, ys, cs)
+    if key not in _CALENDARS:
+        _CALENDARS[key] = _build_calendar(spark, ys, cs)
+    return _CALENDARS[key]
+
+
+def _build_calendar(spark: SparkSession, years: Iterable[int],
+                    countries: Iterable[str] | None = None) -> DataFrame:
     """(country, name, holiday_date, observed) for the given years.
 
     The (rule, year) rows are a fixed product of the rule table with a

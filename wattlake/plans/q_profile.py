@@ -345,3 +345,12 @@ def q_target_correlation(spark, sf):
     "select min(timestamp) as start, max(timestamp) as \"end\" from weather_fx", WEATHER_CTE))
 def q_interval_bounds(spark, sf):
     return pr.time_bounds(fx.weather(spark, sf))
+
+
+@register("missing_by_site_counts", with_ctes(
+    "select site_id, count(timestamp) as timestamp, "
+    + ", ".join(f"count(timestamp) - count({c}) as missing_{c}" for c in W_MEASURES)
+    + " from reindexed_fx group by site_id",
+    WEATHER_CTE, OFFSETS_CTE, LOCAL_GRID_CTE))
+def q_missing_by_site_counts(spark, sf):
+    return pr.missing_by_site(local_reindexed(spark, sf), pct=False)
