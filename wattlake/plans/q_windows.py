@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from wattlake.constants import CUBIC_FILL_COLS, LINEAR_FILL_COLS
 from wattlake.operators import impute
