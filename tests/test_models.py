@@ -72,3 +72,36 @@ def test_selection_helpers(spark):
 def test_model_feature_lists():
     assert len(pl.MODEL_INPUTS) == 14
     assert set(pl.CAT_FEATURES) <= set(pl.MODEL_INPUTS)
+
+
+def test_pca_matches_numpy_eigenvalues(spark):
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(300, 3)) @ np.array([[2.0, 0.3, 0.0], [0.0, 1.0, 0.5], [0.0, 0.0, 0.2]])
+    df = spark.createDataFrame([tuple(map(float, r)) for r in x], "a double, b double, c double")
+    m = ml.pca(df, ["a", "b", "c"], 3)
+    got = m.stages[-1].explainedVariance.toArray()
+    ev = np.sort(np.linalg.eigvalsh(np.cov(x, rowvar=False)))[::-1]
+    assert np.allclose(got, ev / ev.sum(), atol=1e-9)
+
+
+def test_score_predicts_every_input_row(spark):
+    from conftest import SF_SMALL
+    from wattlake.plans.registry import queries
+    from wattlake.sources import fixtures as fx
+    for key in ("score", "prediction_pipeline"):
+        out = queries()[key](spark, SF_SMALL)
+        assert out.columns == ["row_id", "meter_reading"]
+        n_in = fx.scoring_meter(spark, SF_SMALL).count()
+        r = out.agg(F.count("*").alias("n"), F.countDistinct("row_id").alias("ids"),
+                    F.count("meter_reading").alias("non_null"), F.min("meter_reading").alias("lo")).first()
+        assert r.n == n_in == r.ids == r.non_null
+        assert r.lo >= 0
+
+
+def test_tuning_tables(spark):
+    from conftest import SF_SMALL
+    from wattlake.plans.registry import queries
+    g = queries()["grid_search_cv"](spark, SF_SMALL).collect()
+    assert len(g) == 8 and sorted(r["rank"] for r in g) == list(range(1, 9))
+    cv = queries()["cross_validate"](spark, SF_SMALL).collect()
+    assert sorted(r.fold for r in cv) == list(range(8)) and all(r.msle >= 0 for r in cv)
