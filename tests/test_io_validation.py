@@ -63,3 +63,22 @@ def test_validation_counts_and_raises(spark):
     bad_cols = weather.withColumn("wind_speed", F.lit("x"))
     with pytest.raises(AssertionError, match="not supported"):
         val.validate_inputs(meter, bad_cols, raise_on_error=True)
+
+
+@pytest.mark.parametrize("tz", ["America/Los_Angeles", "Asia/Kolkata"])
+def test_results_do_not_depend_on_session_time_zone(spark, tz):
+    from conftest import SF_SMALL
+    from wattlake.plans.registry import queries
+    keys = ["reindex_time", "time_slice", "weather_pipeline", "holiday_flag", "resample_mean"]
+    base = {k: sorted(queries()[k](spark, SF_SMALL).collect()) for k in keys}
+    payload = '{"site_id": {"0": 1}, "timestamp": {"0": 1451606400000}, "air_temperature": {"0": 2.5}}'
+    schema = T._parse_datatype_string("site_id int, timestamp timestamp_ntz, air_temperature double")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", tz)
+    try:
+        for k in keys:
+            assert sorted(queries()[k](spark, SF_SMALL).collect()) == base[k], k
+        r = io.read_json_columns(spark.createDataFrame([(payload,)], "payload string"), schema).first()
+        assert r.timestamp == dt.datetime(2016, 1, 1)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

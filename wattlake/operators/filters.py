@@ -55,8 +55,8 @@ def _midnight(d) -> dt.datetime:
 
 def time_slice(df: DataFrame, start, end, time_col: str = "timestamp") -> DataFrame:
     """Rows with start <= t <= end; date labels mean midnight."""
-    s = F.lit(_midnight(start)).cast("timestamp_ntz")
-    e = F.lit(_midnight(end)).cast("timestamp_ntz")
+    s = F.lit(_midnight(start).strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
+    e = F.lit(_midnight(end).strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
     return df.where(F.col(time_col).between(s, e))
 
 

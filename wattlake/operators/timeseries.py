@@ -28,7 +28,9 @@ def _ts_lit(t) -> Column:
         t = dt.datetime.fromisoformat(t)
     if isinstance(t, dt.date) and not isinstance(t, dt.datetime):
         t = dt.datetime(t.year, t.month, t.day)
-    return F.lit(t).cast("timestamp_ntz")
+    # a string literal casts to timestamp_ntz without any time zone (a Python
+    # datetime literal would pass through the process and session zones)
+    return F.lit(t.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
 
 
 def hour_sequence(start, end) -> Column:

@@ -64,8 +64,11 @@ def read_json_columns(payloads: DataFrame, schema: T.StructType, payload_col: st
         raw = F.col("__d")[f.name][F.col("__row")]
         if isinstance(f.dataType, (T.TimestampNTZType, T.TimestampType)):
             ms = raw.try_cast("bigint")
-            parsed_ts = F.when(ms.isNotNull(), F.timestamp_millis(ms).cast("timestamp_ntz")) \
-                .otherwise(F.to_timestamp_ntz(raw))
+            # epoch milliseconds of a naive wall time: epoch + interval, no zone
+            epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+            from_ms = epoch + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0),
+                                                 (ms / F.lit(1000)).cast("decimal(18,6)"))
+            parsed_ts = F.when(ms.isNotNull(), from_ms).otherwise(F.to_timestamp_ntz(raw))
             return parsed_ts.cast(f.dataType).alias(f.name)
         return raw.cast(f.dataType).alias(f.name)
 
