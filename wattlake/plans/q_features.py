@@ -12,17 +12,10 @@ from wattlake.operators import holidays as hol
 from wattlake.operators import timeseries as ts
 from wattlake.operators.joins import join_building
 from wattlake.plans.common import round_doubles
-from wattlake.plans.registry import (BUILDING_CTE, COUNTRIES_CTE, METER_CTE, OFFSETS_CTE, WEATHER_CTE,
-                                     register, with_ctes)
+from wattlake.plans.registry import (BUILDING_CTE, COUNTRIES_CTE, MB_CTE, METER_CTE, OFFSETS_CTE, PRED_CTE,
+                                     WEATHER_CTE, register, with_ctes)
 from wattlake.sources import fixtures as fx
 
-MB_CTE = """mb as (select m.*, b.site_id, b.primary_use, b.square_feet, b.year_built
-                   from meter_fx m left join building_fx b on m.building_id = b.building_id)"""
-PRED_CTE = """pred as (select row_id, building_id, meter, timestamp, meter_reading,
-                          ln(1 + meter_reading) * 0.9 as pred_a, ln(1 + meter_reading) * 1.1 - 0.25 as pred_b
-                   from meter_fx)"""
-
-
 def mb(spark, sf):
     return join_building(fx.meter_readings(spark, sf), fx.buildings(spark, sf)).drop("floor_count")
 

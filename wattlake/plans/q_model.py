@@ -12,16 +12,12 @@ from wattlake.operators import setops
 from wattlake.operators import validation as val
 from wattlake.operators.joins import join_building, join_models, attach_keys, align_by_position
 from wattlake.plans.common import round_doubles
-from wattlake.plans.registry import BUILDING_CTE, METER_CTE, WEATHER_CTE, register, with_ctes
+from wattlake.plans.registry import (BUILDING_CTE, MB_CTE, METER_CTE, PRED_CTE, WEATHER_CTE, register,
+                                     with_ctes)
 from wattlake.session import scratch_dir
 from wattlake.sources import fixtures as fx
 from wattlake.sources.state import load_state, save_state
 
-MB_CTE = """mb as (select m.*, b.site_id, b.primary_use, b.square_feet, b.year_built
-                   from meter_fx m left join building_fx b on m.building_id = b.building_id)"""
-PRED_CTE = """pred as (select row_id, building_id, meter, timestamp, meter_reading,
-                          ln(1 + meter_reading) * 0.9 as pred_a, ln(1 + meter_reading) * 1.1 - 0.25 as pred_b
-                   from meter_fx)"""
 RARE_CTE = """counts as (select meter, primary_use as category, count(*) as n from mb
                          where primary_use is not null group by 1, 2),
 kept as (select c.meter, 'primary_use' as variable, c.category from counts c

@@ -64,6 +64,13 @@ COUNTRIES_CTE = """countries_fx AS (
     (7, 'CA'), (8, 'US'), (9, 'US'), (10, 'US'), (11, 'CA'), (12, 'IE'), (13, 'US'), (14, 'US'),
     (15, 'US')) t(site_id, country))"""
 
+# meter rows with their building columns, and the two-model prediction fixture
+MB_CTE = """mb as (select m.*, b.site_id, b.primary_use, b.square_feet, b.year_built
+                   from meter_fx m left join building_fx b on m.building_id = b.building_id)"""
+PRED_CTE = """pred as (select row_id, building_id, meter, timestamp, meter_reading,
+                          ln(1 + meter_reading) * 0.9 as pred_a, ln(1 + meter_reading) * 1.1 - 0.25 as pred_b
+                   from meter_fx)"""
+
 GRID_START = "timestamp '2024-01-01 00:00:00'"
 GRID_END = "timestamp '2024-01-30 23:00:00'"
 
