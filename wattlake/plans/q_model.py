@@ -277,11 +277,11 @@ def q_join_predictions(spark, sf):
 
 
 @register("join_model_outputs", with_ctes("""
-select row_id, round(pred_a, 6) as lgb, round(pred_b, 6) as xgb from pred""", METER_CTE, PRED_CTE))
+select row_id, round(pred_a, 6) as model_a, round(pred_b, 6) as model_b from pred""", METER_CTE, PRED_CTE))
 def q_join_model_outputs(spark, sf):
     p = fx.predictions(spark, sf)
-    return round_doubles(join_models({"lgb": p.select("row_id", F.col("pred_a").alias("meter_reading")),
-                                      "xgb": p.select("row_id", F.col("pred_b").alias("meter_reading"))}))
+    return round_doubles(join_models({"model_a": p.select("row_id", F.col("pred_a").alias("meter_reading")),
+                                      "model_b": p.select("row_id", F.col("pred_b").alias("meter_reading"))}))
 
 
 @register("align_by_position", with_ctes("""
