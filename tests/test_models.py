@@ -105,3 +105,12 @@ def test_tuning_tables(spark):
     assert len(g) == 8 and sorted(r["rank"] for r in g) == list(range(1, 9))
     cv = queries()["cross_validate"](spark, SF_SMALL).collect()
     assert sorted(r.fold for r in cv) == list(range(8)) and all(r.msle >= 0 for r in cv)
+
+
+def test_stream_scoring_equals_batch_scoring(spark):
+    from conftest import SF_SMALL
+    from wattlake.plans.registry import queries
+    batch = {r.row_id: r.meter_reading for r in queries()["prediction_pipeline"](spark, SF_SMALL).collect()}
+    stream = {r.row_id: r.meter_reading for r in queries()["stream_score"](spark, SF_SMALL).collect()}
+    assert batch.keys() == stream.keys()
+    assert max(abs(batch[k] - stream[k]) for k in batch) < 1e-9

@@ -32,3 +32,22 @@ def q_stream_features(spark, sf):
     out = run_available_now(stream, scratch_dir(spark, "meter-stream-sink"), scratch_dir(spark, "meter-stream-ckpt"))
     res = spark.read.parquet(out)
     return res.withColumn("meter_reading", F.round("meter_reading", 6))
+
+
+@register("stream_score")
+def q_stream_score(spark, sf):
+    """Scoring rows arrive as two files; an availableNow stream scores each
+    micro-batch with the fitted models into per-batch folders, read back."""
+    from wattlake.plans import q_pipelines as qp
+    from pyspark.sql import functions as F
+    encoding, models, _ = qp.fitted(spark, sf, "a")
+    src = scratch_dir(spark, "score-stream-src")
+    rows = fx.scoring_meter(spark, sf)
+    rows.where(F.col("meter") < 2).write.mode("append").parquet(src)
+    rows.where(~(F.col("meter") < 2)).write.mode("append").parquet(src)
+    sink = scratch_dir(spark, "score-stream-sink")
+    from wattlake.streaming import score_stream
+    score_stream(spark, src, qp.weather_done(spark, sf, "cubic"), fx.buildings(spark, sf), encoding, models,
+                 sink, scratch_dir(spark, "score-stream-ckpt"), weather_rows=qp.weather_bound(spark, sf),
+                 max_files_per_trigger=1)
+    return spark.read.parquet(sink).select("row_id", "meter_reading")
