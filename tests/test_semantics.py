@@ -231,3 +231,14 @@ def test_reference_bounds_shift_western_sites(spark):
     assert [x.air_temperature for x in r] == [5.0, 6.0, 7.0, 8.0, 9.0, None, None, None, None, None]
     filled = ts.ffill_bfill(ts.reindex_time(ts.to_local_time(df), h(0), h(9)), ["air_temperature"])
     assert [x.air_temperature for x in filled.orderBy("timestamp").collect()][5:] == [9.0] * 5
+
+
+def test_exact_quantiles_refine_large_brackets(spark):
+    # tiny sketch accuracy and candidate cap force several refinement rounds;
+    # a heavily repeated value (a third of the rows) must not block them
+    rng = np.random.default_rng(9)
+    vals = np.concatenate([rng.normal(size=4000), np.full(2000, 0.5)])
+    df = spark.createDataFrame([(float(v),) for v in vals], "x double")
+    probs = [0.01, 0.3, 0.5, 0.77, 0.999]
+    got = pr.exact_quantiles(df, "x", probs, accuracy=20, max_candidates=40)
+    assert np.allclose(got, np.quantile(vals, probs), atol=1e-12)

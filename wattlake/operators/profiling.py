@@ -85,87 +85,104 @@ def quantile_exprs(col: str, probs: Sequence[float], method: str = "percentile",
     raise ValueError(method)
 
 
-def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], accuracy: int = 10_000) -> list:
+def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], accuracy: int = 10_000,
+                    max_candidates: int = 2_000_000) -> list:
     """Exact linear-interpolation quantiles of one column (see
     ``exact_quantiles_multi``)."""
-    return exact_quantiles_multi(df, [col], probs, accuracy)[col]
+    return exact_quantiles_multi(df, [col], probs, accuracy, max_candidates)[col]
 
 
 def exact_quantiles_multi(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                          accuracy: int = 10_000) -> dict:
-    """Exact linear-interpolation quantiles of several columns, distributed,
-    in four jobs whatever the number of columns:
-
-    1. non-null count per column;
-    2. a ``percentile_approx`` sketch per column brackets every needed order
-       statistic (rank error <= n/accuracy; the bracket is twice that);
-    3. rows below each bracket;
-    4. in-bracket values grouped by (column, bracket, value) -- about
-       4n/accuracy rows per bracket -- get a running count per bracket, and
-       one grouped aggregate picks the order statistics.
-    No task ever holds a whole column; the driver sees a few numbers."""
+                          accuracy: int = 10_000, max_candidates: int = 2_000_000) -> dict:
+    """Exact linear-interpolation quantiles of several columns, distributed.
+
+    1. non-null count per column (one job);
+    2. a ``percentile_approx`` sketch brackets every needed order statistic
+       (rank error <= n/accuracy; the bracket is twice that wide);
+    3. one job counts, per bracket, the rows below it and inside it; while a
+       bracket still holds more than ``max_candidates`` rows (and spans more
+       than one value), the sketch is re-run on the in-bracket rows only
+       (null-masked per bracket, all brackets in one job) and step 3
+       repeats -- every round shrinks a bracket by about accuracy/4;
+    4. in-bracket values grouped by (column, bracket, value) get a running
+       count per bracket and one grouped aggregate picks the statistics.
+    Ties collapse in the grouped table, so a value repeated a billion times
+    is one candidate row.  No task holds a whole column; the driver only
+    sees counts and bracket bounds."""
     import math
     from pyspark.sql import Window
     cols = list(cols)
     probs = [float(p) for p in probs]
     xs = {c: F.col(c).cast("double") for c in cols}
     ns = df.agg(*[F.count(xs[c]).alias(f"n{j}") for j, c in enumerate(cols)]).first()
-    plan = {}
-    sketches = []
+    # one bracket per (column, prob): global ranks k0 <= k1, bounds lo/hi
+    br = []
     for j, c in enumerate(cols):
         n = ns[f"n{j}"]
         if not n:
             continue
-        margin = 2 * math.ceil(n / accuracy) + 2
-        ranks = []
-        for p in probs:
+        for i, p in enumerate(probs):
             pos = p * (n - 1)
             k0 = int(math.floor(pos))
-            ranks.append((k0, min(k0 + 1, n - 1), pos - k0))
-        lo_p = [max(0.0, (k0 - margin) / n) for k0, _, _ in ranks]
-        hi_p = [min(1.0, (k1 + 1 + margin) / n) for _, k1, _ in ranks]
-        plan[c] = {"j": j, "ranks": ranks}
-        sketches.append(F.percentile_approx(xs[c], F.array(*[F.lit(v) for v in lo_p + hi_p]), accuracy)
-                        .alias(f"b{j}"))
+            br.append({"c": c, "j": j, "i": i, "k0": k0, "k1": min(k0 + 1, n - 1), "frac": pos - k0,
+                       "below": 0, "inside": n, "lo": None, "hi": None})
     out = {c: [None] * len(probs) for c in cols}
-    if not plan:
+    if not br:
         return out
-    b = df.agg(*sketches).first()
-    for c, pl in plan.items():
-        v = [float(x) for x in b[f"b{pl['j']}"]]
-        pl["lo"], pl["hi"] = v[:len(probs)], v[len(probs):]
-    below = df.agg(*[F.count_if(xs[c] < F.lit(lv)).alias(f"c{pl['j']}_{i}")
-                     for c, pl in plan.items() for i, lv in enumerate(pl["lo"])]).first()
-    # one row per (column, bracket) a value falls in
-    tags = []
-    for c, pl in plan.items():
-        for i, (lv, hv) in enumerate(zip(pl["lo"], pl["hi"])):
-            tags.append(F.when(xs[c].between(F.lit(lv), F.lit(hv)),
-                               F.struct(F.lit(pl["j"]).alias("k"), F.lit(i).alias("b"), xs[c].alias("x"))))
-    cand = (df.select(F.explode(F.filter(F.array(*tags), lambda e: e.isNotNull())).alias("t"))
-            .select("t.k", "t.b", "t.x")
-            .groupBy("k", "b", "x").agg(F.count("*").alias("n"))
-            .withColumn("cum", F.sum("n").over(Window.partitionBy("k", "b").orderBy("x")
+
+    def in_bracket(b):
+        x = xs[b["c"]]
+        if b["lo"] is None:
+            return x.isNotNull()
+        return x.between(F.lit(b["lo"]), F.lit(b["hi"]))
+
+    def sketch(todo):
+        exprs = []
+        for t, b in enumerate(todo):
+            m = b["inside"]
+            r0, r1 = b["k0"] - b["below"], b["k1"] - b["below"]
+            margin = 2 * math.ceil(m / accuracy) + 2
+            ps = [max(0.0, (r0 - margin) / m), min(1.0, (r1 + 1 + margin) / m)]
+            exprs.append(F.percentile_approx(F.when(in_bracket(b), xs[b["c"]]),
+                                             F.array(*[F.lit(v) for v in ps]), accuracy).alias(f"s{t}"))
+        r = df.agg(*exprs).first()
+        for t, b in enumerate(todo):
+            b["lo"], b["hi"] = float(r[f"s{t}"][0]), float(r[f"s{t}"][1])
+
+    def recount():
+        r = df.agg(*[F.count_if(xs[b["c"]] < F.lit(b["lo"])).alias(f"b{t}") for t, b in enumerate(br)],
+                   *[F.count_if(in_bracket(b)).alias(f"i{t}") for t, b in enumerate(br)]).first()
+        for t, b in enumerate(br):
+            b["below"], b["inside"] = r[f"b{t}"], r[f"i{t}"]
+
+    todo = br
+    for _ in range(8):
+        sketch(todo)
+        recount()
+        todo = [b for b in br if b["inside"] > max_candidates and b["lo"] < b["hi"]]
+        if not todo:
+            break
+
+    tags = [F.when(in_bracket(b), F.struct(F.lit(t).alias("t"), xs[b["c"]].alias("x"))) for t, b in enumerate(br)]
+    cand = (df.select(F.explode(F.filter(F.array(*tags), lambda e: e.isNotNull())).alias("e"))
+            .select("e.t", "e.x")
+            .groupBy("t", "x").agg(F.count("*").alias("n"))
+            .withColumn("cum", F.sum("n").over(Window.partitionBy("t").orderBy("x")
                                                .rowsBetween(Window.unboundedPreceding, 0))))
 
     def target(which):
         e = None
-        for c, pl in plan.items():
-            for i, r in enumerate(pl["ranks"]):
-                cond = (F.col("k") == pl["j"]) & (F.col("b") == i)
-                t = F.lit(r[which] - below[f"c{pl['j']}_{i}"] + 1)
-                e = F.when(cond, t) if e is None else e.when(cond, t)
+        for t, b in enumerate(br):
+            v = F.lit(b[which] - b["below"] + 1)
+            e = F.when(F.col("t") == t, v) if e is None else e.when(F.col("t") == t, v)
         return e
 
-    picked = {(r["k"], r["b"]): (r["v0"], r["v1"]) for r in cand.groupBy("k", "b").agg(
-        F.min(F.when(F.col("cum") >= target(0), F.col("x"))).alias("v0"),
-        F.min(F.when(F.col("cum") >= target(1), F.col("x"))).alias("v1")).collect()}
-    for c, pl in plan.items():
-        res = []
-        for i, (_, _, frac) in enumerate(pl["ranks"]):
-            v0, v1 = picked[(pl["j"], i)]
-            res.append(v0 + (v1 - v0) * frac if frac else v0)
-        out[c] = res
+    picked = {r["t"]: (r["v0"], r["v1"]) for r in cand.groupBy("t").agg(
+        F.min(F.when(F.col("cum") >= target("k0"), F.col("x"))).alias("v0"),
+        F.min(F.when(F.col("cum") >= target("k1"), F.col("x"))).alias("v1")).collect()}
+    for t, b in enumerate(br):
+        v0, v1 = picked[t]
+        out[b["c"]][b["i"]] = v0 + (v1 - v0) * b["frac"] if b["frac"] else v0
     return out
 
 
