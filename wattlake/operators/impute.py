@@ -2,8 +2,11 @@
 
 Group medians are computed as a grouped aggregate and joined back, so the
 fact rows never sit in one window partition per group.  The aggregate is
-exact (``percentile``); groups are categories of a dimension table (site,
-primary use), each bounded by the dimension's size."""
+exact (``percentile``): its buffer is a value -> count map merged map-side,
+so a group's state is bounded by the group's DISTINCT values, not its rows
+(for ``year_built`` that is a couple of hundred calendar years however many
+buildings there are).  For a high-cardinality column use ``method="approx"``
+or ``profiling.exact_quantiles`` (global)."""
 
 from __future__ import annotations
 
