@@ -242,3 +242,17 @@ def test_exact_quantiles_refine_large_brackets(spark):
     probs = [0.01, 0.3, 0.5, 0.77, 0.999]
     got = pr.exact_quantiles(df, "x", probs, accuracy=20, max_candidates=40)
     assert np.allclose(got, np.quantile(vals, probs), atol=1e-12)
+
+
+@pytest.mark.parametrize("chunk", [None, 2])
+def test_fill_missing_others_variant(spark, chunk):
+    rows = [(0, h(0), None, None, None), (0, h(1), 1.0, 5.0, None), (0, h(2), None, None, 7.0),
+            (0, h(3), 3.0, None, None)]
+    df = spark.createDataFrame(rows, "site_id int, timestamp timestamp_ntz, lin double, other double, ff double")
+    out = ts.fill_missing(df, ffill_cols=["ff"], linear_cols=["lin"], others="ffill", cubic_method="linear",
+                          chunk_hours=chunk).orderBy("timestamp").collect()
+    assert [r.lin for r in out] == [1.0, 1.0, 2.0, 3.0]
+    assert [r.other for r in out] == [5.0, 5.0, 5.0, 5.0]
+    assert [r.ff for r in out] == [7.0, 7.0, 7.0, 7.0]
+    plain = ts.fill_missing(df, linear_cols=["lin"], cubic_method="linear", chunk_hours=chunk)
+    assert [r.other for r in plain.orderBy("timestamp").collect()] == [None, 5.0, None, None]
