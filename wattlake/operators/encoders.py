@@ -83,8 +83,9 @@ class RareLabelEncoder:
             counts = (df.where(F.col(c).isNotNull()).groupBy(*by, F.col(c).cast("string").alias("category"))
                       .agg(F.count("*").alias("n")))
             if by:
+                # one row per group (meter type): a size-proven broadcast
                 totals = counts.groupBy(*by).agg(F.sum("n").alias("total"), F.count("*").alias("n_cats"))
-                j = counts.join(totals, by, "left")
+                j = counts.join(F.broadcast(totals), by, "left")
             else:
                 j = counts.withColumns({"total": counts.select(F.sum("n")).scalar(),
                                         "n_cats": counts.select(F.count("*")).scalar()})
