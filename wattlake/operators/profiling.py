@@ -272,24 +272,28 @@ def missing_readings_report(df: DataFrame, expected: int, building_col: str = "b
                             meter_names: dict | None = None) -> DataFrame:
     """Meters whose reading count differs from ``expected``: affected
     buildings, meters and meters per type, with floor-integer percents.
-    Long form (scope, n_missing, n_total, pct)."""
+    Long form (scope, n_missing, n_total, pct).
+
+    One shuffle builds the per-meter counts; one aggregate over that small
+    table (buildings x meters rows) yields every figure."""
     from wattlake.constants import METER_NAMES
     names = meter_names or METER_NAMES
-    by_bm = df.groupBy(building_col, meter_col).agg(F.count(F.col(time_col)).alias("n"))
-    flagged = by_bm.withColumn("short", (F.col("n") != expected).cast("int"))
-    # per building: any short meter
-    bld = (flagged.groupBy(building_col).agg(F.max("short").alias("short"))
-           .agg(F.lit("buildings").alias("scope"), F.sum("short").alias("n_missing"),
-                F.count("*").alias("n_total")))
-    met = flagged.agg(F.lit("meters").alias("scope"), F.sum("short").alias("n_missing"),
-                      F.count("*").alias("n_total"))
-    from wattlake.functions.lookup import map_lookup
-    per_type = (flagged.groupBy(meter_col).agg(F.sum("short").alias("n_missing"),
-                                               F.count("*").alias("n_total"))
-                .select(F.coalesce(map_lookup(F.col(meter_col), names),
-                                   F.concat(F.lit("meter_"), F.col(meter_col).cast("string"))).alias("scope"),
-                        "n_missing", "n_total"))
-    out = bld.unionByName(met).unionByName(per_type)
+    by_bm = (df.groupBy(building_col, meter_col).agg(F.count(F.col(time_col)).alias("n"))
+             .withColumn("short", (F.col("n") != expected).cast("int")))
+    m = F.col(meter_col)
+    aggs = [F.count_distinct(F.when(F.col("short") == 1, F.col(building_col))).alias("b_miss"),
+            F.count_distinct(building_col).alias("b_all"),
+            F.sum("short").alias("m_miss"), F.count("*").alias("m_all")]
+    for k in names:
+        aggs += [F.sum(F.when(m == k, F.col("short"))).alias(f"t{k}_miss"), F.count_if(m == k).alias(f"t{k}_all")]
+    one = by_bm.agg(*aggs)
+    rows = [F.struct(F.lit("buildings").alias("scope"), F.col("b_miss").alias("n_missing"),
+                     F.col("b_all").alias("n_total")),
+            F.struct(F.lit("meters").alias("scope"), F.col("m_miss").alias("n_missing"),
+                     F.col("m_all").alias("n_total"))]
+    rows += [F.struct(F.lit(v).alias("scope"), F.col(f"t{k}_miss").alias("n_missing"),
+                      F.col(f"t{k}_all").alias("n_total")) for k, v in names.items()]
+    out = one.select(F.inline(F.array(*rows))).where(F.col("n_total") > 0)
     return out.select("scope", F.col("n_missing").cast("bigint").alias("n_missing"),
                       F.col("n_total").cast("bigint").alias("n_total"),
                       F.expr("n_missing * 100 div n_total").cast("bigint").alias("pct"))
