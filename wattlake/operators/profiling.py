@@ -367,8 +367,8 @@ def presence_map(df: DataFrame, meter: int, building_col: str = "building_id",
     meter with a generator, a semi join keeps the hours the meter has, and
     a left join brings the readings."""
     m = df.where(F.col(meter_col) == meter)
-    bounds = m.agg(F.min(time_col).alias("lo"), F.max(time_col).alias("hi"))
-    lo, hi = bounds.select("lo").scalar(), bounds.select("hi").scalar()
+    bounds = m.agg(F.struct(F.min(time_col).alias("lo"), F.max(time_col).alias("hi")).alias("b")).scalar()
+    lo, hi = bounds["lo"], bounds["hi"]
     hours = m.select(time_col).distinct()
     grid = (df.select(building_col).distinct()
             .select(building_col, F.explode(F.sequence(lo, hi, F.expr("INTERVAL 1 HOUR"))).alias(time_col))
@@ -451,7 +451,8 @@ def histogram(df: DataFrame, col: str, bins: int = 10) -> DataFrame:
     present: (bin, lower, upper, count)."""
     c = F.col(col)
     b = df.agg(_dbl(F.min(c)).alias("lo"), _dbl(F.max(c)).alias("hi"))
-    lo, hi = b.select("lo").scalar(), b.select("hi").scalar()
+    lohi = b.select(F.struct("lo", "hi")).scalar()
+    lo, hi = lohi["lo"], lohi["hi"]
     width = (hi - lo) / F.lit(float(bins))
     idx = F.least(F.floor(F.try_divide(c - lo, width)), F.lit(bins - 1)).cast("int")
     counts = (df.where(c.isNotNull()).select(F.coalesce(idx, F.lit(0)).alias("bin"))
