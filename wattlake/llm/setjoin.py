@@ -52,8 +52,8 @@ from wattlake.llm.textvec import U64, chunks, grams, mix, whole, words_of
 CHUNK = 16 << 20
 WIDTH = 5
 REF_BITS = 33
-#: Texts that are sorted together, and the bits left for a shingle's hash.
-GROUP, HASH_BITS = 1024, 54
+#: Texts that are sorted together (under 2**10), and the bits left for a shingle's hash.
+GROUP, HASH_BITS = 1000, 54
 
 
 def shingle_sets(texts: list[bytes], k: int) -> tuple[np.ndarray, np.ndarray]:
