@@ -18,7 +18,7 @@ from collections.abc import Iterator
 import numpy as np
 
 U64 = np.uint64
-BLOCK = 1 << 21
+BLOCK = 1 << 19
 _POW = 1 << 16
 
 
@@ -84,16 +84,16 @@ def words_of(texts: list[bytes], lower: bool, is_word: np.ndarray = SPACE_WORDS
         st, en = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
         if not len(st):
             continue
-        size = en - st
-        total = int(size.sum())
-        before = np.cumsum(size) - size
-        at = np.arange(total, dtype=np.int64) - np.repeat(before, size)  # position inside the word
-        part = table[x[at + np.repeat(st, size)]]
-        if int(size.max()) > _POW:
+        # position inside the word (gaps go on counting and are never summed)
+        at = np.arange(len(x), dtype=np.int32)
+        at[st[0]:] -= np.repeat(st, np.diff(np.append(st, len(x)))).astype(np.int32)
+        part = table[x]
+        if len(x) > _POW and int((en - st).max()) > _POW:
             part *= (at >> 16).astype(U64) * U64(2) + U64(1)
-            at &= _POW - 1
+        at &= _POW - 1
         part *= _powers[at]
-        hashes.append(mix(np.add.reduceat(part, before)))
+        part[~is_word[x]] = 0
+        hashes.append(mix(np.add.reduceat(part, st)))
         starts.append(st + lo)
     if not hashes:
         return np.zeros(0, U64), np.zeros(len(texts) + 1, np.int64)
