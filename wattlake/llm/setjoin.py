@@ -23,10 +23,13 @@ is indexed, so that nothing is lost.
 
 *Links.*  Candidates are verified exactly on the sets, which stay in
 memory-mapped side files.  Copies (equal sets) are represented by one document.
-Within the group of one subset, documents are first compared with a centre;
-what that links needs no further comparison, and the last round compares all
-pairs of the group that are not yet connected.  No pair is lost and a large
-group of near copies costs about one comparison per member.
+Within the group of one subset, documents are first compared with three
+centres; what that connects needs no further comparison.  What is left is
+searched through memory-mapped posting lists: of two documents in different
+components the one with fewer probes reads the lists of its probes and compares
+itself with their members.  No linked pair of different components is missed,
+no pairs become rows, and a large group of near copies costs a few comparisons
+per member.
 
 Nulls and short texts: a text without words has an empty set, no links and is
 its own component; one of fewer than k words has one shingle, its whole word
@@ -279,38 +282,94 @@ def _rows_of(v, key, doc, up, parts, seen, probe, double, short, left, own, weak
     return np.concatenate(keys), np.concatenate(docs), np.concatenate(probes)
 
 
-def _verify(batches, store: str, num: int, den: int) -> Iterator[pa.RecordBatch]:
-    """Keep the pairs (a, b) whose sets are linked."""
-    held: dict[int, tuple] = {}
+class _Sets:
+    """Random access to the sets in the side files."""
 
-    def get(ref: int) -> np.ndarray:
+    def __init__(self, store: str):
+        self.store, self.held = store, {}
+
+    def get(self, ref: int) -> np.ndarray:
         p = ref >> REF_BITS
-        if p not in held:
-            if len(held) > 64:
-                held.pop(next(iter(held)))
-            held[p] = tuple(st.map_array(store, f"sets/{p}", x) for x in ("ord", "off", "val"))
-        o, off, val = held[p]
+        if p not in self.held:
+            if len(self.held) > 256:
+                self.held.pop(next(iter(self.held)))
+            o, off, val = (st.map_array(self.store, f"sets/{p}", x) for x in ("ord", "off", "val"))
+            self.held[p] = np.asarray(o), np.asarray(off), val
+        o, off, val = self.held[p]
         i = int(np.searchsorted(o, ref & ((1 << REF_BITS) - 1)))
         return np.asarray(val[off[i]:off[i + 1]])
 
+    def linked(self, one: np.ndarray, refs: np.ndarray, num: int, den: int) -> np.ndarray:
+        """Which of the sets ``refs`` are linked with the set ``one``?"""
+        out = np.zeros(len(refs), bool)
+        for i in range(0, len(refs), 1024):
+            many = [self.get(int(r)) for r in refs[i:i + 1024]]
+            size = np.fromiter(map(len, many), np.int64, len(many))
+            flat = np.concatenate(many)
+            at = np.minimum(np.searchsorted(one, flat), len(one) - 1)
+            both = np.add.reduceat((one[at] == flat).astype(np.int64), np.cumsum(size) - size)
+            out[i:i + 1024] = den * both >= num * (len(one) + size - both)
+        return out
+
+
+def _verify(batches, store: str, num: int, den: int) -> Iterator[pa.RecordBatch]:
+    """Keep the pairs (a, b) whose sets are linked."""
+    sets = _Sets(store)
     for batch in batches:
         a, b = batch.column(0).to_numpy(), batch.column(1).to_numpy()
         order = np.argsort(a, kind="stable")
+        a, b = a[order], b[order]
         ok = np.zeros(len(a), bool)
-        last, left = None, None
-        for i in order:
-            if a[i] != last:
-                last, left = a[i], get(int(a[i]))
-            right = get(int(b[i]))
-            x, y = (left, right) if len(left) <= len(right) else (right, left)
-            if num * len(y) > den * len(x):
-                continue
-            at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-            both = int((y[at] == x).sum())
-            ok[i] = den * both >= num * (len(x) + len(y) - both)
+        cuts = np.flatnonzero(np.concatenate([[True], a[1:] != a[:-1]])) if len(a) else []
+        for lo, hi in zip(cuts, [*cuts[1:], len(a)]):
+            ok[lo:hi] = sets.linked(sets.get(int(a[lo])), b[lo:hi], num, den)
         yield pa.RecordBatch.from_arrays([pa.array(a[ok]), pa.array(b[ok])], names=["a", "b"])
 
 
+_POST = ("sig", "ref", "component", "size", "probes")
+
+
+def _write_postings(batches, store: str) -> Iterator[pa.RecordBatch]:
+    """One shard's posting lists as sorted arrays."""
+    got = [[b.column(i).to_numpy() for i in range(6)] for b in batches if b.num_rows]
+    if got:
+        cols = [np.concatenate(x) for x in zip(*got)]
+        order = np.lexsort((cols[2], cols[1]))
+        shard = cols[0][order]
+        for s in np.unique(shard):
+            at = order[shard == s]
+            st.put_arrays(store, f"post/{s}", **{n: cols[i + 1][at] for i, n in enumerate(_POST)})
+    yield pa.RecordBatch.from_arrays([pa.array([len(got)], pa.int64())], names=["n"])
+
+
+def _search(batches, store: str, n_shards: int, num: int, den: int) -> Iterator[pa.RecordBatch]:
+    """Compare each set with the members of its probed posting lists in other components."""
+    sets, lists = _Sets(store), {}
+    for batch in batches:
+        left, right = [], []
+        for r in batch.to_pylist():
+            parts = []
+            for sig in set(r["sigs"]):
+                s = sig % n_shards
+                if s not in lists:
+                    lists[s] = [st.map_array(store, f"post/{s}", n) for n in _POST]
+                lo, hi = np.searchsorted(lists[s][0], [sig, sig + 1]) if sig < (1 << 63) - 1 else (
+                    int(np.searchsorted(lists[s][0], sig)), len(lists[s][0]))
+                parts.append([np.asarray(x[lo:hi]) for x in lists[s][1:]])
+            ref, comp, size, probes = (np.concatenate(x) for x in zip(*parts))
+            mine = len(r["sigs"])
+            # the one with fewer probes searches; either side's probes alone find every partner
+            use = ((comp != r["component"]) & (size * num <= r["size"] * den) & (r["size"] * num <= size * den)
+                   & ((probes > mine) | ((probes == mine) & (ref > r["ref"]))))
+            ref = np.unique(ref[use])
+            if len(ref):
+                hit = ref[sets.linked(sets.get(r["ref"]), ref, num, den)]
+                left += [r["ref"]] * len(hit)
+                right.append(hit)
+        a, b = np.array(left, np.int64), np.concatenate(right) if right else np.zeros(0, np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+
 def links(docs: DataFrame, k: int = 5, num: int = 75, den: int = 100, density: float = 0.75
           ) -> tuple[DataFrame, DataFrame, str]:
     """(meta, links, store) of ``docs`` (doc_id bigint, text string).
@@ -334,31 +393,31 @@ def links(docs: DataFrame, k: int = 5, num: int = 75, den: int = 100, density: f
                  .distinct().collect())
     rows = st.saved(src.mapInArrow(partial(_emit_candidates, k=k, bands=bands, n_shards=n_shards, store=store,
                                            weak=weak), "sig long, ref long, size int, probe boolean"), store, "rows")
-    shared = rows.groupBy("sig").agg(F.count("*").alias("n"), F.max("probe").alias("p"), F.min("ref").alias("c1"),
-                                     F.min_by("ref", F.xxhash64("ref")).alias("c2"),
-                                     F.max_by("ref", F.xxhash64("ref", F.lit(7))).alias("c3")).where("n > 1 and p")
-    index = st.saved(rows.join(shared.select("sig", "c1", "c2", "c3"), "sig"), store, "index")
-    check = partial(_verify, store=store, num=num, den=den)
-    n = n_shards
-
-    def verified(pairs: DataFrame, name: str) -> DataFrame:
-        return st.saved(pairs.distinct().repartition(n, "a").mapInArrow(check, "a long, b long"), store, name)
-
-    centres = index.select(F.explode(F.array("c1", "c2", "c3")).alias("c"), "ref").where("c <> ref")
-    found = verified(centres.select(F.least("c", "ref").alias("a"), F.greatest("c", "ref").alias("b")), "links1")
+    dealt = rows.repartition(n_shards, "sig")  # one shuffle for the groups and the join back
+    shared = dealt.groupBy("sig").agg(F.count("*").alias("n"), F.max("probe").alias("p"), F.min("ref").alias("c1"),
+                                      F.min_by("ref", F.xxhash64("ref")).alias("c2"),
+                                      F.max_by("ref", F.xxhash64("ref", F.lit(7))).alias("c3")).where("n > 1 and p")
+    index = st.saved(dealt.join(shared.select("sig", "c1", "c2", "c3"), "sig"), store, "index")
+    centres = (index.select(F.explode(F.array("c1", "c2", "c3")).alias("c"), "ref").where("c <> ref")
+               .select(F.least("c", "ref").alias("a"), F.greatest("c", "ref").alias("b")).distinct())
+    found = st.saved(centres.repartition(n_shards, "a", F.pmod("b", F.lit(16)))
+                     .mapInArrow(partial(_verify, store=store, num=num, den=den), "a long, b long"), store, "links1")
     comp = components(found, store, "cc1")
-    # what is left: pairs of one subset's group in different components, one of them probing
-    named = (index.select("sig", "ref", "size", "probe", "c1", "c2", "c3")
-             .join(comp.withColumnRenamed("node", "ref"), "ref", "left")
+    # what is left: members of one subset's group that are in different components
+    named = (index.select("sig", "ref", "size", "probe").join(comp.withColumnRenamed("node", "ref"), "ref", "left")
              .withColumn("component", F.coalesce("component", "ref")))
     mixed = named.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
-    rest = st.saved(named.join(mixed.select("sig"), "sig"), store, "rest")
-    one, two = rest.alias("x"), rest.alias("y")
-    pairs = (one.join(two, F.expr("x.sig = y.sig and x.probe and x.component <> y.component"
-                                  f" and x.size * {num} <= y.size * {den} and y.size * {num} <= x.size * {den}"
-                                  " and y.ref not in (x.c1, x.c2, x.c3) and x.ref not in (x.c1, x.c2, x.c3)"))
-             .select(F.expr("least(x.ref, y.ref)").alias("a"), F.expr("greatest(x.ref, y.ref)").alias("b")))
-    more = verified(pairs, "links2")
+    rest = st.saved(named.join(mixed.select("sig"), "sig").dropDuplicates(["sig", "ref", "probe"]), store, "rest")
+    seekers = rest.groupBy("ref").agg(F.first("component").alias("component"), F.first("size").alias("size"),
+                                      F.collect_list(F.when(F.col("probe"), F.col("sig"))).alias("sigs"))
+    seekers = st.saved(seekers, store, "seekers")
+    post = (rest.drop("probe").join(seekers.select("ref", F.size("sigs").cast("long").alias("probes")), "ref")
+            .select(F.pmod("sig", F.lit(n_shards)).cast("int").alias("shard"), "sig", "ref", "component",
+                    F.col("size").cast("long").alias("size"), "probes"))
+    post.repartitionById(n_shards, "shard").mapInArrow(partial(_write_postings, store=store), "n long").agg(
+        {"n": "sum"}).collect()
+    more = st.saved(seekers.where("size(sigs) > 0").repartition(n_shards, "ref").mapInArrow(
+        partial(_search, store=store, n_shards=n_shards, num=num, den=den), "a long, b long"), store, "links2")
     return meta, found.union(more), store
 
 
