@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wattlake.llm import setjoin
+from wattlake.llm import kn_lm, setjoin, substrings
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -15,12 +15,22 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kn_lm.score_documents(_table(spark, sf_dir, "documents"), modulo=7, held=2)
+
+
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(_table(spark, sf_dir, "documents"), window=20)
+
+
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = setjoin.near_duplicates(_table(spark, sf_dir, "documents"), k=5, num=75, den=100)
     return out.select("doc_id", "n_shingles", "component_id")
 
 
-QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (op7_jaccard_join,)}
+QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (
+    op3_kneser_ney, op6_substring_dedup, op7_jaccard_join,
+)}
 
 #: DuckDB SQL of the queries that SQL can state.
 ORACLE_SQL: dict[str, str] = {}

@@ -422,12 +422,8 @@ def links(docs: DataFrame, k: int = 5, num: int = 75, den: int = 100, density: f
 
 
 def _meta(spark: SparkSession, store: str) -> DataFrame:
-    try:
-        meta = st.read_table(spark, store, "meta")
-    except Exception as e:  # no partition had a row
-        if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
-            raise
-        return spark.createDataFrame([], "ref long, doc_id long, n_shingles long, lack0 long, lack1 long, rep long")
+    meta = st.read_table(spark, store, "meta", "ref long, doc_id long, n_shingles long, h1 long, h2 long,"
+                         " lack0 long, lack1 long")
     rep = (meta.groupBy("n_shingles", "h1", "h2").agg(F.min("ref").alias("rep")).where("n_shingles > 0"))
     return st.saved(meta.join(rep, ["n_shingles", "h1", "h2"], "left")
                     .select("ref", "doc_id", "n_shingles", "lack0", "lack1", F.coalesce("rep", "ref").alias("rep")),

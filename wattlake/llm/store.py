@@ -113,8 +113,12 @@ def put_table(store: str, folder: str, name: str, table: pa.Table) -> None:
     put(store, f"{folder}/{name}.parquet", buf.getbuffer())
 
 
-def read_table(spark: SparkSession, store: str, folder: str) -> DataFrame:
-    return spark.read.parquet(f"{store}/{folder}")
+def read_table(spark: SparkSession, store: str, folder: str, schema: str) -> DataFrame:
+    """The files of :func:`put_table` (no rows if no task wrote one)."""
+    fs, base = _fs(store)
+    if fs.get_file_info(f"{base}/{folder}").type == pafs.FileType.NotFound:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{store}/{folder}")
 
 
 def saved(df: DataFrame, store: str, name: str) -> DataFrame:
