@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from wattlake.llm import store as st
 from wattlake.llm.textvec import U64
@@ -70,8 +71,11 @@ def gathered(batches) -> list[tuple[int, int, int, bytes]]:
 
 
 def answered(blocks: DataFrame, answer: Callable[[list[bytes]], list[bytes]], n_shards: int, n_pids: int,
-             store: str, name: str) -> None:
-    """Run ``answer`` on each shard's blocks; write each partition's answers to ``name``/pid."""
+             store: str, name: str, given: bool = False) -> None:
+    """Run ``answer`` on each shard's blocks; write each partition's answers to ``name``/pid.
+
+    ``given``: blocks of pid -1 are data for the shard, passed to ``answer`` as a first argument.
+    """
 
     def reduce(batches) -> Iterator[pa.RecordBatch]:
         got = gathered(batches)
@@ -82,7 +86,11 @@ def answered(blocks: DataFrame, answer: Callable[[list[bytes]], list[bytes]], n_
                 j += 1
             part, got[i:j] = got[i:j], [None] * (j - i)
             i = j
-            replies = answer([r[3] for r in part])
+            if given:
+                data, part = [r[3] for r in part if r[1] < 0], [r for r in part if r[1] >= 0]
+                replies = answer(data, [r[3] for r in part]) if part else []
+            else:
+                replies = answer([r[3] for r in part])
             for r, reply in zip(part, replies):
                 yield rows([r[0]], r[1], r[2], [reply])
 
@@ -145,3 +153,36 @@ def count_answer(width: int) -> Callable[[list[bytes]], list[bytes]]:
 
 def pid() -> int:
     return TaskContext.get().partitionId()
+
+
+REF_BITS = 33
+
+
+def with_rows(docs: DataFrame, store: str, wanted: DataFrame, name: str = "wanted") -> DataFrame:
+    """The rows of ``docs`` (a plain scan) whose ref is in ``wanted`` (column ref), all columns, without a shuffle of ``docs``.
+
+    A ref is (partition << REF_BITS) + row number.  Each partition's wanted row
+    numbers go to a side file; repeated refs repeat the row.
+    """
+    n_pids = max(1, docs.rdd.getNumPartitions())
+
+    def write(batches) -> Iterator[pa.RecordBatch]:
+        refs = [b.column(1).to_numpy() for b in batches]
+        r = np.sort(np.concatenate(refs)) if refs else np.zeros(0, np.int64)
+        p = r >> REF_BITS
+        for i in np.unique(p):
+            st.put(store, f"{name}/{i}", (r[p == i] & ((1 << REF_BITS) - 1)).tobytes())
+        yield pa.RecordBatch.from_arrays([pa.array([len(r)], pa.int64())], names=["n"])
+
+    (wanted.select(F.shiftright("ref", REF_BITS).cast("int").alias("pid"), "ref")
+     .repartitionById(n_pids, "pid").mapInArrow(write, "n long").agg({"n": "sum"}).collect())
+
+    def pick(batches) -> Iterator[pa.RecordBatch]:
+        rows_, base = np.frombuffer(st.get(store, f"{name}/{pid()}") or b"", np.int64), 0
+        for b in batches:
+            lo, hi = np.searchsorted(rows_, [base, base + b.num_rows])
+            base += b.num_rows
+            if hi > lo:
+                yield b.take(pa.array(rows_[lo:hi] - (base - b.num_rows)))
+
+    return docs.mapInArrow(pick, docs.schema)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wattlake.llm import kn_lm, setjoin, substrings
+from wattlake.llm import kn_lm, quality, setjoin, substrings
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -28,8 +28,14 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_shingles", "component_id")
 
 
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores, _, _ = quality.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return scores.drop("ref")
+
+
 QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (
     op3_kneser_ney, op6_substring_dedup, op7_jaccard_join,
+    op10_quality_classifier,
 )}
 
 #: DuckDB SQL of the queries that SQL can state.

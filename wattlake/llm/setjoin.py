@@ -54,7 +54,7 @@ from wattlake.llm.textvec import U64, chunks, grams, mix, whole, words_of
 
 CHUNK = 6 << 20
 WIDTH = 5
-REF_BITS = 33
+REF_BITS = ex.REF_BITS
 #: Texts that are sorted together (under 2**10), and the bits left for a shingle's hash.
 GROUP, HASH_BITS = 1000, 54
 
@@ -393,10 +393,12 @@ def links(docs: DataFrame, k: int = 5, num: int = 75, den: int = 100, density: f
                  .distinct().collect())
     rows = st.saved(src.mapInArrow(partial(_emit_candidates, k=k, bands=bands, n_shards=n_shards, store=store,
                                            weak=weak), "sig long, ref long, size int, probe boolean"), store, "rows")
-    dealt = rows.repartition(n_shards, "sig")  # one shuffle for the groups and the join back
+    # One shuffle serves the groups and the join back: the groups use every column, so both sides are the same exchange.
+    dealt = rows.repartition(n_shards, "sig")
     shared = dealt.groupBy("sig").agg(F.count("*").alias("n"), F.max("probe").alias("p"), F.min("ref").alias("c1"),
+                                      F.max("size").alias("m"),
                                       F.min_by("ref", F.xxhash64("ref")).alias("c2"),
-                                      F.max_by("ref", F.xxhash64("ref", F.lit(7))).alias("c3")).where("n > 1 and p")
+                                      F.max_by("ref", F.xxhash64("ref", F.lit(7))).alias("c3")).where("n > 1 and p and m > 0")
     index = st.saved(dealt.join(shared.select("sig", "c1", "c2", "c3"), "sig"), store, "index")
     centres = (index.select(F.explode(F.array("c1", "c2", "c3")).alias("c"), "ref").where("c <> ref")
                .select(F.least("c", "ref").alias("a"), F.greatest("c", "ref").alias("b")).distinct())
