@@ -447,11 +447,25 @@ def _put_reps(meta: DataFrame, n_pids: int, store: str) -> None:
      .repartitionById(n_pids, "pid").mapInArrow(write, "n long").agg({"n": "sum"}).collect())
 
 
+def classes(docs: DataFrame, k: int = 5, num: int = 75, den: int = 100) -> tuple[DataFrame, DataFrame, str]:
+    """(rows, plain scan of ``docs``, store); rows: ref, doc_id, n_shingles, component (a ref) of every document."""
+    scan = st.scanned(docs, st.new_store(docs.sparkSession, "setjoin-input"))
+    meta, pairs, store = links(scan, k, num, den)
+    comp = components(pairs, store, "cc")
+    rows = (meta.join(comp.withColumnRenamed("node", "rep"), "rep", "left")
+            .select("ref", "doc_id", "n_shingles", F.coalesce("component", "rep").alias("component")))
+    return rows, scan, store
+
+
 def near_duplicates(docs: DataFrame, k: int = 5, num: int = 75, den: int = 100) -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles, component_id (smallest doc_id linked with it), ref."""
-    meta, pairs, store = links(docs, k, num, den)
-    comp = components(pairs, store, "cc")
-    named = (meta.join(comp.withColumnRenamed("node", "rep"), "rep", "left")
-             .withColumn("component", F.coalesce("component", "rep")))
-    low = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    return named.join(low, "component").select("doc_id", "n_shingles", "component_id", "ref")
+    rows, _, _ = classes(docs, k, num, den)
+    low = rows.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    return rows.join(low, "component").select("doc_id", "n_shingles", "component_id", "ref")
+
+
+def keep_one(docs: DataFrame, k: int = 5, num: int = 75, den: int = 100) -> DataFrame:
+    """The rows of ``docs`` without near duplicates: of each component the row of smallest doc_id (null last)."""
+    rows, scan, store = classes(docs, k, num, den)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "ref"))
+    return ex.with_rows(scan, store, rows.groupBy("component").agg(first.alias("m")).select("m.ref"))
