@@ -44,7 +44,7 @@ from wattlake.llm.kn_lm import _discounts, _runs
 from wattlake.llm.textvec import SPACE_WORDS, U64, chunks, mix
 
 ORDER = 5
-CHUNK = 4 << 20
+CHUNK = 2 << 20
 TRUSTED, CALIBRATION, TOXIC = 0, 1, 2
 _PAD = b"\n" * (ORDER - 1)
 
