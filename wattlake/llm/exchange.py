@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattlake.llm import store as st
-from wattlake.llm.textvec import U64
+from wattlake.llm.textvec import U64, give_back
 
 BLOCK_SCHEMA = "shard int, pid int, chunk int, data binary"
 _BLOCK = pa.schema([("shard", pa.int32()), ("pid", pa.int32()), ("chunk", pa.int32()), ("data", pa.binary())])
@@ -93,6 +93,8 @@ def answered(blocks: DataFrame, answer: Callable[[list[bytes]], list[bytes]], n_
                 replies = answer([r[3] for r in part])
             for r, reply in zip(part, replies):
                 yield rows([r[0]], r[1], r[2], [reply])
+            del part, replies
+            give_back()
 
     def write(batches) -> Iterator[pa.RecordBatch]:
         by_pid: dict[int, list] = {}

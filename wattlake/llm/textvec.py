@@ -13,9 +13,11 @@ whatever the length of a text.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 
 U64 = np.uint64
 BLOCK = 1 << 19
@@ -133,6 +135,15 @@ def sliding_min(v: np.ndarray, w: int) -> np.ndarray:
     return v
 
 
+def give_back() -> None:
+    """Return freed memory to the system: Spark keeps Python workers, and what they once held, between tasks."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not glibc
+        pass
+
+
 def chunks(batches, text: str, limit: int) -> Iterator[dict[str, list]]:
     """Rows of Arrow batches as column lists, cut after every ``limit`` bytes of text.
 
@@ -155,7 +166,9 @@ def chunks(batches, text: str, limit: int) -> Iterator[dict[str, list]]:
                 yield held
                 held = {name: [] for name in cols}
                 start, size = i + 1, 0
+                give_back()
         for name, values in cols.items():
             held[name].extend(values[start:])
     if held and held[text]:
         yield held
+    give_back()
