@@ -121,8 +121,12 @@ def fit_by_group(df: DataFrame, make: Callable[[], Pipeline], by: str = "meter",
 
 def predict_by_group(df: DataFrame, models: dict, by: str = "meter", pred: str = "prediction",
                      clip_at_zero: bool = True) -> DataFrame:
-    """Score every group with its own model and reassemble (union)."""
-    parts = []
+    """Score every group with its own model and reassemble (union).
+
+    Rows of a group without a model (or with a null group) stay, with a null
+    prediction."""
+    unknown = df.where(~F.coalesce(F.col(by).isin(list(models)), F.lit(False)))
+    parts = [unknown.withColumn(pred, F.lit(None).cast("double"))]
     for g, m in models.items():
         out = m.transform(df.where(F.col(by) == g)).drop(FEATURES_COL)
         if clip_at_zero:
@@ -130,7 +134,7 @@ def predict_by_group(df: DataFrame, models: dict, by: str = "meter", pred: str =
         parts.append(out)
     res = parts[0]
     for p in parts[1:]:
-        res = res.unionByName(p)
+        res = res.unionByName(p, allowMissingColumns=True)
     return res
 
 

@@ -363,16 +363,12 @@ def presence_map(df: DataFrame, meter: int, building_col: str = "building_id",
     every timestamp present for that meter.  A cell with several readings
     takes the sign of the largest.
 
-    Built without a cross join: each building expands the hour range of the
-    meter with a generator, a semi join keeps the hours the meter has, and
-    a left join brings the readings."""
+    Built without a cross join: each building expands the meter's distinct
+    timestamps (one array, as long as the meter has timestamps) with a
+    generator, and a left join brings the readings."""
     m = df.where(F.col(meter_col) == meter)
-    bounds = m.agg(F.struct(F.min(time_col).alias("lo"), F.max(time_col).alias("hi")).alias("b")).scalar()
-    lo, hi = bounds["lo"], bounds["hi"]
-    hours = m.select(time_col).distinct()
-    grid = (df.select(building_col).distinct()
-            .select(building_col, F.explode(F.sequence(lo, hi, F.expr("INTERVAL 1 HOUR"))).alias(time_col))
-            .join(hours, time_col, "left_semi"))
+    times = m.agg(F.sort_array(F.collect_set(time_col))).scalar()
+    grid = df.select(building_col).distinct().select(building_col, F.explode(times).alias(time_col))
     cells = m.groupBy(building_col, time_col).agg(F.max(value_col).alias("__v"))
     return (grid.join(cells, [building_col, time_col], "left")
             .select(building_col, time_col, F.signum("__v").cast("int").alias("presence")))

@@ -60,13 +60,18 @@ def feature_pipeline(meter: DataFrame, weather: DataFrame, building: DataFrame,
     return out.select(*cols)
 
 
+def site0_units(reading, site, meter):
+    """Site 0 reports kBTU: electricity to kWh, chilled water to tons (undone by ``restore_site0_units``)."""
+    reading = convert_units(reading, site, meter, 0, 0, "kbtu_to_kwh")
+    return convert_units(reading, site, meter, 0, 1, "kbtu_to_ton")
+
+
 def eda_clean(meter: DataFrame, building: DataFrame, mult: float = 50) -> DataFrame:
-    """site-0 electricity kBTU -> kWh, IQR outlier removal (upper only,
+    """site-0 electricity kBTU -> kWh and chilled water kBTU -> tons, IQR outlier removal (upper only,
     global), meter name, date parts."""
     from wattlake.operators.joins import join_building
     mb = join_building(meter, building.select("building_id", "site_id"))
-    mb = mb.withColumn("meter_reading", convert_units(F.col("meter_reading"), F.col("site_id"), F.col("meter"),
-                                                      0, 0, "kbtu_to_kwh"))
+    mb = mb.withColumn("meter_reading", site0_units(F.col("meter_reading"), F.col("site_id"), F.col("meter")))
     upper = pr.outlier_thresholds(mb, "meter_reading", "iqr", mult).select("upper").scalar()
     mb = flt.remove_outliers(mb, "meter_reading", upper)
     mb = mb.withColumn("meter_type", map_lookup(F.col("meter"), METER_NAMES))
@@ -75,11 +80,12 @@ def eda_clean(meter: DataFrame, building: DataFrame, mult: float = 50) -> DataFr
 
 def training_frame(meter: DataFrame, weather_done: DataFrame, building: DataFrame,
                    per: str | None = "meter", weather_rows: int | None = None) -> DataFrame:
-    """Model frame: positive readings, features, target = log1p(reading
-    normalised by area)."""
+    """Model frame: positive readings in training units (site 0 converted),
+    features, target = log1p(reading normalised by area)."""
     m = flt.drop_nonpositive(meter).where(F.col("meter_reading").isNotNull())
     fr = feature_pipeline(m, weather_done, building_clean(building),
                           feats=MODEL_FEATURES, keep=("row_id", "meter_reading"), weather_rows=weather_rows)
+    fr = fr.withColumn("meter_reading", site0_units(F.col("meter_reading"), F.col("site_id"), F.col("meter")))
     fr = feat.normalize_by_area(fr, per=per)
     return fr.withColumn("meter_reading", F.log1p("meter_reading"))
 
@@ -125,7 +131,8 @@ def building_limits(building: DataFrame) -> dict:
 
 
 def score(meter: DataFrame, weather: DataFrame, building: DataFrame, encoding, models,
-          on_nulls: str = "raise", bounds: str = "reference", meter_limits: dict | None = None) -> DataFrame:
+          on_nulls: str = "raise", bounds: str = "reference", meter_limits: dict | None = None,
+          mean_area: DataFrame | None = None) -> DataFrame:
     """Batch scoring job: validate -> weather pipeline over the input's own
     interval -> merge -> features -> null check -> predict.
 
@@ -142,4 +149,4 @@ def score(meter: DataFrame, weather: DataFrame, building: DataFrame, encoding, m
                           weather_rows=rows)
     if on_nulls == "raise":
         pr.assert_no_nulls(fr)
-    return prediction_pipeline(fr, encoding, models)
+    return prediction_pipeline(fr, encoding, models, mean_area)

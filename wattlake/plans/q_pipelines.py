@@ -84,7 +84,8 @@ select row_id, building_id, meter, timestamp, site_id, round(meter_reading, 6) a
   cast(hour(timestamp) as int) as hour
 from conv where meter_reading <= (select q75 + (q75 - q25) * 50 from q)""", METER_CTE, BUILDING_CTE,
     """conv as (select m.row_id, m.building_id, m.meter, m.timestamp, b.site_id,
-         case when b.site_id = 0 and m.meter = 0 then m.meter_reading * 0.2931 else m.meter_reading end
+         case when b.site_id = 0 and m.meter = 0 then m.meter_reading * 0.2931
+              when b.site_id = 0 and m.meter = 1 then m.meter_reading * 0.0833 else m.meter_reading end
            as meter_reading
   from meter_fx m left join building_fx b on m.building_id = b.building_id)""",
     """q as (select quantile_cont(meter_reading, 0.25) as q25, quantile_cont(meter_reading, 0.75) as q75
@@ -113,7 +114,7 @@ _CACHE: dict = {}
 
 def model_frame(spark, sf):
     """Training frame with an 80/20 hash split, cached once per session."""
-    key = ("frame", id(spark), sf)
+    key = ("frame", spark.sparkContext.applicationId, sf)
     if key not in _CACHE:
         from wattlake.session import ensure_checkpoint_dir
         ensure_checkpoint_dir(spark)
@@ -126,8 +127,13 @@ def model_frame(spark, sf):
     return _CACHE[key]
 
 
+def mean_area(spark, sf):
+    """Training mean area per meter, kept with the models: scoring scales back by it."""
+    return model_frame(spark, sf).groupBy("meter").agg(F.avg("square_feet").alias("__mean_square_feet"))
+
+
 def fitted(spark, sf, profile="a"):
-    key = ("models", id(spark), sf, profile)
+    key = ("models", spark.sparkContext.applicationId, sf, profile)
     if key not in _CACHE:
         fr = model_frame(spark, sf)
         _CACHE[key] = pl.fit_models(fr.where(F.col("split") == "train"), profile,
@@ -137,7 +143,7 @@ def fitted(spark, sf, profile="a"):
 
 def _encoded(spark, sf):
     fr = model_frame(spark, sf)
-    key = ("encoded", id(spark), sf)
+    key = ("encoded", spark.sparkContext.applicationId, sf)
     if key not in _CACHE:
         encoding, _, _ = fitted(spark, sf, "a")
         _CACHE[key] = encoding.transform(fr).checkpoint(eager=True)
@@ -248,7 +254,7 @@ def q_prediction_pipeline(spark, sf):
     feats = pl.feature_pipeline(fx.scoring_meter(spark, sf), weather_done(spark, sf, "cubic"),
                                 pl.building_clean(fx.buildings(spark, sf)), feats=pl.MODEL_FEATURES,
                                 keep=("row_id",), weather_rows=weather_bound(spark, sf))
-    return pl.prediction_pipeline(feats, encoding, models)
+    return pl.prediction_pipeline(feats, encoding, models, mean_area(spark, sf))
 
 
 @register("score")
@@ -258,7 +264,8 @@ def q_score(spark, sf):
     encoding, models, _ = fitted(spark, sf, "a")
     building = fx.buildings(spark, sf)
     return pl.score(fx.scoring_meter(spark, sf), fx.weather(spark, sf), building, encoding, models,
-                    on_nulls="report", meter_limits=pl.building_limits(building))
+                    on_nulls="report", meter_limits=pl.building_limits(building),
+                    mean_area=mean_area(spark, sf))
 
 
 @register("merge_data", with_ctes("""

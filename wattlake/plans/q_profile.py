@@ -166,9 +166,14 @@ def q_pivot_mean(spark, sf):
 
 
 @register("pivot_count", with_ctes("""
-pivot building_fx on primary_use using count(*) group by site_id""", BUILDING_CTE))
+select s.site_id, u.primary_use, count(b.building_id) as n
+from (select distinct site_id from building_fx) s cross join (select distinct primary_use from building_fx) u
+left join building_fx b on b.site_id = s.site_id and b.primary_use = u.primary_use
+group by 1, 2""", BUILDING_CTE))
 def q_pivot_count(spark, sf):
-    return pr.pivot_count(fx.buildings(spark, sf), "site_id", "primary_use")
+    """The matrix in long form, empty cells included: a pivot's columns depend on the data."""
+    wide = pr.pivot_count(fx.buildings(spark, sf), "site_id", "primary_use")
+    return wide.unpivot("site_id", [c for c in wide.columns if c != "site_id"], "primary_use", "n")
 
 
 @register("presence_map", with_ctes("""

@@ -31,10 +31,10 @@ def register(key: str, sql: str | None = None):
 METER_CTE = """meter_fx AS (
   select event_id as row_id, user_id as building_id,
     case event_type when 'view' then 0 when 'click' then 1 when 'purchase' then 2
-                    when 'error' then 3 end as meter,
+                    when 'error' then 3 when 'signup' then 3 end as meter,
     cast(date_trunc('hour', ts) as timestamp) as timestamp,
     case when event_id % 20 = 0 then cast(0 as double) else value end as meter_reading
-  from events where event_type <> 'signup')"""
+  from events)"""
 
 BUILDING_CTE = """building_fx AS (
   select p_partkey as building_id, cast(p_partkey % 16 as int) as site_id,

@@ -60,8 +60,9 @@ def meter_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hourly meter readings: row_id, building_id, meter, timestamp, meter_reading."""
     ev = table(spark, sf_dir, "events")
     meter = (F.when(F.col("event_type") == "view", 0).when(F.col("event_type") == "click", 1)
-             .when(F.col("event_type") == "purchase", 2).when(F.col("event_type") == "error", 3))
-    return (ev.where(F.col("event_type") != "signup")
+             .when(F.col("event_type") == "purchase", 2)
+             .when(F.col("event_type").isin("error", "signup"), 3))
+    return (ev
             .select(F.col("event_id").alias("row_id"),
                     F.col("user_id").alias("building_id"),
                     meter.alias("meter"),

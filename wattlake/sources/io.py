@@ -57,8 +57,10 @@ def read_json_columns(payloads: DataFrame, schema: T.StructType, payload_col: st
     as_maps = T.StructType([T.StructField(f.name, T.MapType(T.StringType(), T.StringType()))
                             for f in fields])
     parsed = payloads.select(*key_cols, F.from_json(F.col(payload_col), as_maps).alias("__d"))
-    first = fields[0].name
-    rows = parsed.select(*key_cols, F.explode(F.map_keys(F.col(f"__d.{first}"))).alias("__row"), "__d")
+    none = F.array().cast("array<string>")
+    # a row key may be absent from any column: take the keys of all of them
+    keys = F.array_distinct(F.flatten(F.array(*(F.coalesce(F.map_keys(F.col("__d")[f.name]), none) for f in fields))))
+    rows = parsed.select(*key_cols, F.explode(keys).alias("__row"), "__d")
 
     def conv(f: T.StructField):
         raw = F.col("__d")[f.name][F.col("__row")]
