@@ -52,7 +52,7 @@ from wattlake.llm import store as st
 from wattlake.llm.components import components
 from wattlake.llm.textvec import U64, chunks, grams, mix, whole, words_of
 
-CHUNK = 6 << 20
+CHUNK = 2 << 20
 WIDTH = 5
 REF_BITS = ex.REF_BITS
 #: Texts that are sorted together (under 2**10), and the bits left for a shingle's hash.
