@@ -68,7 +68,7 @@ def nth_group(df: DataFrame, start: int, end: int, group_col: str = "meter",
     a semi join, so no single task ever sees a whole group of fact rows."""
     pairs = df.select(group_col, member_col).distinct()
     ranked = (pairs.withColumn("__rank", F.row_number().over(
-        Window.partitionBy(group_col).orderBy(member_col)) - 1)
-        .where((F.col("__rank") >= start) & (F.col("__rank") < end))
+        Window.partitionBy(group_col).orderBy(member_col)))
+        .where((F.col("__rank") > start) & (F.col("__rank") <= end))  # on the bare number: planned as a group limit
         .drop("__rank"))
     return df.join(ranked, [group_col, member_col], "left_semi")
