@@ -152,6 +152,21 @@ def test_extraction(spark):
     assert all(r.n_chars == len(r.text) for r in out.values())
 
 
+def test_loose_words_do_not_drop_main_text(spark):
+    text = "main words of the page that go on for a while"
+    shapes = ["<article class='post category-social'>{}</article>", "<main class='has-sidebar'>{}</main>",
+              "<body class='blog has-sidebar'><div>{}</div>", "<article><div style='overflow:hidden'>{}</div></article>",
+              "<article><div aria-hidden=false data-id=menu>{}</div></article>", "<article><a href='/hidden-falls'>{}</a></article>",
+              "<article><section id=related-work><h2 id=social-history>{}</h2></section></article>", "<div class='post social'><article>{}</article></div>",
+              "<form id=aspnet><div class=menu-page>{}</div></form>", "<div class=notice>{}</div><div class=notice></div>"]
+    drop = ["<article>{}<div class='x comments'>no</div></article>", "<article>{}<div hidden>no</div></article>",
+            "<article>{}<p style='color:red; display: none'>no</p></article>", "<article>{}<div id=sidebar>no</div></article>",
+            "<article>{}<ul class=post-related><li><a href=/x>no</a></ul></article>", "<article>{}</article><div class=related><article>no</article></div>"]
+    pages = [(i, f"https://s{i}.org/", s.format(text)) for i, s in enumerate(shapes + drop)]
+    got = {r.page_id: r.text for r in wrappers.extract_pages(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert got == {i: text for i in range(len(pages))}
+
+
 def test_wrapper_alignment():
     page = lambda s: wrappers.fold(wrappers.read_page(s))
     w = wrappers.align(page("<ul><li>a<li>b</ul><p>x</p><i>same</i>"), page("<p>y</p><hr><i>same</i>"))

@@ -14,11 +14,18 @@ all its pages into one wrapper per host, and partial wrappers of a host are
 folded pairwise in rounds.  A wrapper's size depends on the template, not on the
 number of pages; all pages of a host take part, whatever their number.
 
-*Main region.*  Parts whose tag or class names a menu, header, footer, sidebar,
-notice, advert, form, script, style or comment are template, as is text that is
-constant on all of at least ``constant_pages`` pages outside an article.  The
-main region is the wrapper's article (else main) element; without one, the
-deepest part that holds most of the host's slot text outside links.
+*Main region.*  Template are parts whose tag, role, whole class name, or whole id
+of a plain container, names a menu, header, footer, sidebar, notice, advert,
+form, script, style or comment, and hidden parts.  A mere word of a class or id is
+a hint: the part is template if most of its text is in links or all of it is
+constant on at least ``constant_pages`` pages.  html, body, article and main are
+never template.  Text that is constant on all of at least
+``constant_pages`` pages outside an article is template too.  The main region is the
+wrapper's article (else main) element; without one, the deepest part that holds most of
+the host's slot text outside links.  What encloses the main region is not
+template: an article inside a marked part is the main region if it holds more
+text than all that is outside marked parts, and marks do not count where all text
+is in marked parts.
 
 *Extraction.*  Each page's groups are matched with its host's wrapper, and the
 text of the main region is collected: character references decoded, white space
@@ -71,13 +78,18 @@ SKIP_WORDS = frozenset(
     " share sharing social related recommended recommendations newsletter subscribe subscription signup login search searchbox form"
     " skip hidden print copyright widget contentinfo complementary".split())
 
+#: Elements that are never template, and containers whose whole id names a role (ids of headings and sections come from their text).
+REGIONS = frozenset("html body article main".split())
+CONTAINERS = frozenset("div ul ol table tbody tr td".split())
+
 #: Elements nested deeper are read as siblings.
 DEPTH = 200
 
 _TOKEN = re.compile(
     r"<!--(?P<comment>.*?)(?:-->|\Z)|<[!?](?P<decl>[^>]*)(?:>|\Z)|</(?P<end>[a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)"
     r"|<(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)|(?P<text>[^<]+|<)", re.S)
-_ATTR = re.compile(r"""\b(class|id|role|hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+_ATTR = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
+_UNSEEN = re.compile(r"(?:^|;)\s*display\s*:\s*none\b")
 _WORDS = re.compile(r"[a-z]+")
 _SPACE = re.compile(r"\s+")
 
@@ -92,13 +104,32 @@ class Node:
 
 
 def _key(tag: str, attrs: str) -> str:
-    """Tag and the sorted letter words of class, id and role (numbers differ from page to page)."""
-    if not attrs or "=" not in attrs and "hidden" not in attrs:
+    """Tag and the sorted letter words of class, id and role (numbers differ from page to page).
+
+    Before them a mark: ``!`` template by its own role, ``+`` main region by its
+    own role, ``?`` some word of a class or id hints at template.
+    """
+    if not attrs or "=" not in attrs and "hidden" not in attrs.lower():
         return tag
-    words = set()
+    given: dict[str, str] = {}
     for name, value in _ATTR.findall(attrs):
-        words.update(_WORDS.findall((value or name).lower()) if name.lower() != "hidden" else ["hidden"])
-    return ".".join([tag, *sorted(words)])
+        given.setdefault(name.lower(), value.strip("\"'").lower())
+    classes, own, role = (given.get(x, "").split() for x in ("class", "id", "role"))
+    words = set(_WORDS.findall(" ".join(classes + own + role)))
+    mark = ""
+    if tag not in SKIP_TAGS and tag not in REGIONS:
+        names = {*classes, *role, *(own if tag in CONTAINERS and "section" not in classes else ())}
+        if "hidden" in given or _UNSEEN.search(given.get("style", "")):
+            mark = "!"
+        elif "main" in role or "main" in own:
+            mark = "+"
+        elif names & SKIP_WORDS:
+            mark = "!"
+        elif "main" in classes or "articlebody" in classes:
+            mark = "+"
+        elif words & SKIP_WORDS:
+            mark = "?"
+    return mark + ".".join([tag, *sorted(words)])
 
 
 def read_page(text: str) -> Node:
@@ -207,37 +238,83 @@ def expression(w: list, above: int | None = None) -> str:
     return body if above is None or w[SEEN] >= above else f"({body})?"
 
 
-def is_template(key: str) -> bool:
-    tag, *words = key.split(".")
-    return tag in SKIP_TAGS or any(x in SKIP_WORDS for x in words)
+def is_template(key: str, marks: bool = True) -> bool:
+    """By its own role; without ``marks`` by its tag alone, and a form may enclose the page."""
+    if key[0] in "!?+":
+        return marks and key[0] == "!"
+    tag = key.split(".", 1)[0]
+    return tag in SKIP_TAGS and (marks or tag != "form")
+
+
+def _is_region(key: str, names: tuple[str, ...]) -> bool:
+    tag, *words = key.lstrip("!?+").split(".")
+    if tag in names:
+        return True
+    return key[0] != "!" and "articlebody" in words or "main" in names and "main" in words and key[0] not in "!?" and tag not in SKIP_TAGS
+
+
+def _hinted(p: list, constant_pages: int) -> bool:
+    """Whether a part of which a word hints at template is one: mostly links, or nothing but constant text."""
+
+    def total(x: list) -> tuple[int, int, bool]:
+        text, link = x[SLOT], x[LINK]
+        fixed = x[TEXT] is None or x[TEXT] != 1 and x[SEEN] >= constant_pages
+        for c in x[PARTS]:
+            t, k, f = total(c)
+            text, link, fixed = text + t, link + k, fixed and f
+        return text, link, fixed
+
+    text, link, fixed = total(p)
+    return fixed or link > text
+
+
+def _hints(w: list, constant_pages: int, path: tuple[str, ...] = ()) -> set[tuple[str, ...]]:
+    """Paths of the hinted parts that are template."""
+    out = set()
+    for p in w[PARTS]:
+        at = (*path, p[KEY])
+        if p[KEY][0] == "?" and _hinted(p, constant_pages):
+            out.add(at)
+        else:
+            out |= _hints(p, constant_pages, at)
+    return out
 
 
-def _tagged(w: list, names: tuple[str, ...], path: tuple[str, ...]) -> list[tuple[str, ...]]:
-    """Outermost parts of these kinds outside template parts."""
+def _tagged(w: list, names: tuple[str, ...], path: tuple[str, ...], skip: set, marks: bool = True) -> list[tuple[tuple[str, ...], list]]:
+    """Outermost parts of these kinds outside template parts, with their paths."""
     out = []
     for p in w[PARTS]:
-        tag, *words = p[KEY].split(".")
-        if tag in names or "articlebody" in words or ("main" in words and "main" in names):
-            out.append((*path, p[KEY]))
-        elif not is_template(p[KEY]):
-            out += _tagged(p, names, (*path, p[KEY]))
+        at = (*path, p[KEY])
+        if _is_region(p[KEY], names):
+            out.append((at, p))
+        elif not is_template(p[KEY], marks) and not (marks and at in skip):
+            out += _tagged(p, names, at, skip, marks)
     return out
 
 
-def _weight(w: list) -> int:
-    return 0 if is_template(w[KEY]) else w[SLOT] - w[LINK] + sum(_weight(p) for p in w[PARTS])
+def _weight(w: list, path: tuple[str, ...], skip: set, marks: bool = True) -> int:
+    """Text outside links and template parts below a part."""
+    return w[SLOT] - w[LINK] + sum(_weight(p, at, skip, marks) for p in w[PARTS] for at in [(*path, p[KEY])]
+                                   if not is_template(p[KEY], marks) and not (marks and at in skip))
 
 
 def rules(w: list, constant_pages: int = 5, most: float = 0.7) -> dict:
-    """What extraction needs of a wrapper: paths of the main region, and of constant template texts."""
-    for names in (("article",), ("main",)):
-        found = _tagged(w, names, ())
-        if found:
-            return {"main": ["/".join(p) for p in found], "constant": []}
+    """What extraction needs of a wrapper: paths of the main region, of constant template texts and of hinted
+    template parts, and whether marks count."""
+    skip = _hints(w, constant_pages)
+    outside = _weight(w, (), skip)
+    for marks in (True, False):
+        for names in (("article",), ("main",)):
+            found = _tagged(w, names, (), skip, marks)
+            if found and (marks or sum(_weight(p, at, skip) for at, p in found) > outside):
+                return {"main": ["/".join(at) for at, _ in found], "constant": [], "template": ["/".join(x) for x in skip], "marks": True}
+    marks = outside > 0
     at, path = w, ()
     while True:  # down to the part that holds most of the text
-        best = max(at[PARTS], key=_weight, default=None)
-        if best is None or best[REPEAT] == 2 or _weight(best) < most * max(1, _weight(at)):
+        parts = [(_weight(p, (*path, p[KEY]), skip, marks), p) for p in at[PARTS]
+                 if not is_template(p[KEY], marks) and not (marks and (*path, p[KEY]) in skip)]
+        size, best = max(parts, key=lambda x: x[0], default=(0, None))
+        if best is None or best[REPEAT] == 2 or size < most * max(1, _weight(at, path, skip, marks)):
             break
         at, path = best, (*path, best[KEY])
     constant: list[str] = []
@@ -249,12 +326,13 @@ def rules(w: list, constant_pages: int = 5, most: float = 0.7) -> dict:
             walk(c, (*p, c[KEY]))
 
     walk(at, path)
-    return {"main": ["/".join(path)], "constant": constant}
+    return {"main": ["/".join(path)], "constant": constant, "template": ["/".join(x) for x in skip] if marks else [], "marks": marks}
 
 
 def extract(page: Node, rule: dict) -> str:
     """Text of the main region."""
-    main, constant = set(rule["main"]), set(rule["constant"])
+    main, constant, template, marks = set(rule["main"]), set(rule["constant"]), set(rule["template"]), rule["marks"]
+    above = {m[:i] for m in main for i, x in enumerate(m) if x == "/"}
     out: list[str] = []
 
     def collect(node: Node, path: str) -> None:
@@ -263,11 +341,14 @@ def extract(page: Node, rule: dict) -> str:
             if isinstance(c, str):
                 if not skip:
                     out.append(html.unescape(c))
-            elif not is_template(c.key):
+            elif not is_template(c.key, marks):
+                at = f"{path}/{c.key}" if path else c.key
+                if at in template:
+                    continue
                 block = c.tag in BLOCKS
                 if block:
                     out.append(" ")
-                collect(c, f"{path}/{c.key}" if path else c.key)
+                collect(c, at)
                 if block:
                     out.append(" ")
 
@@ -277,8 +358,10 @@ def extract(page: Node, rule: dict) -> str:
             out.append(" ")
             return
         for c in node.children:
-            if isinstance(c, Node) and (not is_template(c.key) or c.tag in ("html", "body")):
-                find(c, f"{path}/{c.key}" if path else c.key)
+            if isinstance(c, Node):
+                at = f"{path}/{c.key}" if path else c.key
+                if at in main or at in above:
+                    find(c, at)
 
     find(page, "")
     # a decoded space is white space like any other
@@ -330,7 +413,7 @@ def infer_wrappers(pages: DataFrame) -> DataFrame:
 
 
 def _with_rules(batches, given: dict | None) -> Iterator[pa.RecordBatch]:
-    whole = {"main": [""], "constant": []}
+    whole = {"main": [""], "constant": [], "template": [], "marks": True}
     for b in batches:
         cols = {n: b.column(i).to_pylist() for i, n in enumerate(b.schema.names)}
         texts = []
