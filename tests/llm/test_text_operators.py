@@ -167,6 +167,17 @@ def test_loose_words_do_not_drop_main_text(spark):
     assert got == {i: text for i in range(len(pages))}
 
 
+@pytest.mark.parametrize("join", [True, False])
+def test_main_region_is_chosen_per_page(spark, join):
+    text = lambda i: f"main words of page {i} " * (3 + i % 4)
+    shapes = ["<html><body><article><p>{}</article><div class=b>{}</div>", "<html><body><div class=content><p>{}</div><div class=b>x{}</div>",
+              "<html><body><main><p>{}</main><p>{}", "<html><body><div class=old><table><tr><td>{}</table></div><p>same</p>"]
+    urls = ["https://h.org/{}", None, "/relative/{}"]
+    pages = [(100 * u + i, url and url.format(i), shapes[i % 4].format(text(i), i)) for u, url in enumerate(urls) for i in range(40)]
+    out = wrappers.extract_pages(spark.createDataFrame(pages, "page_id long, url string, html string").repartition(5), 0 if join else 1 << 20)
+    assert {r.page_id: r.text for r in out.collect()} == {i: text(i % 100).strip() for i, _, _ in pages}
+
+
 def test_wrapper_alignment():
     page = lambda s: wrappers.fold(wrappers.read_page(s))
     w = wrappers.align(page("<ul><li>a<li>b</ul><p>x</p><i>same</i>"), page("<p>y</p><hr><i>same</i>"))

@@ -20,19 +20,24 @@ form, script, style or comment, and hidden parts.  A mere word of a class or id
 a hint: the part is template if most of its text is in links or all of it is
 constant on at least ``constant_pages`` pages.  html, body, article and main are
 never template.  Text that is constant on all of at least
-``constant_pages`` pages outside an article is template too.  The main region is the
-wrapper's article (else main) element; without one, the deepest part that holds most of
-the host's slot text outside links.  What encloses the main region is not
-template: an article inside a marked part is the main region if it holds more
-text than all that is outside marked parts, and marks do not count where all text
-is in marked parts.
+``constant_pages`` pages outside an article is template too.
+
+The main region is chosen page by page: the parts of the page at the host's
+article (else main) paths; a page that has none of them, the deepest part that
+holds most of its text outside links, where each part that the page has counts
+with its mean text over the host's pages that have it.  So every template of a
+host keeps its own region.  What encloses the main region is not template: an
+article inside a marked part is the main region if it holds more text than all
+that is outside marked parts, and marks do not count where all text is in marked
+parts.
 
 *Extraction.*  Each page's groups are matched with its host's wrapper, and the
 text of the main region is collected: character references decoded, white space
 inside a block as one space, blocks in page order joined by one space.  Nothing
 is capped.
 
-Null or empty html: empty text.  Null or relative url: the host "".  A page
+Null or empty html: empty text.  Pages of null or relative url have no host in
+common: each is its own wrapper.  A page
 without any text in the main region has an empty text.  Truncated markup is read
 as far as it goes; elements nested more than DEPTH deep are read as siblings.  Repeated rows are extracted each; extra columns are ignored.
 """
@@ -43,7 +48,7 @@ import html
 import json
 import re
 from collections.abc import Iterator
-from functools import partial
+from functools import lru_cache, partial
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -298,16 +303,57 @@ def _weight(w: list, path: tuple[str, ...], skip: set, marks: bool = True) -> in
                                    if not is_template(p[KEY], marks) and not (marks and at in skip))
 
 
-def rules(w: list, constant_pages: int = 5, most: float = 0.7) -> dict:
-    """What extraction needs of a wrapper: paths of the main region, of constant template texts and of hinted
-    template parts, and whether marks count."""
+def _on_every_page(w: list, path: tuple[str, ...]) -> bool:
+    pages, above = w[SEEN], 1
+    for key in path:
+        w = next(p for p in w[PARTS] if p[KEY] == key)
+        if above == 2 or w[SEEN] < pages:  # inside a repeated part, pages are not counted
+            return False
+        above = w[REPEAT]
+    return True
+
+
+def rules(w: list, constant_pages: int = 5) -> dict:
+    """What extraction needs of a host's wrapper: article and main paths, hinted template parts, and, unless every page
+    has one of the paths, constant texts and each part's mean text outside links and whether it repeats."""
     skip = _hints(w, constant_pages)
+    main = [_tagged(w, names, (), skip) for names in (("article",), ("main",))]
+    out = {"main": [["/".join(at) for at, _ in found] for found in main], "template": ["/".join(x) for x in skip],
+           "constant": [], "weight": {}}
+    if any(_on_every_page(w, at) for found in main for at, _ in found):
+        return out
+
+    def walk(x: list, path: str, pages: int) -> None:
+        if isinstance(x[TEXT], str) and x[SEEN] >= constant_pages and x[REPEAT] == 1:
+            out["constant"].append(path)
+        pages = min(pages, x[SEEN])  # inside a repeated part, parts are seen more often than pages
+        if x[TEXT] is not None or x[REPEAT] == 2:
+            out["weight"][path] = [round((x[SLOT] - x[LINK]) / pages, 1), x[REPEAT]]
+        for c in x[PARTS]:
+            walk(c, f"{path}/{c[KEY]}" if path else c[KEY], pages)
+
+    walk(w, "", w[SEEN])
+    return out
+
+
+def _own_region(page: Node, rule: dict, most: float = 0.7) -> tuple[set[str], bool]:
+    """Paths of the main region of a page that has none of its host's article and main paths, and whether marks count."""
+    w, given, hinted = fold(page), rule["weight"], set(rule["template"])
+    # a part of which the host knows nothing speaks for itself
+    skip = {tuple(x.split("/")) for x in hinted} if given else _hints(w, 5)
+
+    def mean(x: list, path: tuple[str, ...]) -> list:
+        """The page's part, with the host's mean text and repetition."""
+        size, repeat = given.get("/".join(path), (x[SLOT] - x[LINK], x[REPEAT]))
+        return [x[KEY], 1, max(repeat, x[REPEAT]), x[TEXT], size, 0, [mean(c, (*path, c[KEY])) for c in x[PARTS]]]
+
+    w = mean(w, ())
     outside = _weight(w, (), skip)
     for marks in (True, False):
         for names in (("article",), ("main",)):
             found = _tagged(w, names, (), skip, marks)
             if found and (marks or sum(_weight(p, at, skip) for at, p in found) > outside):
-                return {"main": ["/".join(at) for at, _ in found], "constant": [], "template": ["/".join(x) for x in skip], "marks": True}
+                return {"/".join(at) for at, _ in found}, True
     marks = outside > 0
     at, path = w, ()
     while True:  # down to the part that holds most of the text
@@ -315,24 +361,13 @@ def rules(w: list, constant_pages: int = 5, most: float = 0.7) -> dict:
                  if not is_template(p[KEY], marks) and not (marks and (*path, p[KEY]) in skip)]
         size, best = max(parts, key=lambda x: x[0], default=(0, None))
         if best is None or best[REPEAT] == 2 or size < most * max(1, _weight(at, path, skip, marks)):
-            break
+            return {"/".join(path)}, marks
         at, path = best, (*path, best[KEY])
-    constant: list[str] = []
-
-    def walk(x: list, p: tuple) -> None:
-        if isinstance(x[TEXT], str) and x[SEEN] >= constant_pages and x[REPEAT] == 1:
-            constant.append("/".join(p))
-        for c in x[PARTS]:
-            walk(c, (*p, c[KEY]))
-
-    walk(at, path)
-    return {"main": ["/".join(path)], "constant": constant, "template": ["/".join(x) for x in skip] if marks else [], "marks": marks}
 
 
 def extract(page: Node, rule: dict) -> str:
     """Text of the main region."""
-    main, constant, template, marks = set(rule["main"]), set(rule["constant"]), set(rule["template"]), rule["marks"]
-    above = {m[:i] for m in main for i, x in enumerate(m) if x == "/"}
+    template = set(rule["template"])
     out: list[str] = []
 
     def collect(node: Node, path: str) -> None:
@@ -343,7 +378,7 @@ def extract(page: Node, rule: dict) -> str:
                     out.append(html.unescape(c))
             elif not is_template(c.key, marks):
                 at = f"{path}/{c.key}" if path else c.key
-                if at in template:
+                if at in template and marks:
                     continue
                 block = c.tag in BLOCKS
                 if block:
@@ -352,22 +387,38 @@ def extract(page: Node, rule: dict) -> str:
                 if block:
                     out.append(" ")
 
-    def find(node: Node, path: str) -> None:
+    def find(node: Node, path: str) -> bool:
+        """Whether the page has any of the paths."""
         if path in main:
             collect(node, path)
             out.append(" ")
-            return
+            return True
+        found = False
         for c in node.children:
             if isinstance(c, Node):
                 at = f"{path}/{c.key}" if path else c.key
                 if at in main or at in above:
-                    find(c, at)
+                    found = find(c, at) or found
+        return found
 
-    find(page, "")
+    marks, constant = True, set()
+    for paths in map(set, rule["main"]):
+        main, above = paths, _above(paths)
+        if paths and find(page, ""):
+            break
+    else:
+        main, marks = _own_region(page, rule)
+        above = _above(main)
+        constant = set(rule["constant"])
+        find(page, "")
     # a decoded space is white space like any other
     return _SPACE.sub(" ", "".join(out)).strip()
 
 
+def _above(paths: set[str]) -> set[str]:
+    return {p[:i] for p in paths for i, x in enumerate(p) if x == "/"}
+
+
 def host_of(url: str | None) -> str:
     m = re.match(r"(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", url or "")
     return m[1].lower() if m else ""
@@ -378,8 +429,8 @@ def _partial_wrappers(batches) -> Iterator[pa.RecordBatch]:
     held: dict[str, list] = {}
     for b in batches:
         for url, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-            if text:
-                h = host_of(url)
+            h = host_of(url)
+            if text and h:
                 w = fold(read_page(text))
                 held[h] = align(held[h], w) if h in held else w
         if len(held) > 20000:  # many hosts: pass on what is there
@@ -413,7 +464,8 @@ def infer_wrappers(pages: DataFrame) -> DataFrame:
 
 
 def _with_rules(batches, given: dict | None) -> Iterator[pa.RecordBatch]:
-    whole = {"main": [""], "constant": [], "template": [], "marks": True}
+    own = {"main": [], "template": [], "constant": [], "weight": {}}  # no host: the page alone
+    read = lru_cache(64)(json.loads)
     for b in batches:
         cols = {n: b.column(i).to_pylist() for i, n in enumerate(b.schema.names)}
         texts = []
@@ -422,9 +474,9 @@ def _with_rules(batches, given: dict | None) -> Iterator[pa.RecordBatch]:
                 texts.append("")
                 continue
             if given is not None:
-                rule = given.get(host_of(url), whole)
+                rule = given.get(host_of(url), own)
             else:
-                rule = json.loads(cols["rules"][i]) if cols["rules"][i] else whole
+                rule = read(cols["rules"][i]) if cols["rules"][i] else own
             texts.append(extract(read_page(page), rule))
         yield pa.RecordBatch.from_pydict({
             "page_id": pa.array(cols["page_id"], pa.int64()), "url": pa.array(cols["url"], pa.string()),
