@@ -213,6 +213,26 @@ def test_quality_rejects_junk_and_keeps_clean(spark, docs, empty):
     assert quality.classify(empty, labels)[0].count() == 0
 
 
+def test_quality_thresholds_are_each_languages_own(spark):
+    d, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    rng, alphabet = np.random.default_rng(5), [chr(c) for c in range(0x4E00, 0x4F00)]
+    rare = [(10 ** 6 + i, "".join(rng.choice(alphabet, 300)), lang) for i, lang in enumerate(["zz"] * 30 + ["yy"] * 5 + [None])]
+    more = spark.createDataFrame(rare, "doc_id long, text string, lang string")
+    marks = spark.createDataFrame([(i, 1, 0) for i, _, lang in rare if lang == "zz"], "doc_id long, quality int, toxic int")
+    both, mine = d.select("doc_id", "text", "lang").unionByName(more), labels.select("doc_id", "quality", "toxic").unionByName(marks)
+    rows = quality.classify(both, mine)[0].where("doc_id >= 1000000").collect()
+    assert len(rows) == 36 and all(r.keep for r in rows)
+    assert all((r.threshold is None) == (r.lang != "zz") for r in rows)
+    # the thresholds are the quantiles of all trusted rows that are not trained on, also of those beyond the sample
+    out = quality.classify(d, labels, max_trusted=30)[0].join(labels, "doc_id").where("quality = 1 and toxic = 0 and lang = 'en'").collect()
+    above = [r for r in out if r.perplexity > r.threshold / (1 + 3 / r.n_bytes ** 0.5)]
+    assert len(out) > 120 and len(above) <= 0.02 * len(out)
+
+
+def test_small_sample_quantile():
+    assert np.allclose([quality._student(n, 0.99) for n in (1, 2, 10, 48)], [31.8205, 6.9646, 2.7638, 2.4066], rtol=2e-3)
+
+
 def test_kneser_ney_bytes_sum_to_one():
     text = b"abab abba baab " * 9
     k, n = np.unique(quality.keys_of([text])[0], return_counts=True)

@@ -1,10 +1,12 @@
 """Quality classifier: perplexity under a Kneser-Ney model of trusted text (operator 10).
 
 Two interpolated modified Kneser-Ney models over UTF-8 bytes (order 5) are
-trained on a bounded sample of labelled documents, the ``max_trusted`` and
-``max_toxic`` labelled rows of the smallest hash: one on trusted text (quality 1,
-toxic 0), one on toxic text.  A third of the trusted sample is not trained on
-but calibrates the thresholds.
+trained on a bounded sample of labelled documents, one on trusted text (quality
+1, toxic 0; two thirds of ``max_trusted``), one on toxic text (``max_toxic``).
+Every language has an equal share of a sample, or all its rows if it has fewer,
+those of the smallest hash.  A third of the trusted documents, by hash, is never
+trained on.  All trusted documents that were not trained on, whatever their
+number, calibrate the thresholds.
 
 A document is rejected if
 - its perplexity per byte under the trusted model is above its language's
@@ -13,7 +15,10 @@ A document is rejected if
 - one of its words is far likelier under the toxic model than under the trusted
   one: the largest sum of log-ratios over a word is above its language's
   ``toxic_quantile``, plus ``toxic_margin`` (in powers of ten).
-A language with fewer than ``least`` calibration documents uses all of them.
+No language is judged by another's threshold.  Where a language has fewer than
+``least`` calibration documents, their quantile is the upper prediction bound of
+Student's t (of the log perplexity, of the toxic word), which is wide for few
+documents; a language with fewer than two has no threshold and is kept.
 
 *Sharded count joins.*  Each document partition sends its distinct 5-grams,
 packed, to the shard of their third and fourth byte.  The model's 5-gram counts
@@ -35,7 +40,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattlake.llm import exchange as ex
@@ -45,7 +50,7 @@ from wattlake.llm.textvec import SPACE_WORDS, U64, chunks, mix
 
 ORDER = 5
 CHUNK = 2 << 20
-TRUSTED, CALIBRATION, TOXIC = 0, 1, 2
+TRUSTED, TOXIC = 0, 2
 _PAD = b"\n" * (ORDER - 1)
 
 
@@ -233,19 +238,51 @@ def _score(batches, store: str, n_shards: int, part_of: dict) -> Iterator[pa.Rec
         base += n
 
 
-def _sample(labels: DataFrame, max_trusted: int, max_toxic: int) -> dict:
-    """doc_id -> part of the bounded sample (at most max_trusted + max_toxic entries)."""
-    label = labels.where("doc_id is not null").groupBy("doc_id").agg(
-        F.min("quality").alias("q"), F.max("toxic").alias("t"))
+def _drawn(rows: DataFrame, n: int) -> list[int]:
+    """doc_ids of at most n of ``rows`` (distinct doc_id, l), an equal share of each language, of the smallest hash."""
+    sizes = sorted(((r["n"], r["l"]) for r in rows.groupBy("l").agg(F.count("*").alias("n")).collect()))  # languages are few
+    take, left = {}, n
+    for i, (size, lang) in enumerate(sizes):
+        take[lang] = min(size, max(1, left // (len(sizes) - i)))
+        left -= take[lang]
+    if not take:
+        return []
+    # about twice the share passes, and is cut after the order by hash
+    most = rows.sparkSession.createDataFrame(
+        [(lang, int(min(1.0, (2 * take[lang] + 64) / size) * (1 << 30))) for size, lang in sizes], "l string, most long")
+    got: dict[str, list] = {lang: [] for lang in take}
+    h = F.pmod(F.xxhash64("doc_id", F.lit("draw")), F.lit(1 << 30))
+    for r in rows.withColumn("h", h).join(F.broadcast(most), "l").where("h < most").select("l", "h", "doc_id").collect():
+        got[r["l"]].append((r["h"], r["doc_id"]))
+    return [d for lang, found in got.items() for _, d in sorted(found)[:take[lang]]]
+
+
+def _labelled(src: DataFrame, labels: DataFrame) -> DataFrame:
+    """(doc_id, q, t, l) of every labelled document; l is empty for a null language."""
+    label = labels.where("doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("q"), F.max("toxic").alias("t"))
+    lang = F.coalesce(F.concat(F.lit("="), "lang"), F.lit(""))
+    own = src.where("doc_id is not null").groupBy("doc_id").agg(F.max(lang).alias("l"))
+    return own.join(label, "doc_id")
+
+
+def _sample(labelled: DataFrame, max_trusted: int, max_toxic: int) -> dict:
+    """doc_id -> part of the bounded sample that is trained on."""
+    out = dict.fromkeys(_drawn(labelled.where("q = 1 and t = 0 and pmod(xxhash64(doc_id), 3) != 2"), 2 * max_trusted // 3), TRUSTED)
+    out.update(dict.fromkeys(_drawn(labelled.where("t = 1"), max_toxic), TOXIC))
+    return out
 
-    def smallest(rows: DataFrame, n: int) -> list:
-        order = F.xxhash64("doc_id")
-        return [r[0] for r in rows.orderBy(order, "doc_id").limit(n).select("doc_id").collect()]
 
-    out = {d: CALIBRATION if i % 3 == 2 else TRUSTED
-           for i, d in enumerate(smallest(label.where("q = 1 and t = 0"), max_trusted))}
-    out.update({d: TOXIC for d in smallest(label.where("t = 1"), max_toxic)})
-    return out
+def _student(df: int, quantile: float) -> float:
+    """Quantile (above one half) of Student's t: with t = sqrt(df) tan(a) the density is proportional to cos(a) ** (df - 1)."""
+    a = np.linspace(0, np.pi / 2, 100_001)
+    area = np.cumsum(np.cos(a) ** (df - 1))
+    return float(np.sqrt(df) * np.tan(a[np.searchsorted(area, (2 * quantile - 1) * area[-1])]))
+
+
+def _bound(mean: str, sd: str, quantile: float, least: int) -> Column:
+    """Upper prediction bound from n = 2 to ``least`` - 1 values; null for fewer."""
+    k = [(n, _student(n - 1, quantile) * (1 + 1 / n) ** 0.5) for n in range(2, max(3, least))]
+    return F.col(mean) + F.col(sd) * F.create_map(*(F.lit(x) for pair in k for x in pair))[F.col("n").cast("int")]
 
 
 def classify(docs: DataFrame, labels: DataFrame, max_trusted: int = 24000, max_toxic: int = 8000,
@@ -258,9 +295,10 @@ def classify(docs: DataFrame, labels: DataFrame, max_trusted: int = 24000, max_t
     scan = st.scanned(docs, store)
     src = scan.select("doc_id", "lang", F.col("text").cast("binary").alias("text"))
     n_pids, n_shards = max(1, src.rdd.getNumPartitions()), st.shards_of(src)
-    part_of = _sample(labels, max_trusted, max_toxic)
+    labelled = st.saved(_labelled(src, labels), store, "labelled")
+    part_of = _sample(labelled, max_trusted, max_toxic)
     # the sample's ids are bounded by the two parameters
-    ids = spark.createDataFrame([(d,) for d, p in part_of.items() if p != CALIBRATION], "doc_id long")
+    ids = spark.createDataFrame([(d,) for d in part_of], "doc_id long")
     sampled = src.join(F.broadcast(ids), "doc_id", "left_semi").select("doc_id", "text")
     c5 = st.saved(sampled.mapInArrow(partial(_count_training, part_of=part_of), "key long, a long, b long")
                   .groupBy("key").agg(F.sum("a").alias("a"), F.sum("b").alias("b")), store, "c5")
@@ -272,16 +310,19 @@ def classify(docs: DataFrame, labels: DataFrame, max_trusted: int = 24000, max_t
     scored = st.saved(src.mapInArrow(
         partial(_score, store=store, n_shards=n_shards, part_of=part_of),
         "ref long, doc_id long, lang string, n_bytes long, perplexity double, toxic_word double, part int"), store, "scored")
-    calibration = scored.where(F.col("part") == CALIBRATION)
-    cut = [F.percentile_approx("perplexity", quantile, 10000).alias("p"),
-           F.percentile_approx("toxic_word", toxic_quantile, 10000).alias("t")]
-    every = calibration.agg(*cut)
-    by = calibration.groupBy(F.col("lang").alias("l")).agg(F.count("*").alias("n"), *cut).where(F.col("n") >= least)
+    trusted = labelled.where("q = 1 and t = 0").select("doc_id")
+    calibration = scored.where("part = -1").join(trusted, "doc_id", "left_semi").withColumn("log", F.log("perplexity"))
+    by = calibration.groupBy(F.col("lang").alias("l")).agg(
+        F.count("*").alias("n"), F.percentile_approx("perplexity", quantile, 10000).alias("p"),
+        F.percentile_approx("toxic_word", toxic_quantile, 10000).alias("t"),
+        *(f(c).alias(f"{c}_{f.__name__}") for c in ("log", "toxic_word") for f in (F.avg, F.stddev_samp)))
+    few = F.col("n") < least
+    by = by.select("l", F.when(few, F.exp(_bound("log_avg", "log_stddev_samp", quantile, least))).otherwise(F.col("p")).alias("p"),
+                   F.when(few, _bound("toxic_word_avg", "toxic_word_stddev_samp", toxic_quantile, least)).otherwise(F.col("t")).alias("t"))
     top = F.lit(float("inf"))
-    out = (scored.join(by, F.expr("lang <=> l"), "left").crossJoin(F.broadcast(every.toDF("p_all", "t_all")))
-           .withColumn("threshold", F.coalesce(F.col("p"), "p_all")
-                       * (1 + margin / F.sqrt(F.greatest("n_bytes", F.lit(1)))))
-           .withColumn("toxic_threshold", F.greatest(F.coalesce(F.col("t"), "t_all"), F.lit(0.0)) + toxic_margin)
+    out = (scored.join(by, F.expr("lang <=> l"), "left")
+           .withColumn("threshold", F.col("p") * (1 + margin / F.sqrt(F.greatest("n_bytes", F.lit(1)))))
+           .withColumn("toxic_threshold", F.when(F.col("t").isNotNull(), F.greatest("t", F.lit(0.0)) + toxic_margin))
            .withColumn("keep", (F.col("perplexity") <= F.coalesce("threshold", top))
                        & (F.col("toxic_word") <= F.coalesce("toxic_threshold", top)))
            .select("ref", "doc_id", "lang", "n_bytes", "perplexity", "threshold", "toxic_word", "toxic_threshold", "keep"))
