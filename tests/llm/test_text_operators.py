@@ -202,6 +202,20 @@ def test_language_held_out_accuracy(spark, docs, empty):
     assert {(3, "und"), (4, "und"), (5, "und"), (17, "und")} <= small and langid.identify(empty).count() == 0
 
 
+def test_language_sample_with_null_and_repeated_ids(spark):
+    rng = np.random.default_rng(3)
+    say = lambda letters: " ".join("".join(rng.choice(list(letters), 5)) for _ in range(30))
+    one = next(i for i in range(1000) if langid.is_training(i, 4, 2))
+    rows = [(None, say("abcd"), "aa") for _ in range(300)] + [(i, say("efgh"), "aa") for i in range(900)]
+    rows += [(i, say("ijkl"), "bb") for i in range(1000, 1400)] + [(one, say("mnop"), "cc") for _ in range(2000)]
+    rows += [(one + 4000, "same text again", "dd")] * 1500
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(6)
+    out = langid.identify(d, per_lang=50).collect()
+    count = collections.Counter(r.lang_pred for r in out)
+    assert count == {"aa": 1200, "bb": 400, "cc": 2000, "dd": 1500}
+    assert np.mean([r.rejected for r in out if r.doc_id is not None and r.doc_id < 900 and r.lang_pred == "aa"]) < 0.05
+
+
 def test_quality_rejects_junk_and_keeps_clean(spark, docs, empty):
     d, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
     rows = quality.classify(d, labels)[0].select("doc_id", "keep", "perplexity").join(labels, "doc_id").collect()

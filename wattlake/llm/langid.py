@@ -5,7 +5,9 @@ characters than letters as one space) in ``DIMS`` hash buckets; counts become
 1 + ln(count), times ln(N / document frequency), scaled to length 1.  Document
 frequencies come from all training documents.  Each language has up to
 ``clusters`` centroids (spherical k-means), fitted on a bounded sample of
-``per_lang`` training documents of each language (``max_sample`` in all).
+``per_lang`` training documents of each language (``max_sample`` in all), those
+of the smallest hash of doc_id and text: null and repeated doc_ids are drawn like
+others, equal rows once.  The driver collects the sample only.
 
 A document gets the language of the centroid of the largest cosine, which is its
 score.  It is ``rejected`` when it is farther from its centroid than nearly all
@@ -26,7 +28,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattlake.llm import store as st
@@ -90,6 +92,19 @@ def _frequencies(batches, modulo: int, held: int) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_pydict({"bucket": np.arange(-1, DIMS), "n": np.append(docs, df)})
 
 
+def _once(batches) -> Iterator[pa.RecordBatch]:
+    """The first of equal rows (lang, h, text) of a task; few distinct ones arrive."""
+    seen: set[tuple] = set()
+    for b in batches:
+        new = []
+        for i, k in enumerate(zip(b.column(0).to_pylist(), b.column(1).to_pylist())):
+            if k not in seen:
+                seen.add(k)
+                new.append(i)
+        if new:
+            yield b.take(pa.array(new))
+
+
 def _sample_vectors(batches, idf: np.ndarray) -> Iterator[pa.RecordBatch]:
     for cols in chunks(batches, "text", CHUNK):
         for i in range(0, len(cols["text"]), GROUP):
@@ -146,23 +161,28 @@ def identify(docs: DataFrame, modulo: int = 4, held: int = 2, clusters: int = 4,
     total = table.get(-1, 0)
     idf = np.log((1 + total) / (1 + np.array([table.get(i, 0) for i in range(DIMS)]))).astype(np.float32) + np.float32(1e-3)
     training = (F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(modulo)) != held)
-    rows = src.where(training & F.col("lang").isNotNull() & (F.length("text") > 0))
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    rows = (src.where(training & F.col("lang").isNotNull() & (F.length("text") > 0))
+            .withColumn("h", F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 62))))
+    # distinct rows of each language, nearly: repeated ones do not count
+    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.approx_count_distinct("h", 0.02).alias("n")).collect()}
     langs = sorted(sizes)
     centroids, owner, floor = np.zeros((0, DIMS), np.float32), np.zeros(0, np.int64), np.zeros(0)
     if langs:
         each = max(1, min(per_lang, max_sample // len(langs)))
-        # about `each` rows of a language pass, whatever its size; the rest are cut after the order by hash
-        share = F.create_map(*(F.lit(x) for lang in langs for x in (lang, min(1e6, 2e6 * each / sizes[lang] + 1))))
-        h = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000))
-        sample = (rows.withColumn("h", h).where(F.col("h") < share[F.col("lang")]).select("text", "lang", "h")
+        # about twice `each` distinct rows of a language pass, whatever its size, and are cut after the order by hash
+        share = F.create_map(*(F.lit(x) for lang in langs for x in (
+            lang, int(min(1.0, (2 * each + 64) / max(1, sizes[lang])) * (1 << 62)))))
+        first = Window.partitionBy("lang").orderBy("h")
+        sample = (rows.where(F.col("h") < share[F.col("lang")]).select("lang", "h", "text")
+                  .mapInArrow(_once, "lang string, h long, text binary").dropDuplicates(["lang", "h"])
+                  .withColumn("i", F.row_number().over(first)).where(F.col("i") <= each).select("text", "lang", "h")
                   .mapInArrow(partial(_sample_vectors, idf=idf), "lang string, h long, v binary"))
         held_rows: dict[str, list] = {lang: [] for lang in langs}
         for r in sample.collect():
             held_rows[r["lang"]].append((r["h"], r["v"]))
         cs, own, low = [], [], []
         for i, lang in enumerate(langs):
-            x = np.stack([np.frombuffer(v, np.float16).astype(np.float32) for _, v in sorted(held_rows[lang])[:each]])
+            x = np.stack([np.frombuffer(v, np.float16).astype(np.float32) for _, v in sorted(held_rows[lang])])
             c = _cluster(x, clusters)
             cs.append(c)
             own += [i] * len(c)
