@@ -80,6 +80,17 @@ def test_contamination_both_paths(spark, docs, empty):
     assert not any(r.n_items for r in decontam.find_contamination(docs, bench.where("item_id = 99"))[0].collect())
 
 
+def test_fingerprints_of_a_very_long_text():
+    h = np.random.default_rng(4).integers(0, 1 << 63, (1 << 24) + 5000).astype(np.uint64)
+    off = np.array([0, 7, 7, decontam.SLICE - 20, decontam.SLICE + 6, len(h)])
+    value, pos = decontam.fingerprints(h, off, 13)
+    assert len(np.unique(pos)) == len(pos)
+    for a in (decontam.SLICE + 6, 2 * decontam.SLICE - 40, 2 * decontam.SLICE + 4000):
+        want = decontam.fingerprints(h[a:a + 60], np.array([0, 60]), 13)
+        assert set(zip(want[0], want[1] + a)) <= set(zip(value[(pos >= a) & (pos < a + 60)], pos[(pos >= a) & (pos < a + 60)]))
+    assert not ((pos < 7) | (pos + 5 > decontam.SLICE - 20) & (pos < decontam.SLICE - 20)).any()
+
+
 def test_kneser_ney_against_formulas(docs, empty):
     rows = [(r.doc_id, re.findall(r"[^\x20\x09-\x0D]+", lower(r.text)) + ["</s>"]) for r in docs.collect()]
     held = lambda d: zlib.crc32(str("" if d is None else d).encode()) % 7 == 2

@@ -42,6 +42,7 @@ from wattlake.llm import store as st
 from wattlake.llm.textvec import ALNUM_WORDS, U64, chunks, grams, mix, sliding_min, whole, words_of
 
 CHUNK = 8 << 20
+SLICE = 1 << 23
 K = 5
 OUT = ("doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, ref long")
 
@@ -52,6 +53,19 @@ def window_keys(h: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
 
 def fingerprints(h: np.ndarray, off: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """(value, position) of the fingerprints for windows of n words."""
+    if len(h) > SLICE:  # a long text: slices that share n - 1 words hold every window once
+        parts = []
+        for a in range(0, len(h), SLICE):
+            b = min(len(h), a + SLICE + n - 1)
+            value, pos = _fingerprints(h[a:b], np.clip(off, a, b) - a, n)
+            parts.append((value, pos + a))
+        value, pos = (np.concatenate(x) for x in zip(*parts))
+        pos, first = np.unique(pos, return_index=True)
+        return value[first], pos
+    return _fingerprints(h, off, n)
+
+
+def _fingerprints(h: np.ndarray, off: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     k = min(K, n)
     start = np.flatnonzero(whole(off, n))
     g = grams(h, k, salt=n)
@@ -61,7 +75,7 @@ def fingerprints(h: np.ndarray, off: np.ndarray, n: int) -> tuple[np.ndarray, np
     low = (g & ~U64(0xFFFFFF)) | (U64(0xFFFFFF) - (np.arange(len(g), dtype=U64) & U64(0xFFFFFF)))
     best = np.unique(sliding_min(low, n - k + 1)[start])
     slot = (U64(0xFFFFFF) - (best & U64(0xFFFFFF))).astype(np.int64)
-    # a batch is far below 2**24 words, so the slot is the position
+    # a slice is below 2**24 words, so the slot is the position
     return mix((best >> U64(24)) + (U64(n) << U64(48))), slot
 
 
