@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattlake.llm import ann, decontam, kn_lm, langid, mixing, quality, setjoin, substrings, token_repair, wrappers
+from wattlake.llm import ann, decontam, kn_lm, langid, mixing, packing, quality, setjoin, substrings, token_repair, wrappers
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -66,9 +66,13 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores.drop("ref")
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"), tokenizer_file(), end=1)
+
+
 QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (
     op1_token_repair, op2_decontamination, op3_kneser_ney, op4_mixing, op5_wrapper_extraction,
-    op6_substring_dedup, op7_jaccard_join, op8_nearest_neighbours, op9_language_id, op10_quality_classifier,
+    op6_substring_dedup, op7_jaccard_join, op8_nearest_neighbours, op9_language_id, op10_quality_classifier, op11_packing,
 )}
 
 #: DuckDB SQL of the queries that SQL can state.
