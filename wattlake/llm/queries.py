@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattlake.llm import ann, decontam, kn_lm, langid, mixing, packing, quality, runs, setjoin, substrings, token_repair, wrappers
+from wattlake.llm import ann, decontam, kn_lm, langid, mixing, packing, phrases, quality, runs, setjoin, substrings, token_repair, wrappers
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -74,10 +74,14 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.digest(runs.collapse(_table(spark, sf_dir, "documents"), runs.planted))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(_table(spark, sf_dir, "documents"), least=10, share=50, top=2000)
+
+
 QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (
     op1_token_repair, op2_decontamination, op3_kneser_ney, op4_mixing, op5_wrapper_extraction,
     op6_substring_dedup, op7_jaccard_join, op8_nearest_neighbours, op9_language_id, op10_quality_classifier, op11_packing,
-    op12_periodic_runs,
+    op12_periodic_runs, op13_collocations,
 )}
 
 #: DuckDB SQL of the queries that SQL can state.
