@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -246,9 +246,40 @@ def null_counts(df: DataFrame) -> DataFrame:
 
 
 def assert_no_nulls(df: DataFrame) -> None:
-    bad = [(r["column"], r["nulls"]) for r in null_counts(df).where("nulls > 0").collect()]
+    raise_on_nulls({r["column"]: r["nulls"] for r in null_counts(df).where("nulls > 0").collect()})
+
+
+def raise_on_nulls(nulls: dict[str, int]) -> None:
+    bad = {c: n for c, n in nulls.items() if n}
     if bad:
-        raise AssertionError(f"Missing values detected: {bad}")
+        raise AssertionError(f"columns with nulls, and how many: {bad}")
+
+
+class NullReport:
+    """Null counts of a frame, taken while some action runs over it: no pass of their own.
+
+    ``watch(df)`` returns the frame to use; after an action on it (or on anything built on it) ``counts`` has rows and
+    nulls per column.  A stage that Spark repeats after losing an executor may count rows twice; a count is zero if and
+    only if there are no nulls, so raising on it stays exact."""
+
+    def __init__(self, extra: dict[str, Column] | None = None):
+        self.observation = Observation()
+        self.extra = dict(extra or {})
+        self.columns: list[str] = []
+
+    def watch(self, df: DataFrame) -> DataFrame:
+        self.columns = df.columns
+        return df.observe(self.observation, F.count(F.lit(1)).alias("rows"),
+                          *[F.count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(self.columns)],
+                          *[e.alias(k) for k, e in self.extra.items()])
+
+    @property
+    def counts(self) -> dict[str, int]:
+        got = self.observation.get
+        return {c: got[f"n{i}"] for i, c in enumerate(self.columns)}
+
+    def value(self, name: str):
+        return self.observation.get[name]
 
 
 # ---------------------------------------------------------------------------

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,21 +24,46 @@ def validate_columns(df: DataFrame, cols: Sequence[str], table: str = "input") -
     return spark.createDataFrame(rows, "table string, column string, present boolean, supported boolean")
 
 
-def range_violations(df: DataFrame, limits: Mapping[str, tuple], table: str = "input") -> DataFrame:
-    """(table, rule, violations) for every (column, lower, upper) rule, from
-    a single aggregate."""
+def range_rules(limits: Mapping[str, tuple]) -> list[tuple[str, Column]]:
+    """(rule, number of violating rows as an aggregate) for every (column, lower, upper)."""
     rules = []
     for c, (lo, hi) in limits.items():
         if lo is not None:
             rules.append((f"{c} >= {lo}", F.count_if(F.col(c) < lo)))
         if hi is not None:
             rules.append((f"{c} <= {hi}", F.count_if(F.col(c) > hi)))
+    return rules
+
+
+def range_violations(df: DataFrame, limits: Mapping[str, tuple], table: str = "input") -> DataFrame:
+    """(table, rule, violations) for every (column, lower, upper) rule, from
+    a single aggregate."""
+    rules = range_rules(limits)
     agg = df.agg(*[e.alias(f"r{i}") for i, (_, e) in enumerate(rules)])
     return agg.select(F.inline(F.array(*[
         F.struct(F.lit(table).alias("table"), F.lit(name).alias("rule"), F.col(f"r{i}").alias("violations"))
         for i, (name, _) in enumerate(rules)])))
 
 
+def _column_problem(r) -> str:
+    what = "holds text, which is not supported" if r["present"] else "does not exist"
+    return f"{r['table']} table: column {r['column']} {what}"
+
+
+def check_columns(df: DataFrame, cols: Sequence[str], table: str) -> None:
+    """Raise on the first required column that is absent or holds text (schema only)."""
+    for r in validate_columns(df, cols, table).collect():
+        if not (r["present"] and r["supported"]):
+            raise AssertionError(_column_problem(r))
+
+
+def check_ranges(df: DataFrame, limits: Mapping[str, tuple], table: str) -> None:
+    """Raise on the first rule that rows violate (one aggregate)."""
+    bad = range_violations(df, limits, table).where("violations > 0").limit(1).collect()
+    if bad:
+        raise AssertionError(f"Bad value: {table} {bad[0]['rule']}")
+
+
 def validate_meter(meter: DataFrame, limits: Mapping[str, tuple] | None = None) -> DataFrame:
     return range_violations(meter, limits or METER_LIMITS, "meter")
 
@@ -60,9 +85,7 @@ def validate_inputs(meter: DataFrame, weather: DataFrame, meter_cols: Sequence[s
     bad_cols = [r for r in col_report.collect() if not (r["present"] and r["supported"])]
     if bad_cols:
         if raise_on_error:
-            r = bad_cols[0]
-            raise AssertionError(f"Missing {r['column']} column." if not r["present"]
-                                 else f"Type of {r['column']} column not supported.")
+            raise AssertionError(_column_problem(bad_cols[0]))
         return col_rows
     report = (col_rows.unionByName(validate_meter(meter, meter_limits))
               .unionByName(validate_weather(weather, weather_limits)))

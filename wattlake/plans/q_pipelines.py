@@ -7,11 +7,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from wattlake.operators import ml
+from wattlake.operators.bundle import ModelBundle
 from wattlake.plans import pipelines as pl
 from wattlake.plans.common import round_doubles
 from wattlake.plans.q_features import _YEARS_FROM_METER, _holiday_sql_ctes
 from wattlake.plans.q_windows import LIN_SRC, LOCAL, NEXT, PREV, W_MEASURES, _linear_sql
 from wattlake.plans.registry import BUILDING_CTE, COUNTRIES_CTE, METER_CTE, register, with_ctes
+from wattlake.session import scratch_dir
 from wattlake.sources import fixtures as fx
 
 # weather pipeline in DuckDB text: linear fill for every measure, ffill+bfill, copy site 1 -> 5 pressure
@@ -247,25 +249,56 @@ def q_pca_by_variance(spark, sf):
     return spark.createDataFrame([(0.90, k90), (0.95, k95)], "share double, n_components int")
 
 
+def bundle(spark, sf, profile="a") -> ModelBundle:
+    """Encoders, models and training mean area, as scoring takes them."""
+    encoding, models, _ = fitted(spark, sf, profile)
+    return ModelBundle(encoding, models, mean_area(spark, sf), pl.MODEL_INPUTS)
+
+
 @register("prediction_pipeline")
 def q_prediction_pipeline(spark, sf):
     """Scoring rows (no target) -> features -> encode -> predict -> inverse -> units."""
-    encoding, models, _ = fitted(spark, sf, "a")
     feats = pl.feature_pipeline(fx.scoring_meter(spark, sf), weather_done(spark, sf, "cubic"),
                                 pl.building_clean(fx.buildings(spark, sf)), feats=pl.MODEL_FEATURES,
                                 keep=("row_id",), weather_rows=weather_bound(spark, sf))
-    return pl.prediction_pipeline(feats, encoding, models, mean_area(spark, sf))
+    return pl.prediction_pipeline(feats, bundle(spark, sf))
 
 
 @register("score")
 def q_score(spark, sf):
-    """Flagship batch job: validate -> weather over the input's interval ->
+    """Flagship batch job: saved models -> validate -> weather over the input's interval ->
     merge -> features -> null report -> predict -> (row_id, meter_reading)."""
-    encoding, models, _ = fitted(spark, sf, "a")
     building = fx.buildings(spark, sf)
-    return pl.score(fx.scoring_meter(spark, sf), fx.weather(spark, sf), building, encoding, models,
-                    on_nulls="report", meter_limits=pl.building_limits(building),
-                    mean_area=mean_area(spark, sf))
+    return pl.score(fx.scoring_meter(spark, sf), fx.weather(spark, sf), building, saved_models(spark, sf),
+                    on_nulls="report", meter_limits=pl.building_limits(building))
+
+
+def saved_models(spark, sf) -> str:
+    """Path of the fitted bundle, saved once per session."""
+    key = ("saved", spark.sparkContext.applicationId, sf)
+    if key not in _CACHE:
+        path = scratch_dir(spark, "models")
+        bundle(spark, sf).save(spark, path)
+        _CACHE[key] = path
+    return _CACHE[key]
+
+
+@register("score_null_report", with_ctes("""
+select 'rows' as item, count(*) as n from meter_fx
+union all select 'building_id', count(*) filter (where building_id is null) from meter_fx
+union all select 'primary_use', count(*) filter (where b.primary_use is null)
+  from meter_fx m left join building_fx b on m.building_id = b.building_id
+union all select 'square_feet', count(*) filter (where b.square_feet is null)
+  from meter_fx m left join building_fx b on m.building_id = b.building_id
+union all select 'meter', count(*) filter (where meter is null) from meter_fx""", METER_CTE, BUILDING_CTE))
+def q_score_null_report(spark, sf):
+    """The null report of the scoring job, taken while it writes its encoded rows: rows, and nulls of the columns that
+    come from the meter and building tables."""
+    building = fx.buildings(spark, sf)
+    got = pl.score_report(fx.scoring_meter(spark, sf), fx.weather(spark, sf), building, saved_models(spark, sf),
+                          on_nulls="report", meter_limits=pl.building_limits(building))
+    items = [("rows", got.rows)] + [(c, got.nulls[c]) for c in ("building_id", "primary_use", "square_feet", "meter")]
+    return spark.createDataFrame(items, "item string, n long")
 
 
 @register("merge_data", with_ctes("""

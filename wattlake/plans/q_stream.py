@@ -40,14 +40,13 @@ def q_stream_score(spark, sf):
     micro-batch with the fitted models into per-batch folders, read back."""
     from wattlake.plans import q_pipelines as qp
     from pyspark.sql import functions as F
-    encoding, models, _ = qp.fitted(spark, sf, "a")
     src = scratch_dir(spark, "score-stream-src")
     rows = fx.scoring_meter(spark, sf)
     rows.where(F.col("row_id") % 2 == 0).write.mode("append").parquet(src)  # files that mix the meters
     rows.where(F.col("row_id") % 2 != 0).write.mode("append").parquet(src)
     sink = scratch_dir(spark, "score-stream-sink")
     from wattlake.streaming import score_stream
-    score_stream(spark, src, qp.weather_done(spark, sf, "cubic"), fx.buildings(spark, sf), encoding, models,
+    score_stream(spark, src, qp.weather_done(spark, sf, "cubic"), fx.buildings(spark, sf), qp.bundle(spark, sf),
                  sink, scratch_dir(spark, "score-stream-ckpt"), weather_rows=qp.weather_bound(spark, sf),
-                 max_files_per_trigger=1, mean_area=qp.mean_area(spark, sf))
+                 max_files_per_trigger=1)
     return spark.read.parquet(sink).select("row_id", "meter_reading")

@@ -14,15 +14,14 @@ SCORING_SCHEMA = "row_id bigint, building_id bigint, meter int, timestamp timest
 
 
 def score_stream(spark: SparkSession, source_dir: str, weather_done: DataFrame, building: DataFrame,
-                 encoding, models, sink_dir: str, checkpoint_dir: str, weather_rows: int | None = None,
+                 bundle, sink_dir: str, checkpoint_dir: str, weather_rows: int | None = None,
                  schema: str = SCORING_SCHEMA, max_files_per_trigger: int | None = None,
-                 available_now: bool = True, mean_area: DataFrame | None = None):
+                 available_now: bool = True):
     """Start the scoring stream; returns the StreamingQuery (already
     finished when ``available_now``).
 
-    ``mean_area`` is the training mean area per meter: without it a
-    micro-batch would be scaled by its own mean, and the result would depend
-    on how the files are cut."""
+    ``bundle`` (a ``ModelBundle``) holds the training mean area per meter: a
+    micro-batch scaled by its own mean would depend on how the files are cut."""
     from wattlake.plans import pipelines as pl
 
     reader = spark.readStream.schema(schema)
@@ -36,13 +35,10 @@ def score_stream(spark: SparkSession, source_dir: str, weather_done: DataFrame,
     weather_done = weather_done.checkpoint(eager=True)
     clean_building = pl.building_clean(building).checkpoint(eager=True)
 
-    if mean_area is not None:
-        mean_area = mean_area.checkpoint(eager=True)
-
     def score_batch(batch: DataFrame, batch_id: int) -> None:
         feats = pl.feature_pipeline(batch, weather_done, clean_building, feats=pl.MODEL_FEATURES,
                                     keep=("row_id",), weather_rows=weather_rows)
-        pred = pl.prediction_pipeline(feats, encoding, models, mean_area)
+        pred = pl.prediction_pipeline(feats, bundle)
         pred.write.mode("overwrite").parquet(f"{sink_dir.rstrip('/')}/batch_id={batch_id}")
 
     w = rows.writeStream.foreachBatch(score_batch).option("checkpointLocation", checkpoint_dir)
