@@ -12,13 +12,14 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattlake.functions.datetime import shift_hours
 from wattlake.functions.lookup import site_offset
+from wattlake.operators import spline
+from wattlake.operators.spline import fill_series as spline_fill_series  # noqa: F401
+from wattlake.session import ship_package
 
 
 def _ts_lit(t) -> Column:
@@ -171,96 +172,17 @@ def interpolate_linear(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (
 
 # --------------------------------------------------------------------------
 # cubic spline (the one operator Spark expressions cannot state: a global
-# solve per series).  Runs as applyInPandas per group; a group is one
-# site's hourly series, bounded by the reindex interval.
-
-def _solve_tridiagonal(lower: np.ndarray, diag: np.ndarray, upper: np.ndarray,
-                       rhs: np.ndarray) -> np.ndarray:
-    """Thomas algorithm; lower[0] and upper[-1] are unused."""
-    n = diag.size
-    c = np.empty(n)
-    d = np.empty(n)
-    c[0] = upper[0] / diag[0]
-    d[0] = rhs[0] / diag[0]
-    for i in range(1, n):
-        m = diag[i] - lower[i] * c[i - 1]
-        c[i] = upper[i] / m if i < n - 1 else 0.0
-        d[i] = (rhs[i] - lower[i] * d[i - 1]) / m
-    out = np.empty(n)
-    out[-1] = d[-1]
-    for i in range(n - 2, -1, -1):
-        out[i] = d[i] - c[i] * out[i + 1]
-    return out
-
-
-def cubic_spline_eval(x: np.ndarray, y: np.ndarray, xq: np.ndarray) -> np.ndarray:
-    """Evaluate the not-a-knot cubic spline through (x, y) at xq (inside the
-    range).  Solved for the knot slopes, a tridiagonal system."""
-    n = x.size
-    h = np.diff(x)
-    sl = np.diff(y) / h
-    if n == 3:
-        # not-a-knot through three points is the interpolating parabola
-        coef = np.polyfit(x, y, 2)
-        return np.polyval(coef, xq)
-    lower = np.zeros(n)
-    diag = np.zeros(n)
-    upper = np.zeros(n)
-    rhs = np.zeros(n)
-    diag[1:-1] = 2.0 * (h[:-1] + h[1:])
-    upper[1:-1] = h[:-1]
-    lower[1:-1] = h[1:]
-    rhs[1:-1] = 3.0 * (h[1:] * sl[:-1] + h[:-1] * sl[1:])
-    # third derivative continuous at the second and second-to-last knot
-    d0 = x[2] - x[0]
-    diag[0] = h[1]
-    upper[0] = d0
-    rhs[0] = ((h[0] + 2.0 * d0) * h[1] * sl[0] + h[0] ** 2 * sl[1]) / d0
-    d1 = x[-1] - x[-3]
-    diag[-1] = h[-2]
-    lower[-1] = d1
-    rhs[-1] = (h[-1] ** 2 * sl[-2] + (2.0 * d1 + h[-1]) * h[-2] * sl[-1]) / d1
-    s = _solve_tridiagonal(lower, diag, upper, rhs)
-    i = np.clip(np.searchsorted(x, xq, side="right") - 1, 0, n - 2)
-    t = xq - x[i]
-    c2 = (3.0 * sl[i] - 2.0 * s[i] - s[i + 1]) / h[i]
-    c3 = (s[i] + s[i + 1] - 2.0 * sl[i]) / h[i] ** 2
-    return y[i] + t * (s[i] + t * (c2 + t * c3))
-
-
-def spline_fill_series(values: np.ndarray) -> np.ndarray:
-    """Fill NaNs strictly inside the known range by a cubic spline over row
-    positions; fewer than 4 known points fall back to linear."""
-    y = values.astype("float64", copy=True)
-    known = ~np.isnan(y)
-    if known.sum() < 2:
-        return y
-    pos = np.arange(y.size, dtype="float64")
-    xk, yk = pos[known], y[known]
-    inside = (~known) & (pos > xk[0]) & (pos < xk[-1])
-    if not inside.any():
-        return y
-    if known.sum() < 4:
-        y[inside] = np.interp(pos[inside], xk, yk)
-    else:
-        y[inside] = cubic_spline_eval(xk, yk, pos[inside])
-    return y
-
+# solve per series)
 
 def interpolate_cubic(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ("site_id",),
-                      order: str = "timestamp") -> DataFrame:
+                      order: str = "timestamp", chunk_hours: int | None = None) -> DataFrame:
     """Cubic-spline fill inside each group's known range (edges stay null;
-    callers ffill/bfill them).  One ``applyInPandas`` over ``by``."""
-    cols = list(cols)
-    schema = df.schema
-
-    def fill(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order, kind="mergesort").reset_index(drop=True)
-        for c in cols:
-            pdf[c] = spline_fill_series(pdf[c].to_numpy(dtype="float64", na_value=np.nan))
-        return pdf
-
-    return df.groupBy(*by).applyInPandas(fill, schema=schema)
+    callers ffill/bfill them).  One ``applyInPandas`` over ``by``, or, with
+    ``chunk_hours``, the same spline solved in chunks (see ``spline``)."""
+    ship_package(df.sparkSession)
+    if chunk_hours:
+        return spline.interpolate_chunked(df, cols, by, order, chunk_hours)
+    return spline.interpolate_whole(df, list(cols), list(by), order)
 
 
 def fill_missing(df: DataFrame, ffill_cols: Sequence[str] = (), linear_cols: Sequence[str] = (),
@@ -272,14 +194,14 @@ def fill_missing(df: DataFrame, ffill_cols: Sequence[str] = (), linear_cols: Seq
     ffill/bfills every remaining column (packaged-pipeline variant).  A
     series with no value at all stays null.  ``cubic_method='linear'`` swaps
     the spline for linear interpolation (JVM-only plan).  ``chunk_hours``
-    runs the linear and ffill steps as chunked windows (``fill_chunked``),
-    for keys whose series are too long for one task."""
+    runs every step in time chunks (``fill_chunked``, ``spline``), for keys
+    whose series are too long for one task."""
     by = list(by)
     out = df
     lin = list(linear_cols)
     if cubic_cols:
         if cubic_method == "cubic":
-            out = interpolate_cubic(out, cubic_cols, by, order)
+            out = interpolate_cubic(out, cubic_cols, by, order, chunk_hours)
         else:
             lin = list(cubic_cols) + lin
     if chunk_hours:

@@ -11,25 +11,30 @@ from wattlake.operators.bundle import ModelBundle
 from wattlake.plans import pipelines as pl
 from wattlake.plans.common import round_doubles
 from wattlake.plans.q_features import _YEARS_FROM_METER, _holiday_sql_ctes
-from wattlake.plans.q_windows import LIN_SRC, LOCAL, NEXT, PREV, W_MEASURES, _linear_sql
+from wattlake.plans.q_windows import CUBIC_LIN, LIN_SRC, LOCAL, NEXT, PREV, W_MEASURES, _linear_sql, with_recursive
 from wattlake.plans.registry import BUILDING_CTE, COUNTRIES_CTE, METER_CTE, register, with_ctes
 from wattlake.session import scratch_dir
 from wattlake.sources import fixtures as fx
 
-# weather pipeline in DuckDB text: linear fill for every measure, ffill+bfill, copy site 1 -> 5 pressure
-FILLED_CTES = [
-    *LOCAL, LIN_SRC,
-    "lin as (select site_id, timestamp, "
-    + _linear_sql(W_MEASURES).replace("round(", "(").replace(", 6) as", ") as") + " from p)",
-    "filled as (select site_id, timestamp, "
-    + ", ".join(f"coalesce(last_value({c} ignore nulls) {PREV}, first_value({c} ignore nulls) {NEXT}) as {c}"
-                for c in W_MEASURES) + " from lin)",
-    """wp as (select f.site_id, f.timestamp, f.air_temperature, f.dew_temperature,
+def _weather_ctes(before) -> list[str]:
+    """Weather pipeline in DuckDB text: interpolated ``lin`` -> ffill + bfill -> site 1's pressure for site 5."""
+    return [
+        *before,
+        "filled as (select site_id, timestamp, "
+        + ", ".join(f"coalesce(last_value({c} ignore nulls) {PREV}, first_value({c} ignore nulls) {NEXT}) as {c}"
+                    for c in W_MEASURES) + " from lin)",
+        """wp as (select f.site_id, f.timestamp, f.air_temperature, f.dew_temperature,
        case when f.site_id = 5 then s.sea_level_pressure else f.sea_level_pressure end as sea_level_pressure,
        f.wind_direction, f.wind_speed
   from filled f left join (select timestamp, sea_level_pressure from filled where site_id = 1) s
     on f.timestamp = s.timestamp)""",
-]
+    ]
+
+
+FILLED_CTES = _weather_ctes([*LOCAL, LIN_SRC, "lin as (select site_id, timestamp, "
+                             + _linear_sql(W_MEASURES).replace("round(", "(").replace(", 6) as", ") as") + " from p)"])
+CUBIC_FILLED_CTES = _weather_ctes(CUBIC_LIN)
+_WEATHER_SQL = "select site_id, timestamp, " + ", ".join(f"round({c}, 6) as {c}" for c in W_MEASURES) + " from wp"
 
 
 def weather_done(spark, sf, cubic_method="linear"):
@@ -42,14 +47,12 @@ def weather_bound(spark, sf):
     return ts.grid_rows(fx.weather(spark, sf), fx.INTERVAL_START, fx.INTERVAL_END)
 
 
-@register("weather_pipeline", with_ctes(
-    "select site_id, timestamp, " + ", ".join(f"round({c}, 6) as {c}" for c in W_MEASURES) + " from wp",
-    *FILLED_CTES))
+@register("weather_pipeline", with_ctes(_WEATHER_SQL, *FILLED_CTES))
 def q_weather_pipeline(spark, sf):
     return round_doubles(weather_done(spark, sf))
 
 
-@register("weather_pipeline_cubic")
+@register("weather_pipeline_cubic", with_recursive(_WEATHER_SQL, *CUBIC_FILLED_CTES))
 def q_weather_pipeline_cubic(spark, sf):
     return round_doubles(weather_done(spark, sf, "cubic"))
 

@@ -9,6 +9,7 @@ from wattlake.operators import timeseries as ts
 from wattlake.plans.common import round_doubles
 from wattlake.plans.registry import (BUILDING_CTE, LOCAL_GRID_CTE, OFFSETS_CTE, WEATHER_CTE, register,
                                      with_ctes)
+from wattlake.plans.spline_sql import cubic_ctes
 from wattlake.sources import fixtures as fx
 
 W_MEASURES = ["air_temperature", "dew_temperature", "sea_level_pressure", "wind_direction", "wind_speed"]
@@ -70,6 +71,21 @@ def q_interpolate_linear(spark, sf):
     return round_doubles(ts.interpolate_linear(local_reindexed(spark, sf), W_MEASURES))
 
 
+def with_recursive(body: str, *ctes: str) -> str:
+    return with_ctes(body, *ctes).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+CUBIC = [*LOCAL, *cubic_ctes(CUBIC_FILL_COLS)]
+
+
+@register("interpolate_cubic", with_recursive(
+    "select site_id, timestamp, " + ", ".join(f"round({c}, 6) as {c}" for c in CUBIC_FILL_COLS) + " from cubic", *CUBIC))
+def q_interpolate_cubic(spark, sf):
+    """Splines through the weather's own gaps."""
+    d = local_reindexed(spark, sf).select("site_id", "timestamp", *CUBIC_FILL_COLS)
+    return round_doubles(ts.interpolate_cubic(d, CUBIC_FILL_COLS))
+
+
 SPLINE_SQL = with_ctes("""
 select site_id, timestamp, round(1 + site_id + 2 * u - 3 * u * u + u * u * u, 6) as value
 from (select s.site_id, g.timestamp, (datediff('hour', timestamp '2024-01-01', g.timestamp)) / 720.0 as u
@@ -78,9 +94,9 @@ from (select s.site_id, g.timestamp, (datediff('hour', timestamp '2024-01-01', g
                                           interval 1 hour)) as timestamp) g) t""", WEATHER_CTE)
 
 
-@register("interpolate_cubic", SPLINE_SQL)
-def q_interpolate_cubic(spark, sf):
-    """Spline fixture: a cubic polynomial with gaps; the not-a-knot spline
+@register("interpolate_cubic_closed_form", SPLINE_SQL)
+def q_interpolate_cubic_closed_form(spark, sf):
+    """Spline fixture: a cubic polynomial with gaps on every site's hours; the not-a-knot spline
     restores it exactly, so the oracle is the closed form."""
     f = fx.spline_fixture(spark, sf).select("site_id", "timestamp", "value")
     return round_doubles(ts.interpolate_cubic(f, ["value"]))
@@ -115,13 +131,27 @@ def q_fill_missing_chunked(spark, sf):
     return round_doubles(d)
 
 
-@register("fill_missing_cubic")
+# cubic for temperatures and pressure, linear for wind, then ffill + bfill
+CUBIC_LIN = [*CUBIC, LIN_SRC.replace("p as (", "lp as (", 1).replace("from reindexed_fx", "from cubic"),
+             "lin as (select site_id, timestamp, " + ", ".join(CUBIC_FILL_COLS) + ", "
+             + _linear_sql(LINEAR_FILL_COLS).replace("round(", "(").replace(", 6) as", ") as") + " from lp)"]
+
+
+@register("fill_missing_cubic", with_recursive(FILL_SQL_BODY, *CUBIC_LIN))
 def q_fill_missing_cubic(spark, sf):
     """Full reference fill: cubic spline for temperatures and pressure."""
     d = ts.fill_missing(local_reindexed(spark, sf), linear_cols=LINEAR_FILL_COLS, cubic_cols=CUBIC_FILL_COLS)
     return round_doubles(d)
 
 
+@register("fill_missing_cubic_chunked", with_recursive(FILL_SQL_BODY, *CUBIC_LIN))
+def q_fill_missing_cubic_chunked(spark, sf):
+    """The same fill with every site's series cut into chunks of a week, splines included; same oracle."""
+    d = ts.fill_missing(local_reindexed(spark, sf), linear_cols=LINEAR_FILL_COLS, cubic_cols=CUBIC_FILL_COLS,
+                        chunk_hours=24 * 7)
+    return round_doubles(d)
+
+
 @register("copy_site_column", with_ctes("""
 select f.site_id, f.timestamp, f.air_temperature,
        case when f.site_id = 5 then s.sea_level_pressure else f.sea_level_pressure end as sea_level_pressure
