@@ -47,6 +47,8 @@ from wattlake.llm.token_repair import Encoder
 
 CHUNK = 2 << 20
 ROOM = 2048
+#: Words whose ids a worker process keeps between tasks (about 250 bytes each).
+HELD = 1_200_000
 #: Cost of a sequence besides its padded length, in ids.
 EXTRA = 16
 PIECE_SCHEMA = "doc_id long, start long, length long, doc_tokens long, ids binary, pid int, rank long"
@@ -69,9 +71,20 @@ def ranks(values: np.ndarray, seen: np.ndarray) -> np.ndarray:
     return out
 
 
+_ENCODERS: dict[str, Encoder] = {}
+
+
+def _encoder(tokenizer: str) -> Encoder:
+    """The worker process's encoder: the words it has met in earlier tasks are known (at most HELD of them)."""
+    if tokenizer not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[tokenizer] = Encoder(tokenizer, HELD)
+    return _ENCODERS[tokenizer]
+
+
 def _pieces(batches, tokenizer: str, end: int, room: int) -> Iterator[pa.RecordBatch]:
     """The pieces of a partition's documents, with their ids as little-endian uint32."""
-    pid, encoder, seen = ex.pid(), Encoder(tokenizer), np.zeros(room + 1, np.int64)
+    pid, encoder, seen = ex.pid(), _encoder(tokenizer), np.zeros(room + 1, np.int64)
     for cols in chunks(batches, "text", CHUNK):
         ids, sizes = encoder.encode([t or "" for t in cols["text"]], end)
         n = -(-sizes // room)
