@@ -6,8 +6,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from wattlake.operators import ml
+from wattlake.operators import linear, ml, stages
 from wattlake.operators.bundle import ModelBundle
+from wattlake.plans import linear_sql as lsql
 from wattlake.plans import pipelines as pl
 from wattlake.plans.common import round_doubles
 from wattlake.plans.q_features import _YEARS_FROM_METER, _holiday_sql_ctes
@@ -187,24 +188,81 @@ def q_predict_by_meter(spark, sf):
     return ml.predict_by_group(encoding.transform(fr), models).select("row_id", "meter", "prediction")
 
 
-@register("lasso_fit_predict")
+_FRAME_CTES = [METER_CTE, BUILDING_CTE, COUNTRIES_CTE, *CUBIC_FILLED_CTES, *_holiday_sql_ctes(_YEARS_FROM_METER), *lsql.FRAME]
+
+#: All features; without the weather details; and without the building year too.
+FEATURE_SETS = {
+    "all": lsql.FEATURES,
+    "no_weather_details": [f for f in lsql.FEATURES if f not in ("sea_level_pressure", "wind_direction_y", "rel_humidity")],
+    "no_year": [f for f in lsql.FEATURES if f not in ("sea_level_pressure", "wind_direction_y", "rel_humidity", "year_built")],
+}
+
+
+def lasso_solved(spark, sf):
+    """Lasso solutions per meter for 8 folds and none, 8 alphas and the feature sets, from one scan of the training rows."""
+    key = ("lasso", spark.sparkContext.applicationId, sf)
+    if key not in _CACHE:
+        train = ml.fold_column(model_frame(spark, sf).where(F.col("split") == "train"), folds=8)
+        _CACHE[key] = linear.lasso_paths(train, pl.CAT_FEATURES, pl.NUM_FEATURES, "meter_reading", subsets=FEATURE_SETS)
+    return _CACHE[key]
+
+
+def linear_encoding(spark, sf):
+    """Encoders of the complete training rows, as the linear models see them."""
+    key = ("linear-encoding", spark.sparkContext.applicationId, sf)
+    if key not in _CACHE:
+        train = model_frame(spark, sf).where(F.col("split") == "train").dropna(subset=[*pl.NUM_FEATURES, "meter_reading", "meter"])
+        _CACHE[key] = stages.FeatureEncoder(catCols=pl.CAT_FEATURES, numCols=pl.NUM_FEATURES, by=["meter"],
+                                            target="meter_reading").fit(train)
+    return _CACHE[key]
+
+
+def one_solution(solved, alpha, held=linear.NO_FOLD, name="all"):
+    return solved.where((F.col("held") == held) & (F.col("feature_set") == name) & (F.abs(F.col("alpha") / alpha - 1) < 1e-9))
+
+
+@register("transform_model_features", with_recursive(
+    "select row_id, meter, " + ", ".join(f"round(z{i}, 6) as {c}" for i, c in enumerate(lsql.FEATURES)) + " from az",
+    *_FRAME_CTES, *lsql.encoder_ctes(0), "all_rows as (select -1 as h, r.* from mf r)", *lsql.scaled_ctes("az", "all_rows")))
+def q_transform_model_features(spark, sf):
+    """All 14 model features of every row, encoded by stages fitted on the training rows in one read."""
+    out = linear_encoding(spark, sf).transform(model_frame(spark, sf))
+    return round_doubles(out.select("row_id", "meter", *lsql.FEATURES))
+
+
+@register("lasso_fit_predict", with_recursive(
+    f"""select r.row_id, r.meter, round(r.y, 4) as meter_reading, round(greatest({lsql.prediction()}, 0), 4) as prediction
+from vz r left join sol s on s.meter = r.meter""",
+    *_FRAME_CTES, *lsql.encoder_ctes(0), *lsql.lasso_ctes([1e-6], {"all": lsql.FEATURES}),
+    "val_rows as (select -1 as h, r.* from mf r where part = 'val')", *lsql.scaled_ctes("vz", "val_rows")))
 def q_lasso_fit_predict(spark, sf):
-    enc = _encoded(spark, sf)
-    m = ml.lasso(pl.MODEL_INPUTS, "meter_reading", 1e-6).fit(enc.where(F.col("split") == "train"))
-    return m.transform(enc.where(F.col("split") == "val")).select("row_id", "meter", "meter_reading", "prediction")
+    """One Lasso (alpha 1e-6) per meter on the training rows; validation rows predicted, clipped at 0."""
+    rows = linear_encoding(spark, sf).transform(model_frame(spark, sf).where(F.col("split") == "val"))
+    pred = linear.predict(rows, one_solution(lasso_solved(spark, sf), 1e-6), lsql.FEATURES)
+    return round_doubles(pred.select("row_id", "meter", "meter_reading", "prediction"), 4)
 
 
-@register("grid_search_cv")
+@register("grid_search_cv", with_recursive("""
+select meter, feature_set, alpha, round(mean_msle, 4) as mean_msle, round(std_msle, 4) as std_msle,
+  cast(row_number() over (partition by meter order by round(mean_msle, 6), alpha, feature_set) as int) as rank
+from (select meter, fs as feature_set, alpha, avg(msle) as mean_msle, stddev_pop(msle) as std_msle from fs_scores group by all) g""",
+    *_FRAME_CTES, *lsql.encoder_ctes(8), *lsql.lasso_ctes(linear.ALPHAS, FEATURE_SETS, "h >= 0"), *lsql.fold_scores()))
 def q_grid_search_cv(spark, sf):
-    """Lasso alpha in 1e-6 .. 10, 8 folds on the hash fold column."""
-    enc = ml.fold_column(_encoded(spark, sf), folds=8)
-    return ml.grid_search(enc, pl.MODEL_INPUTS, "meter_reading", [10.0 ** k for k in range(-6, 2)], folds=8)
+    """Lasso alpha in 1e-6 .. 10 and the feature sets, per meter: 8 folds of the training rows, encoders inside the fold."""
+    got = linear.cross_validated(lasso_solved(spark, sf))
+    return got.select("meter", "feature_set", "alpha", F.round("mean_msle", 4).alias("mean_msle"),
+                      F.round("std_msle", 4).alias("std_msle"), "rank")
 
 
-@register("cross_validate")
+@register("cross_validate", with_recursive(
+    "select meter, cast(h as int) as fold, round(msle, 4) as msle, round(sqrt(msle), 4) as rmsle from fs_scores",
+    *_FRAME_CTES, *lsql.encoder_ctes(8), *lsql.lasso_ctes([1e-6], {"all": lsql.FEATURES}, "h >= 0"), *lsql.fold_scores()))
 def q_cross_validate(spark, sf):
-    enc = ml.fold_column(_encoded(spark, sf), folds=8)
-    return ml.cross_validate(enc, lambda: ml.lasso(pl.MODEL_INPUTS, "meter_reading", 1e-6), "meter_reading", folds=8)
+    """Score of every fold and meter, Lasso alpha 1e-6."""
+    got = lasso_solved(spark, sf).where((F.col("held") >= 0) & (F.col("feature_set") == "all")
+                                        & (F.abs(F.col("alpha") / 1e-6 - 1) < 1e-9))
+    return got.select("meter", F.col("held").alias("fold"), F.round("msle", 4).alias("msle"),
+                      F.round(F.sqrt("msle"), 4).alias("rmsle"))
 
 
 @register("random_search")
