@@ -15,7 +15,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
+
+from wattlake.operators.numbering import numbered
 
 
 def join_building(meter: DataFrame, building: DataFrame, on: str | Sequence[str] = "building_id",
@@ -74,14 +75,14 @@ def align_by_position(lists: DataFrame, group_col: str, value_col: str, order_co
                       groups: Sequence | None = None, fill: str = "") -> DataFrame:
     """Ragged lists (one per group) as side-by-side columns aligned by position.
 
-    ``lists`` is long form (group, value).  Positions come from a window over
-    each group's own rows; the per-group columns are then full-outer joined
-    on the position.  Missing cells become ``fill``."""
+    ``lists`` is long form (group, value).  Positions come from a range
+    partition (``numbering``), so one long list spreads over many tasks; the
+    per-group columns are then full-outer joined on the position.  Missing
+    cells become ``fill``."""
     order_col = order_col or value_col
     if groups is None:
         groups = [r[0] for r in lists.select(group_col).distinct().orderBy(group_col).collect()]
-    pos = lists.withColumn("pos", F.row_number().over(
-        Window.partitionBy(group_col).orderBy(order_col)) - 1)
+    pos = numbered(lists, [group_col], [order_col]).withColumn("pos", F.col("pos").cast("int"))
     out = None
     for g in groups:
         part = (pos.where(F.col(group_col) == F.lit(g))

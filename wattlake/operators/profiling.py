@@ -11,11 +11,16 @@ Rules followed throughout:
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql import Window
+
+from wattlake.operators.numbering import numbered
+from wattlake.session import scratch_dir
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
            T.DecimalType)
@@ -186,13 +191,84 @@ def exact_quantiles_multi(df: DataFrame, cols: Sequence[str], probs: Sequence[fl
     return out
 
 
+#: Leading bits of the order key that each level of ``radix_quantiles`` tells apart.
+_LEVELS = (20, 40, 64)
+
+
+def order_key(x: Column) -> Column:
+    """64-bit integer with the order of a non-null double: its bits, the magnitude inverted below zero (-0.0 is 0.0)."""
+    bits = F.java_method(F.lit("java.lang.Double"), F.lit("doubleToLongBits"), x + F.lit(0.0)).cast("long")
+    return F.when(bits >= 0, bits).otherwise(bits.bitwiseXOR(F.lit(0x7FFFFFFFFFFFFFFF)))
+
+
+def radix_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> dict[str, list]:
+    """Exact linear-interpolation quantiles of several columns, from two reads of ``df``.
+
+    The order statistics are found from the leading bits down.  The first read counts the rows of every column by the
+    first bits of their order key; running counts give, with certainty, the prefix that holds each wanted rank and the
+    rows below it.  The second read writes the distinct values of those prefixes with their counts, and the same step
+    on that table, with more bits, ends at single values.  There is no sketch and no bracket that could miss.
+
+    A running count sorts at most 2**20 prefixes of a column (2**24 in the last level); ties are one row.  The driver
+    sees one row per column, rank and level."""
+    spark = df.sparkSession
+    cols, probs = list(cols), [float(p) for p in probs]
+    path = scratch_dir(spark, "quantiles")
+    out: dict[str, list] = {c: [None] * len(probs) for c in cols}
+
+    def long(rows: DataFrame) -> DataFrame:
+        x = rows.select(F.inline(F.array(*[F.struct(F.lit(j).alias("j"), F.col(c).cast("double").alias("x"))
+                                           for j, c in enumerate(cols)]))).where(F.col("x").isNotNull())
+        return x.withColumn("k", order_key(F.col("x")))
+
+    def running(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
+        w = Window.partitionBy(*keys).orderBy("prefix").rowsBetween(Window.unboundedPreceding, 0)
+        return counts.withColumn("upto", F.sum("n").over(w))
+
+    def found(counts: DataFrame, keys: Sequence[str], ranks: DataFrame) -> list:
+        """(j, rank, prefix, rows of the column below the prefix); ``base`` of a rank: rows below its earlier prefix."""
+        at = running(counts, keys).join(F.broadcast(ranks), list(keys))
+        r = F.col("rank") - F.col("base")
+        return (at.where((F.col("upto") > r) & (F.col("upto") - F.col("n") <= r))
+                .select("j", "rank", F.col("prefix").alias("p"), (F.col("base") + F.col("upto") - F.col("n")).alias("base")).collect())
+
+    first = F.shiftright("k", 64 - _LEVELS[0])
+    long(df).groupBy("j", first.alias("prefix")).agg(F.count(F.lit(1)).alias("n")).write.parquet(f"{path}/first")
+    counts = spark.read.parquet(f"{path}/first")
+    totals = {r["j"]: r["n"] for r in counts.groupBy("j").agg(F.sum("n").alias("n")).collect()}
+    places = {(j, i): p * (n - 1) for j, n in totals.items() for i, p in enumerate(probs)}
+    wanted = sorted({(j, r) for (j, _), x in places.items() for r in (math.floor(x), min(math.floor(x) + 1, totals[j] - 1))})
+    if not wanted:
+        return out
+    ranks = spark.createDataFrame([(j, r, 0) for j, r in wanted], "j int, rank long, base long")
+    hits = found(counts, ["j"], ranks)
+    # the second read: the distinct values of the prefixes that hold a rank
+    here = spark.createDataFrame(sorted({(h["j"], h["p"]) for h in hits}), "j int, p long")
+    near = long(df).withColumn("p", first).join(F.broadcast(here), ["j", "p"], "left_semi")
+    near.groupBy("j", "k", "x").agg(F.count(F.lit(1)).alias("n")).write.parquet(f"{path}/near")
+    near = spark.read.parquet(f"{path}/near")
+    for before, bits in zip(_LEVELS, _LEVELS[1:]):
+        ranks = spark.createDataFrame([(h["j"], h["p"], h["rank"], h["base"]) for h in hits], "j int, p long, rank long, base long")
+        here = ranks.select("j", "p").distinct()
+        part = near.withColumn("p", F.shiftright("k", 64 - before)).join(F.broadcast(here), ["j", "p"], "left_semi")
+        prefix = F.shiftright("k", 64 - bits) if bits < 64 else F.col("k")
+        hits = found(part.groupBy("j", "p", prefix.alias("prefix")).agg(F.sum("n").alias("n")), ["j", "p"], ranks)
+    keys = spark.createDataFrame([(h["j"], h["p"], h["rank"]) for h in hits], "j int, k long, rank long")
+    value = {(r["j"], r["rank"]): r["x"] for r in near.join(F.broadcast(keys), ["j", "k"]).select("j", "rank", "x").collect()}
+    for (j, i), place in places.items():
+        low = math.floor(place)
+        v0, v1 = value[j, low], value[j, min(low + 1, totals[j] - 1)]
+        out[cols[j]][i] = v0 + (v1 - v0) * (place - low) if place > low else v0
+    return out
+
+
 def describe(df: DataFrame, cols: Sequence[str] | None = None, method: str = "exact") -> DataFrame:
     """count, mean, std, min, 25%, 50%, 75%, max per numeric column.
-    ``exact``: distributed exact quantiles (``exact_quantiles``);
+    ``exact``: distributed exact quantiles (``radix_quantiles``);
     ``percentile`` / ``approx``: the single aggregate variants."""
     cols = list(cols) if cols else numeric_columns(df)
     aggs = []
-    exact = exact_quantiles_multi(df, cols, (0.25, 0.5, 0.75)) if method == "exact" else {}
+    exact = radix_quantiles(df, cols, (0.25, 0.5, 0.75)) if method == "exact" else {}
     for i, c in enumerate(cols):
         if method == "exact":
             q = F.array(*[F.lit(v).cast("double") for v in exact[c]])
@@ -386,23 +462,62 @@ def pivot_count(df: DataFrame, idx: str, col: str, values: Sequence | None = Non
     return p.na.fill(0, subset=[str(v) for v in values])
 
 
-def presence_map(df: DataFrame, meter: int, building_col: str = "building_id",
+def presence_times(df: DataFrame, meter_col: str = "meter", time_col: str = "timestamp") -> DataFrame:
+    """(meter, timestamp, pos): the timestamps of each meter type, numbered from 0 in time order."""
+    return numbered(df.select(meter_col, time_col).distinct(), [meter_col], [time_col])
+
+
+def presence_runs(df: DataFrame, times: DataFrame | None = None, building_col: str = "building_id",
+                  meter_col: str = "meter", time_col: str = "timestamp", value_col: str = "meter_reading") -> DataFrame:
+    """Gaps and islands of every building and meter type: (building, meter, presence, first, last, hours).
+
+    A run is a stretch of the meter's timestamps (``times``, see ``presence_times``) with the same sign of the
+    building's reading, or without one (presence NULL); ``first`` and ``last`` are their numbers.  Every building has
+    runs for every meter type, covering all its timestamps.  A timestamp with several readings takes the sign of the
+    largest; a NULL reading is none.
+
+    Size: the runs, not buildings x timestamps.  The windows are over one building and meter type."""
+    times = presence_times(df, meter_col, time_col) if times is None else times
+    key = [building_col, meter_col]
+    cells = (df.groupBy(*key, time_col).agg(F.signum(F.max(value_col)).cast("int").alias("presence"))
+             .where(F.col("presence").isNotNull()).join(times, [meter_col, time_col]))
+    # consecutive numbers of equal presence have the same difference to their own count
+    own = Window.partitionBy(*key, "presence").orderBy("pos")
+    runs = (cells.withColumn("__island", F.col("pos") - F.row_number().over(own))
+            .groupBy(*key, "presence", "__island").agg(F.min("pos").alias("first"), F.max("pos").alias("last")))
+    # one row per meter type
+    sizes = times.groupBy(meter_col).agg(F.count(F.lit(1)).alias("__n"))
+    meters = sizes.agg(F.collect_list(F.struct(F.col(meter_col), F.col("__n")))).scalar()
+    pairs = (df.select(building_col).distinct().select(building_col, F.explode(meters).alias("__m"))
+             .select(building_col, F.col(f"__m.{meter_col}").alias(meter_col), F.col("__m.__n").alias("__n")))
+    every = pairs.join(runs, key, "left")
+    w = Window.partitionBy(*key).orderBy("first")
+    every = every.withColumns({"__next": F.lead("first").over(w), "__nth": F.row_number().over(w)})
+
+    def run(presence, first, last):
+        return F.struct(presence.cast("int").alias("presence"), first.cast("long").alias("first"), last.cast("long").alias("last"))
+
+    null = F.lit(None)
+    some = F.col("first").isNotNull()
+    parts = F.array(
+        F.when(some, run(F.col("presence"), F.col("first"), F.col("last"))),
+        F.when(some & (F.col("__nth") == 1), run(null, F.lit(0), F.col("first") - 1)),
+        F.when(some, run(null, F.col("last") + 1, F.coalesce("__next", "__n") - 1)).otherwise(run(null, F.lit(0), F.col("__n") - 1)))
+    return (every.select(*key, F.explode(F.filter(parts, lambda r: r.isNotNull() & (r["first"] <= r["last"]))).alias("__r"))
+            .select(*key, "__r.presence", "__r.first", "__r.last", (F.col("__r.last") - F.col("__r.first") + 1).alias("hours")))
+
+
+def presence_map(df: DataFrame, meter: int | None = None, building_col: str = "building_id",
                  meter_col: str = "meter", time_col: str = "timestamp",
                  value_col: str = "meter_reading") -> DataFrame:
-    """Long-form building x timestamp map for one meter type: sign of the
-    reading (NULL = no reading).  Rows: every building of the table times
-    every timestamp present for that meter.  A cell with several readings
-    takes the sign of the largest.
-
-    Built without a cross join: each building expands the meter's distinct
-    timestamps (one array, as long as the meter has timestamps) with a
-    generator, and a left join brings the readings."""
-    m = df.where(F.col(meter_col) == meter)
-    times = m.agg(F.sort_array(F.collect_set(time_col))).scalar()
-    grid = df.select(building_col).distinct().select(building_col, F.explode(times).alias(time_col))
-    cells = m.groupBy(building_col, time_col).agg(F.max(value_col).alias("__v"))
-    return (grid.join(cells, [building_col, time_col], "left")
-            .select(building_col, time_col, F.signum("__v").cast("int").alias("presence")))
+    """Long-form map (building, meter, timestamp, presence): sign of the reading (NULL = no reading), for every building
+    and every timestamp of each meter type (or of one).  The runs of ``presence_runs``, expanded."""
+    times = presence_times(df, meter_col, time_col)
+    runs = presence_runs(df, times, building_col, meter_col, time_col, value_col)
+    if meter is not None:
+        runs = runs.where(F.col(meter_col) == meter)
+    cells = runs.select(building_col, meter_col, "presence", F.explode(F.sequence("first", "last")).alias("pos"))
+    return cells.join(times, [meter_col, "pos"]).select(building_col, meter_col, time_col, "presence")
 
 
 def resample_mean(df: DataFrame, freq: str, keys: Sequence[str], value: str, start, end,
@@ -445,7 +560,7 @@ def outlier_thresholds(df: DataFrame, col: str, stat: str = "std", mult: float =
     if stat == "iqr":
         if method == "exact":
             a = df.sparkSession.range(1).select(
-                F.array(*[F.lit(v).cast("double") for v in exact_quantiles(df, col, (0.25, 0.75))]).alias("q"))
+                F.array(*[F.lit(v).cast("double") for v in radix_quantiles(df, [col], (0.25, 0.75))[col]]).alias("q"))
         else:
             a = df.agg(quantile_exprs(col, (0.25, 0.75), method).alias("q"))
         q25, q75 = F.col("q")[0], F.col("q")[1]
@@ -506,16 +621,22 @@ def variance_flags(df: DataFrame, cols: Sequence[str] | None = None) -> DataFram
 
 def duplicate_features(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """For every column pair (schema order), whether the two columns are
-    equal on all rows (NULL equals NULL, types must match): one aggregate."""
+    equal on all rows (NULL equals NULL, types must match).
+
+    One aggregate with a fingerprint per column, not per pair: the sum, in any order, of a hash of each row's
+    content and the column's value.  Equal columns have equal sums; only pairs with equal sums are then compared row by
+    row, in a second aggregate."""
     cols = list(cols) if cols else df.columns
     types = {f.name: f.dataType for f in df.schema.fields}
+    row = df.withColumn("__row", F.xxhash64(*[F.col(c) for c in cols]))
+    number = "decimal(20,0)"  # sums of 64-bit hashes: no overflow
+    prints = row.agg(*[F.sum(F.xxhash64("__row", F.col(c).isNull(), c).cast(number)).alias(f"f{i}") for i, c in enumerate(cols)]).first()
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    aggs = [(F.bool_and(F.col(a).eqNullSafe(F.col(b))) if types[a] == types[b] else F.lit(False))
-            .alias(f"p{i}") for i, (a, b) in enumerate(pairs)]
-    agg = df.agg(*aggs)
-    return _long(agg, [F.struct(F.lit(a).alias("col1"), F.lit(b).alias("col2"),
-                                F.coalesce(F.col(f"p{i}"), F.lit(True)).alias("equal"))
-                       for i, (a, b) in enumerate(pairs)])
+    place = {c: i for i, c in enumerate(cols)}
+    maybe = [(a, b) for a, b in pairs if types[a] == types[b] and prints[place[a]] == prints[place[b]]]
+    same = df.agg(*[F.bool_and(F.col(a).eqNullSafe(F.col(b))).alias(f"p{i}") for i, (a, b) in enumerate(maybe)]).first() if maybe else []
+    equal = {p for p, ok in zip(maybe, same) if ok is not False}
+    return df.sparkSession.createDataFrame([(a, b, (a, b) in equal) for a, b in pairs], "col1 string, col2 string, equal boolean")
 
 
 def correlation_matrix(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:

@@ -50,7 +50,7 @@ def q_column_stats(spark, sf):
     return round_doubles(pr.column_stats(fx.weather(spark, sf)))
 
 
-_DESC = ["air_temperature", "dew_temperature", "wind_speed"]
+_DESC = W_MEASURES
 
 
 @register("describe", with_ctes("\nunion all\n".join(
@@ -176,15 +176,27 @@ def q_pivot_count(spark, sf):
     return wide.unpivot("site_id", [c for c in wide.columns if c != "site_id"], "primary_use", "n")
 
 
-@register("presence_map", with_ctes("""
-select g.building_id, g.timestamp, cast(sign(c.v) as int) as presence
-from grid g left join cells c on g.building_id = c.building_id and g.timestamp = c.timestamp""",
-    METER_CTE, "m as (select * from meter_fx where meter = 0)",
-    """grid as (select b.building_id, t.timestamp from (select distinct building_id from meter_fx) b,
-                                                       (select distinct timestamp from m) t)""",
-    "cells as (select building_id, timestamp, max(meter_reading) as v from m group by 1, 2)"))
+_PRESENCE = ["""grid as (select b.building_id, t.meter, t.timestamp, t.pos from (select distinct building_id from meter_fx) b,
+  (select meter, timestamp, row_number() over (partition by meter order by timestamp) - 1 as pos
+   from (select distinct meter, timestamp from meter_fx) d) t)""",
+             "cells as (select building_id, meter, timestamp, max(meter_reading) as v from meter_fx group by all)",
+             """presence as (select g.building_id, g.meter, g.timestamp, g.pos, cast(sign(c.v) as int) as presence
+  from grid g left join cells c on g.building_id = c.building_id and g.meter = c.meter and g.timestamp = c.timestamp)"""]
+
+
+@register("presence_map", with_ctes("select building_id, meter, timestamp, presence from presence", METER_CTE, *_PRESENCE))
 def q_presence_map(spark, sf):
-    return pr.presence_map(fx.meter_readings(spark, sf), 0)
+    return pr.presence_map(fx.meter_readings(spark, sf))
+
+
+@register("presence_runs", with_ctes("""
+select building_id, meter, presence, min(pos) as first, max(pos) as last, count(*) as hours
+from (select *, sum(cut) over (partition by building_id, meter order by pos) as run
+      from (select *, cast(presence is distinct from lag(presence) over w or pos = 0 as int) as cut
+            from presence window w as (partition by building_id, meter order by pos)) p) q
+group by building_id, meter, presence, run""", METER_CTE, *_PRESENCE))
+def q_presence_runs(spark, sf):
+    return pr.presence_runs(fx.meter_readings(spark, sf))
 
 
 @register("resample_mean", with_ctes("""
