@@ -332,7 +332,8 @@ def pack(docs: DataFrame, tokenizer: str, end: int = 1, room: int = ROOM, gap: f
     earlier = Window.partitionBy("length").orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)
     before = counts.select("pid", "length", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
     cols = ["doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", *(["ids"] if with_ids else [])]
-    rows = (pieces.select(*cols, "pid", "rank").join(before, ["pid", "length"])
+    # counts grow with the written partitions, so they are joined by key, never broadcast
+    rows = (pieces.select(*cols, "pid", "rank").join(before.hint("merge"), ["pid", "length"])
             .withColumn("nth", F.col("rank") + F.col("before")).drop("pid", "rank", "before"))
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", *(["ids"] if with_ids else [])]
     schema = ", ".join(f"{n} {'binary' if n == 'ids' else 'long'}" for n in names) + ", sequence_id long, offset long"
