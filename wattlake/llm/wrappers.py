@@ -44,6 +44,7 @@ as far as it goes; elements nested more than DEPTH deep are read as siblings.  R
 
 from __future__ import annotations
 
+import hashlib
 import html
 import json
 import re
@@ -87,13 +88,20 @@ SKIP_WORDS = frozenset(
 REGIONS = frozenset("html body article main".split())
 CONTAINERS = frozenset("div ul ol table tbody tr td".split())
 
+#: Elements that are a line of text themselves, and words that name the layout around text: on such a line they are style.
+LINES = frozenset("h1 h2 h3 h4 h5 h6 p pre blockquote figcaption caption".split())
+LAYOUT_WORDS = frozenset("header footer form menu nav navigation aside sidebar masthead topbar toolbar print skip search banner widget".split())
+
+#: A constant text longer than this is kept by its hash.
+LONG_TEXT = 200
+
 #: Elements nested deeper are read as siblings.
 DEPTH = 200
 
 _TOKEN = re.compile(
     r"<!--(?P<comment>.*?)(?:-->|\Z)|<[!?](?P<decl>[^>]*)(?:>|\Z)|</(?P<end>[a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)"
-    r"|<(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)|(?P<text>[^<]+|<)", re.S)
-_ATTR = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
+    r"|<(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?>=\s*\"[^\"]*(?:\"|\Z)|=\s*'[^']*(?:'|\Z)|=\s*[^\s>\"'][^\s>]*|[^>])*+)(?:>|\Z)|(?P<text>[^<]+|<)", re.S)
+_ATTR = re.compile(r"""([^\s>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>"'][^\s>]*))?""")
 _UNSEEN = re.compile(r"(?:^|;)\s*display\s*:\s*none\b")
 _WORDS = re.compile(r"[a-z]+")
 _SPACE = re.compile(r"\s+")
@@ -124,6 +132,8 @@ def _key(tag: str, attrs: str) -> str:
     mark = ""
     if tag not in SKIP_TAGS and tag not in REGIONS:
         names = {*classes, *role, *(own if tag in CONTAINERS and "section" not in classes else ())}
+        if tag in LINES:
+            names -= LAYOUT_WORDS
         if "hidden" in given or _UNSEEN.search(given.get("style", "")):
             mark = "!"
         elif "main" in role or "main" in own:
@@ -207,8 +217,8 @@ def fold(node: Node, linked: bool = False) -> list:
             w[PARTS][i][SEEN] = 1
             for p in w[PARTS][i:]:
                 p[REPEAT] = 2
-    if isinstance(w[TEXT], str) and len(w[TEXT]) > 200:
-        w[TEXT] = 1
+    if isinstance(w[TEXT], str) and len(w[TEXT]) > LONG_TEXT:
+        w[TEXT] = "\0" + hashlib.blake2b(w[TEXT].encode("utf-8", "surrogatepass"), digest_size=16).hexdigest()
     return w
 
 
@@ -324,11 +334,12 @@ def rules(w: list, constant_pages: int = 5) -> dict:
         return out
 
     def walk(x: list, path: str, pages: int) -> None:
-        if isinstance(x[TEXT], str) and x[SEEN] >= constant_pages and x[REPEAT] == 1:
+        same = isinstance(x[TEXT], str) and x[SEEN] >= constant_pages and x[REPEAT] == 1
+        if same:
             out["constant"].append(path)
         pages = min(pages, x[SEEN])  # inside a repeated part, parts are seen more often than pages
         if x[TEXT] is not None or x[REPEAT] == 2:
-            out["weight"][path] = [round((x[SLOT] - x[LINK]) / pages, 1), x[REPEAT]]
+            out["weight"][path] = [0 if same else round((x[SLOT] - x[LINK]) / pages, 1), x[REPEAT]]
         for c in x[PARTS]:
             walk(c, f"{path}/{c[KEY]}" if path else c[KEY], pages)
 
