@@ -104,3 +104,19 @@ def test_predictions_are_clipped_and_keep_unknown_groups(spark, solved):
 
 def test_empty_table(rows):
     assert L.lasso_paths(rows.where("false"), CATS, NUMS, "y", folds=4).count() == 0
+
+
+def test_principal_components_equal_numpy(spark, rows):
+    got = {}
+    for r in L.principal_components(rows, CATS, NUMS, "y", k=3).collect():
+        got.setdefault((r.meter, r.component), []).append((r.explained_variance, r.feature, r.loading))
+    full = rows.dropna(subset=NUMS + ["y"]).checkpoint()
+    enc = encoder(full).transform(full)
+    for meter in (0, 1):
+        x = np.array([[r[f] for f in FEATS] for r in enc.where(F.col("meter") == meter).collect()], float)
+        values, vectors = np.linalg.eigh(np.cov(x.T, bias=True))
+        for c in range(3):
+            assert all(abs(s - values[-1 - c] / values.sum()) < 1e-9 for s, _, _ in got[meter, c])
+            v = np.array([w for _, _, w in got[meter, c]])
+            assert [f for _, f, _ in got[meter, c]] == FEATS and v[np.abs(v).argmax()] > 0
+            assert abs(abs(v @ vectors[:, -1 - c]) - 1) < 1e-9

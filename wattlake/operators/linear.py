@@ -209,6 +209,34 @@ def lasso_paths(df: DataFrame, cats: Sequence[str], nums: Sequence[str], label:
     return paths(sums, by, _names(cats, nums), alphas, subsets).checkpoint(eager=True)
 
 
+def principal_components(df: DataFrame, cats: Sequence[str], nums: Sequence[str], label: str, k: int = 2,
+                         by: Sequence[str] = ("meter",)) -> DataFrame:
+    """The first ``k`` principal components of the encoded and scaled features of each group, from the sums of one scan:
+    (group, component, explained_variance, feature, loading).  A component's largest loading is positive."""
+    ensure_checkpoint_dir(df.sparkSession)
+    by, names = list(by), _names(cats, nums)
+    table = moment_table(df, by, cats, nums, label, None).checkpoint(eager=True)
+    sums = fold_sums(table, by, cats, nums, 0).drop("valid")
+    types = {f.name: f.dataType.simpleString() for f in sums.schema.fields}
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for _, r in pdf.iterrows():
+            gram = System(np.array(r["train"], float), len(names), np.array(r["flat"], bool)).gram
+            values, vectors = np.linalg.eigh(gram)
+            for c in range(min(k, len(names))):
+                v = vectors[:, -1 - c]
+                v = v * np.sign(v[np.abs(v).argmax()])
+                share = values[-1 - c] / max(values.sum(), 1e-300)
+                out += [[*[r[b] for b in by], c, float(share), f, float(x)] for f, x in zip(names, v)]
+        return pd.DataFrame(out, columns=[*by, "component", "explained_variance", "feature", "loading"])
+
+    ship_package(df.sparkSession)
+    schema = ", ".join(f"`{b}` {types[b]}" for b in by) + ", component int, explained_variance double, feature string, loading double"
+    # a group is one row of sums
+    return sums.groupBy(*by).applyInPandas(run, schema)
+
+
 def cross_validated(solved: DataFrame, by: Sequence[str] = ("meter",)) -> DataFrame:
     """Per (group, feature set, alpha): mean and standard deviation of the folds' error, ranked in the group (best first,
     ties to the smaller alpha, then by feature set)."""

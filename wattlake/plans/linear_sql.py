@@ -10,7 +10,7 @@ FEATURES = [*CAT_FEATURES, *NUM_FEATURES]
 _HASH = "cast('0x' || substr(md5(cast(m.row_id as varchar)), 1, 8) as bigint)"
 SWEEPS = 90
 
-#: Building cleaning, features and log target of all positive readings; ``part`` is the 80/20 split, ``fold`` one of 8.
+#: Building cleaning, features and log target of all positive readings; outliers removed; ``part`` is the 80/10/10 split, ``fold`` one of 8.
 FRAME = [
     """bc1 as (select building_id, site_id, primary_use, square_feet,
        coalesce(year_built, median(year_built) over (partition by site_id)) as year_built from building_fx)""",
@@ -18,6 +18,10 @@ FRAME = [
        coalesce(year_built, median(year_built) over (partition by primary_use)) as year_built from bc1)""",
     """bc3 as (select building_id, site_id, primary_use, square_feet,
        cast(trunc(coalesce(year_built, median(year_built) over (partition by site_id))) as int) as year_built from bc2)""",
+    """rd as (select m.*, b.site_id, case when b.site_id = 0 and m.meter = 0 then m.meter_reading * 0.2931
+       when b.site_id = 0 and m.meter = 1 then m.meter_reading * 0.0833 else m.meter_reading end as reading
+from meter_fx m left join building_fx b on m.building_id = b.building_id)""",
+    """cap as (select quantile_cont(reading, 0.75) + 50 * (quantile_cont(reading, 0.75) - quantile_cont(reading, 0.25)) as most from rd)""",
     f"""mf0 as (select m.row_id, m.meter, m.building_id, b.primary_use, b.square_feet, b.year_built, c.country,
   dayofyear(m.timestamp) as dayofyear, hour(m.timestamp) as hour, cast(isodow(m.timestamp) >= 6 as int) as is_weekend,
   cast(exists (select 1 from calendar k where k.country = c.country
@@ -25,12 +29,11 @@ FRAME = [
   6.11 * pow(10.0, 7.5 * w.dew_temperature / (237.3 + w.dew_temperature)) * 100
     / (6.11 * pow(10.0, 7.5 * w.air_temperature / (237.3 + w.air_temperature))) as rel_humidity,
   w.dew_temperature, w.sea_level_pressure, w.wind_speed, sin(radians(w.wind_direction)) as wind_direction_y,
-  case when b.site_id = 0 and m.meter = 0 then m.meter_reading * 0.2931
-       when b.site_id = 0 and m.meter = 1 then m.meter_reading * 0.0833 else m.meter_reading end as reading,
-  case when {_HASH} % 100 < 80 then 'train' else 'val' end as part, cast({_HASH} % 1000003 % 8 as int) as fold
-from meter_fx m left join bc3 b on m.building_id = b.building_id
+  m.reading,
+  case when {_HASH} % 100 < 80 then 'train' when {_HASH} % 100 < 90 then 'val' else 'test' end as part, cast({_HASH} % 1000003 % 8 as int) as fold
+from rd m left join bc3 b on m.building_id = b.building_id
 left join wp w on b.site_id = w.site_id and m.timestamp = w.timestamp
-left join countries_fx c on b.site_id = c.site_id where m.meter_reading > 0)""",
+left join countries_fx c on b.site_id = c.site_id where m.meter_reading > 0 and m.reading <= (select most from cap))""",
     "mf as materialized (select *, ln(1 + reading * avg(square_feet) over (partition by meter) / square_feet) as y from mf0)",
 ]
 
@@ -110,3 +113,38 @@ def fold_scores() -> list[str]:
             f"""fs_scores as (select s.meter, s.h, s.fs, s.alpha, avg(pow(r.y - ({prediction()}), 2)) as msle
   from sol s join oz r on r.meter = s.meter and r.h = s.h where s.h >= 0 and r.z0 is not null and r.z1 is not null
   group by all)"""]
+
+
+POWER_STEPS = 1000
+
+
+def component_ctes() -> list[str]:
+    """``pc0`` and ``pc1``: the two largest eigenpairs (e, v) of every meter's ``eq.g``, by power iteration and deflation."""
+    p = len(FEATURES)
+    start = "[" + ", ".join(f"cast({1 - 0.05 * i!r} as double)" for i in range(p)) + "]"
+    out = []
+    for c, src in enumerate(("(select meter, g from eq where h = -1)", "rest")):
+        step = "[" + ", ".join(f"list_dot_product(g.g[{i + 1}], d.v)" for i in range(p)) + "]"
+        unit = "[" + ", ".join(f"u[{i + 1}] / sqrt(list_dot_product(u, u))" for i in range(p)) + "]"
+        out += [f"""it{c} as (select meter, 0 as t, cast(0 as double) as e, {start} as v from {src} s
+  union all select meter, t + 1, sqrt(list_dot_product(u, u)), {unit}
+  from (select d.meter, d.t, {step} as u from it{c} d join {src} g on g.meter = d.meter where d.t < {POWER_STEPS}) n)""",
+                f"pc{c} as materialized (select meter, e, v from it{c} where t = {POWER_STEPS})"]
+        if c == 0:
+            less = ", ".join("[" + ", ".join(f"s.g[{i + 1}][{j + 1}] - o.e * o.v[{i + 1}] * o.v[{j + 1}]" for j in range(p)) + "]" for i in range(p))
+            out.append(f"rest as materialized (select s.meter, [{less}] as g from {src} s join pc0 o on o.meter = s.meter)")
+    return out
+
+
+def loadings() -> str:
+    """Loadings of both components; the largest of a component is positive."""
+    p = len(FEATURES)
+    trace = " + ".join(f"q.g[{i + 1}][{i + 1}]" for i in range(p))
+    big = "(select max(abs(x)) from (select unnest(o.v) as x) a)"
+    parts = []
+    for c in (0, 1):
+        for i, f in enumerate(FEATURES):
+            parts.append(f"select o.meter, {c} as component, round(o.e / ({trace}), 4) as explained_variance, '{f}' as feature, "
+                         f"round(o.v[{i + 1}] * case when list_contains(o.v, {big}) then 1 else -1 end, 4) as loading "
+                         f"from pc{c} o join eq q on q.meter = o.meter and q.h = -1")
+    return " union all ".join(parts)

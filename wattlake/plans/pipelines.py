@@ -24,7 +24,7 @@ from wattlake.operators import timeseries as ts
 from wattlake.operators import validation as val
 from wattlake.operators.bundle import ModelBundle
 from wattlake.operators.bundle import load as load_bundle
-from wattlake.operators.joins import merge_data
+from wattlake.operators.joins import join_building, merge_data
 from wattlake.session import ensure_checkpoint_dir, scratch_dir
 
 CAT_FEATURES = ["primary_use", "country"]
@@ -76,7 +76,6 @@ def site0_units(reading, site, meter):
 def eda_clean(meter: DataFrame, building: DataFrame, mult: float = 50) -> DataFrame:
     """site-0 electricity kBTU -> kWh and chilled water kBTU -> tons, IQR outlier removal (upper only,
     global), meter name, date parts."""
-    from wattlake.operators.joins import join_building
     mb = join_building(meter, building.select("building_id", "site_id"))
     mb = mb.withColumn("meter_reading", site0_units(F.col("meter_reading"), F.col("site_id"), F.col("meter")))
     upper = pr.outlier_thresholds(mb, "meter_reading", "iqr", mult).select("upper").scalar()
@@ -86,13 +85,17 @@ def eda_clean(meter: DataFrame, building: DataFrame, mult: float = 50) -> DataFr
 
 
 def training_frame(meter: DataFrame, weather_done: DataFrame, building: DataFrame,
-                   per: str | None = "meter", weather_rows: int | None = None) -> DataFrame:
-    """Model frame: positive readings in training units (site 0 converted),
-    features, target = log1p(reading normalised by area)."""
-    m = flt.drop_nonpositive(meter).where(F.col("meter_reading").isNotNull())
-    fr = feature_pipeline(m, weather_done, building_clean(building),
+                   per: str | None = "meter", weather_rows: int | None = None, outliers: float | None = 50) -> DataFrame:
+    """Model frame: positive readings in training units (site 0 converted), without readings above
+    q75 + ``outliers`` x IQR of all converted readings; features; target = log1p(reading normalised by area)."""
+    units = join_building(meter, building.select("building_id", "site_id"))
+    units = units.withColumn("meter_reading", site0_units(F.col("meter_reading"), F.col("site_id"), F.col("meter")))
+    m = flt.drop_nonpositive(units).where(F.col("meter_reading").isNotNull())
+    if outliers is not None:
+        upper = pr.outlier_thresholds(units, "meter_reading", "iqr", outliers).select("upper").scalar()
+        m = flt.remove_outliers(m, "meter_reading", upper)
+    fr = feature_pipeline(m.drop("site_id"), weather_done, building_clean(building),
                           feats=MODEL_FEATURES, keep=("row_id", "meter_reading"), weather_rows=weather_rows)
-    fr = fr.withColumn("meter_reading", site0_units(F.col("meter_reading"), F.col("site_id"), F.col("meter")))
     fr = feat.normalize_by_area(fr, per=per)
     return fr.withColumn("meter_reading", F.log1p("meter_reading"))
 

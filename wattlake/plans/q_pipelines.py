@@ -119,14 +119,14 @@ _CACHE: dict = {}
 
 
 def model_frame(spark, sf):
-    """Training frame with an 80/20 hash split, cached once per session."""
+    """Training frame with an 80/10/10 hash split, cached once per session."""
     key = ("frame", spark.sparkContext.applicationId, sf)
     if key not in _CACHE:
         from wattlake.session import ensure_checkpoint_dir
         ensure_checkpoint_dir(spark)
         fr = pl.training_frame(fx.meter_readings(spark, sf), weather_done(spark, sf, "cubic"),
                                fx.buildings(spark, sf), weather_rows=weather_bound(spark, sf))
-        fr = ml.assign_split(fr, ratios=(0.8, 0.2), names=("train", "val"))
+        fr = ml.assign_split(fr, ratios=(0.8, 0.1, 0.1))
         # cut the lineage (weather windows, holidays, joins) once; the
         # checkpoint lives in the shared spark.checkpoint.dir
         _CACHE[key] = fr.checkpoint(eager=True)
@@ -158,11 +158,12 @@ def _encoded(spark, sf):
 
 @register("training_pipeline")
 def q_training_pipeline(spark, sf):
-    """features -> split -> encode -> GBT per meter -> validation RMSLE per meter."""
+    """units, outliers, features -> split -> encode -> GBT per meter -> RMSLE per meter of the training, validation and
+    test rows (the test rows take no part in fitting or early stopping)."""
     fr = model_frame(spark, sf)
     encoding, models, _ = fitted(spark, sf, "a")
-    pred = ml.predict_by_group(encoding.transform(fr.where(F.col("split") == "val")), models)
-    return ml.rmsle(pred, "meter_reading", "prediction", by=["meter"], scale="log")
+    pred = ml.predict_by_group(encoding.transform(fr), models)
+    return ml.rmsle(pred, "meter_reading", "prediction", by=["meter", "split"], scale="log")
 
 
 @register("boosted_fit_a")
@@ -302,6 +303,15 @@ def q_pca(spark, sf):
     return spark.createDataFrame([(i, float(v)) for i, v in enumerate(ev)], "component int, explained_variance double")
 
 
+@register("pca_loadings", with_recursive(
+    lsql.loadings(), *_FRAME_CTES, *lsql.encoder_ctes(0), *lsql.lasso_ctes([1e-6], {"all": lsql.FEATURES})[:2], *lsql.component_ctes()))
+def q_pca_loadings(spark, sf):
+    """The first two components of each meter's encoded training features: shares of variance and loadings."""
+    train = model_frame(spark, sf).where(F.col("split") == "train")
+    out = linear.principal_components(train, pl.CAT_FEATURES, pl.NUM_FEATURES, "meter_reading")
+    return round_doubles(out, 4)
+
+
 @register("pca_by_variance")
 def q_pca_by_variance(spark, sf):
     enc = _encoded(spark, sf)

@@ -341,15 +341,15 @@ def q_correlated_features(spark, sf):
     return pr.correlated_features(round_doubles(pr.correlation_matrix(fx.weather(spark, sf), _CORR_COLS)), 0.5)
 
 
-_TC = ["square_feet", "year_built", "air_temperature", "dew_temperature", "wind_speed"]
+_TC = ["square_feet", "year_built", "floor_count", *W_MEASURES]  # every numeric column of the merged table
 
 
 @register("target_correlation", with_ctes("\nunion all\n".join(
     f"select '{c}' as feature, round(corr({c}, meter_reading), 6) as corr, "
     f"corr({c}, meter_reading) > 0.1 as selected from mbw" for c in _TC),
     METER_CTE, BUILDING_CTE, WEATHER_CTE,
-    """mbw as (select m.meter_reading, b.square_feet, b.year_built, w.air_temperature, w.dew_temperature,
-                      w.wind_speed from meter_fx m left join building_fx b on m.building_id = b.building_id
+    """mbw as (select m.meter_reading, b.*, w.* exclude (site_id, timestamp)
+               from meter_fx m left join building_fx b on m.building_id = b.building_id
                left join weather_fx w on b.site_id = w.site_id and m.timestamp = w.timestamp)"""))
 def q_target_correlation(spark, sf):
     from wattlake.operators.joins import merge_data
