@@ -211,54 +211,51 @@ def radix_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float])
 
     A running count sorts at most 2**20 prefixes of a column (2**24 in the last level); ties are one row.  The driver
     sees one row per column, rank and level."""
-    spark = df.sparkSession
     cols, probs = list(cols), [float(p) for p in probs]
-    path = scratch_dir(spark, "quantiles")
-    out: dict[str, list] = {c: [None] * len(probs) for c in cols}
 
-    def long(rows: DataFrame) -> DataFrame:
-        x = rows.select(F.inline(F.array(*[F.struct(F.lit(j).alias("j"), F.col(c).cast("double").alias("x"))
-                                           for j, c in enumerate(cols)]))).where(F.col("x").isNotNull())
-        return x.withColumn("k", order_key(F.col("x")))
-
-    def running(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
-        w = Window.partitionBy(*keys).orderBy("prefix").rowsBetween(Window.unboundedPreceding, 0)
-        return counts.withColumn("upto", F.sum("n").over(w))
-
-    def found(counts: DataFrame, keys: Sequence[str], ranks: DataFrame) -> list:
-        """(j, rank, prefix, rows of the column below the prefix); ``base`` of a rank: rows below its earlier prefix."""
-        at = running(counts, keys).join(F.broadcast(ranks), list(keys))
-        r = F.col("rank") - F.col("base")
-        return (at.where((F.col("upto") > r) & (F.col("upto") - F.col("n") <= r))
-                .select("j", "rank", F.col("prefix").alias("p"), (F.col("base") + F.col("upto") - F.col("n")).alias("base")).collect())
-
-    first = F.shiftright("k", 64 - _LEVELS[0])
-    long(df).groupBy("j", first.alias("prefix")).agg(F.count(F.lit(1)).alias("n")).write.parquet(f"{path}/first")
-    counts = spark.read.parquet(f"{path}/first")
-    totals = {r["j"]: r["n"] for r in counts.groupBy("j").agg(F.sum("n").alias("n")).collect()}
-    places = {(j, i): p * (n - 1) for j, n in totals.items() for i, p in enumerate(probs)}
-    wanted = sorted({(j, r) for (j, _), x in places.items() for r in (math.floor(x), min(math.floor(x) + 1, totals[j] - 1))})
-    if not wanted:
+    def quoted(c: str) -> str:
+        return "`" + c.replace("`", "``") + "`"
+
+    x = (df.selectExpr("inline(array(" + ", ".join(f"struct({j} as j, cast({quoted(c)} as double) as x)" for j, c in enumerate(cols)) + "))")
+         .where("x is not null").withColumn("k", order_key(F.col("x"))).withColumn("p", F.shiftright("k", 64 - _LEVELS[0])))
+    upto = "sum(n) over (partition by {} order by {} rows unbounded preceding) - n as below"
+    # the first read: prefixes that hold the two ranks around each quantile
+    low = f"transform(array({', '.join(f'{p!r}D' for p in probs)}), q -> floor(q * (total - 1)))"
+    counts = (x.groupBy("j", "p").agg(F.count(F.lit(1)).alias("n"))
+              .selectExpr("*", upto.format("j", "p"), "sum(n) over (partition by j) as total"))
+    hits = counts.selectExpr(
+        "j", "p", "below", "total", f"explode(filter(array_distinct(concat({low}, transform({low}, r -> least(r + 1, total - 1)))), "
+        "r -> below <= r and r < below + n)) as rank").collect()
+    totals = {h["j"]: h["total"] for h in hits}
+    out: dict[str, list] = {c: [None] * len(probs) for c in cols}
+    if not hits:
         return out
-    ranks = spark.createDataFrame([(j, r, 0) for j, r in wanted], "j int, rank long, base long")
-    hits = found(counts, ["j"], ranks)
-    # the second read: the distinct values of the prefixes that hold a rank
-    here = spark.createDataFrame(sorted({(h["j"], h["p"]) for h in hits}), "j int, p long")
-    near = long(df).withColumn("p", first).join(F.broadcast(here), ["j", "p"], "left_semi")
-    near.groupBy("j", "k", "x").agg(F.count(F.lit(1)).alias("n")).write.parquet(f"{path}/near")
-    near = spark.read.parquet(f"{path}/near")
+
+    def wanted(rows: Sequence) -> str:
+        """The hits as a constant array: as many as ranks."""
+        return "array(" + ", ".join(f"named_struct('j', {h['j']}, 'p', {h['p']}L, 'rank', {h['rank']}L, 'base', {h['below']}L)"
+                                    for h in rows) + ")"
+
+    # the second read: the distinct values of those prefixes
+    path = scratch_dir(df.sparkSession, "quantiles")
+    (x.where(f"exists({wanted(hits)}, e -> e.j = j and e.p = p)").groupBy("j", "k", "x").agg(F.count(F.lit(1)).alias("n"))
+     .write.parquet(path))
+    near = df.sparkSession.read.parquet(path)
     for before, bits in zip(_LEVELS, _LEVELS[1:]):
-        ranks = spark.createDataFrame([(h["j"], h["p"], h["rank"], h["base"]) for h in hits], "j int, p long, rank long, base long")
-        here = ranks.select("j", "p").distinct()
-        part = near.withColumn("p", F.shiftright("k", 64 - before)).join(F.broadcast(here), ["j", "p"], "left_semi")
-        prefix = F.shiftright("k", 64 - bits) if bits < 64 else F.col("k")
-        hits = found(part.groupBy("j", "p", prefix.alias("prefix")).agg(F.sum("n").alias("n")), ["j", "p"], ranks)
-    keys = spark.createDataFrame([(h["j"], h["p"], h["rank"]) for h in hits], "j int, k long, rank long")
-    value = {(r["j"], r["rank"]): r["x"] for r in near.join(F.broadcast(keys), ["j", "k"]).select("j", "rank", "x").collect()}
-    for (j, i), place in places.items():
-        low = math.floor(place)
-        v0, v1 = value[j, low], value[j, min(low + 1, totals[j] - 1)]
-        out[cols[j]][i] = v0 + (v1 - v0) * (place - low) if place > low else v0
+        here = wanted(hits)
+        part = (near.selectExpr("j", f"shiftright(k, {64 - before}) as p", f"shiftright(k, {64 - bits}) as next", "n", "x")
+                .where(f"exists({here}, e -> e.j = j and e.p = p)")
+                .groupBy("j", "p", "next").agg(F.sum("n").alias("n"), F.min("x").alias("x")).selectExpr("*", upto.format("j, p", "next")))
+        found = part.selectExpr("*", f"explode(filter({here}, e -> e.j = j and e.p = p and below <= e.rank - e.base "
+                                     "and e.rank - e.base < below + n)) as e")
+        hits = found.selectExpr("j", "next as p", "e.rank as rank", "e.base + below as below", "x").collect()
+    value = {(h["j"], h["rank"]): h["x"] for h in hits}  # all 64 bits told apart: one value per hit
+    for j, total in totals.items():
+        for i, p in enumerate(probs):
+            place = p * (total - 1)
+            first = math.floor(place)
+            v0, v1 = value[j, first], value[j, min(first + 1, total - 1)]
+            out[cols[j]][i] = v0 + (v1 - v0) * (place - first) if place > first else v0
     return out
 
 
