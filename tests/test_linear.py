@@ -120,3 +120,34 @@ def test_principal_components_equal_numpy(spark, rows):
             v = np.array([w for _, _, w in got[meter, c]])
             assert [f for _, f, _ in got[meter, c]] == FEATS and v[np.abs(v).argmax()] > 0
             assert abs(abs(v @ vectors[:, -1 - c]) - 1) < 1e-9
+
+
+def test_selections_from_sums(spark, rows):
+    got = {}
+    for r in L.selections(rows, CATS, NUMS, "y", alpha=0.05).collect():
+        got.setdefault((r.meter, r.method), set()).add(r.feature)
+    full = rows.dropna(subset=NUMS + ["y"]).checkpoint()
+    raw_enc = encoder(full)
+    scaled = raw_enc.transform(full)
+    coded = raw_enc.stages[1].transform(raw_enc.stages[0].transform(full))
+    for meter in (0, 1):
+        x = np.array([[r[f] for f in FEATS] for r in coded.where(F.col("meter") == meter).collect()], float)
+        pairs = scaled.where(F.col("meter") == meter).collect()
+        z, y = np.array([[r[f] for f in FEATS] for r in pairs], float), np.array([r.y for r in pairs])
+        corr = z.T @ z / len(z)
+        with_y = z.T @ (y - y.mean()) / len(z) / y.std()
+        assert got[meter, "variance"] == {f for f, v in zip(FEATS, x.var(0, ddof=1)) if v >= 0.01}
+        assert got[meter, "target_corr"] == {f for f, c in zip(FEATS, with_y) if c > 0.1}
+        assert got[meter, "uncorrelated"] == {f for j, f in enumerate(FEATS) if not any(corr[i, j] >= 0.8 for i in range(j))}
+        fit = lambda fs: np.abs(ml.lasso(fs, "y", 0.05, 5000).fit(scaled.where(F.col("meter") == meter)).stages[-1].coefficients.toArray())
+        assert got[meter, "lasso"] == {f for f, w in zip(FEATS, fit(FEATS)) if w >= 1e-5}
+        keep = list(FEATS)
+        while len(keep) > 3:
+            keep.pop(int(fit(keep).argmin()))
+        assert got[meter, "rfe_l1"] == set(keep)
+
+
+def test_side_by_side_table(spark):
+    chosen = spark.createDataFrame([(0, "a", "x"), (0, "b", "x"), (0, "b", "y"), (1, "a", "z")], "meter int, method string, feature string")
+    got = {(r.meter, r.feature): (r.a, r.b, r.votes) for r in L.side_by_side(chosen, ["x", "y", "z"], ["a", "b"]).collect()}
+    assert got == {(0, "x"): (1, 1, 2), (0, "y"): (0, 1, 1), (0, "z"): (0, 0, 0), (1, "x"): (0, 0, 0), (1, "y"): (0, 0, 0), (1, "z"): (1, 0, 1)}

@@ -237,6 +237,65 @@ def principal_components(df: DataFrame, cats: Sequence[str], nums: Sequence[str]
     return sums.groupBy(*by).applyInPandas(run, schema)
 
 
+METHODS = ("variance", "target_corr", "uncorrelated", "lasso", "rfe_l1")
+
+
+def select_features(system: System, names: Sequence[str], alpha: float, least_variance: float = 0.01, least_corr: float = 0.1,
+                    twin_corr: float = 0.8, threshold: float = 1e-5, n_keep: int | None = None) -> dict[str, set[str]]:
+    """Features that each method keeps, from one system of sums.
+
+    variance: at least ``least_variance`` before scaling; target_corr: correlation with the target above ``least_corr``;
+    uncorrelated: not the later column of a pair with correlation ``twin_corr`` and more; lasso: weight of at least
+    ``threshold`` at ``alpha``; rfe_l1: what is left of dropping the weakest Lasso weight (ties: the first) until half
+    (or ``n_keep``) remain, refitted at every step."""
+    p, corr = len(names), system.gram
+    varies = np.diag(corr) > 0
+    y_std = np.sqrt(max(system.yy, 0.0))
+    with_y = system.xy / y_std if y_std > 0 else np.zeros(p)
+    out = {"variance": {names[i] for i in range(p) if varies[i] and system.scales[i] ** 2 * system.n / max(system.n - 1, 1) >= least_variance},
+           "target_corr": {names[i] for i in range(p) if varies[i] and with_y[i] > least_corr},
+           "uncorrelated": {names[j] for j in range(p) if not any(varies[i] and varies[j] and corr[i, j] >= twin_corr for i in range(j))}}
+    w = descend(corr, system.xy, alpha, np.zeros(p))
+    out["lasso"] = {names[i] for i in range(p) if abs(w[i]) >= threshold}
+    keep = list(range(p))
+    while len(keep) > (n_keep or max(1, p // 2)):
+        w = descend(corr[np.ix_(keep, keep)], system.xy[keep], alpha, np.zeros(len(keep)))
+        keep.pop(int(np.abs(w).argmin()))
+    out["rfe_l1"] = {names[i] for i in keep}
+    return out
+
+
+def selections(df: DataFrame, cats: Sequence[str], nums: Sequence[str], label: str, alpha: float = 1e-3,
+               by: Sequence[str] = ("meter",), methods: Sequence[str] = METHODS) -> DataFrame:
+    """(group, method, feature): the features that each method keeps in each group, all from the sums of one scan."""
+    ensure_checkpoint_dir(df.sparkSession)
+    by, names = list(by), _names(cats, nums)
+    table = moment_table(df, by, cats, nums, label, None).checkpoint(eager=True)
+    sums = fold_sums(table, by, cats, nums, 0).drop("valid")
+    types = {f.name: f.dataType.simpleString() for f in sums.schema.fields}
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for _, r in pdf.iterrows():
+            system = System(np.array(r["train"], float), len(names), np.array(r["flat"], bool))
+            kept = select_features(system, names, alpha)
+            out += [[*[r[b] for b in by], m, f] for m in methods for f in names if f in kept[m]]
+        return pd.DataFrame(out, columns=[*by, "method", "feature"])
+
+    ship_package(df.sparkSession)
+    # a group is one row of sums
+    return sums.groupBy(*by).applyInPandas(run, ", ".join(f"`{b}` {types[b]}" for b in by) + ", method string, feature string")
+
+
+def side_by_side(chosen: DataFrame, features: Sequence[str], methods: Sequence[str], by: str = "meter") -> DataFrame:
+    """One row per group and feature: a 0/1 column per method, and the votes."""
+    flags = [F.max((F.col("method") == m).cast("int")).alias(m) for m in methods]
+    got = chosen.groupBy(by, "feature").agg(*flags)
+    every = chosen.select(by).distinct().select(by, F.explode(F.array(*[F.lit(f) for f in features])).alias("feature"))
+    out = every.join(got, [by, "feature"], "left").na.fill(0, list(methods))
+    return out.withColumn("votes", sum((F.col(m) for m in methods), F.lit(0)))
+
+
 def cross_validated(solved: DataFrame, by: Sequence[str] = ("meter",)) -> DataFrame:
     """Per (group, feature set, alpha): mean and standard deviation of the folds' error, ranked in the group (best first,
     ties to the smaller alpha, then by feature set)."""

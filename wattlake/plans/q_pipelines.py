@@ -277,6 +277,36 @@ def _feature_list(spark, method, feats):
     return spark.createDataFrame([(method, f) for f in feats], "method string, feature string")
 
 
+_SELECT_SQL = " union all ".join(
+    [f"select meter, 'variance' as method, '{f}' as feature from te group by meter having var_samp(x{i}) >= 0.01" for i, f in enumerate(lsql.FEATURES)]
+    + [f"select meter, 'target_corr', '{f}' from te group by meter having corr(x{i}, y) > 0.1" for i, f in enumerate(lsql.FEATURES)]
+    + [f"select meter, 'uncorrelated', '{f}' from te group by meter having " + (" and ".join(
+        f"coalesce(corr(x{k}, x{i}), 0) < 0.8" for k in range(i)) or "true") for i, f in enumerate(lsql.FEATURES)])
+
+
+@register("select_filters_by_meter", with_recursive(_SELECT_SQL, *_FRAME_CTES, *lsql.encoder_ctes(0)))
+def q_select_filters_by_meter(spark, sf):
+    """Per meter, the features that the three filters keep: variance, correlation with the target, no earlier twin."""
+    train = model_frame(spark, sf).where(F.col("split") == "train")
+    return linear.selections(train, pl.CAT_FEATURES, pl.NUM_FEATURES, "meter_reading",
+                             methods=("variance", "target_corr", "uncorrelated"))
+
+
+@register("selection_table")
+def q_selection_table(spark, sf):
+    """All methods side by side per meter, with votes: the filters, Lasso and recursive elimination from the sums of one
+    scan, and tree importance."""
+    train = model_frame(spark, sf).where(F.col("split") == "train")
+    chosen = linear.selections(train, pl.CAT_FEATURES, pl.NUM_FEATURES, "meter_reading")
+    rows = linear_encoding(spark, sf).transform(train.dropna(subset=[*pl.NUM_FEATURES, "meter_reading", "meter"])).cache()
+    meters = [r[0] for r in rows.select("meter").distinct().orderBy("meter").collect()]  # meter types
+    tree = [(m, "tree", f) for m in meters
+            for f in ml.select_by_importance(rows.where(F.col("meter") == m), lsql.FEATURES, "meter_reading")]
+    rows.unpersist()
+    both = chosen.unionByName(spark.createDataFrame(tree, "meter int, method string, feature string"))
+    return linear.side_by_side(both, lsql.FEATURES, (*linear.METHODS, "tree"))
+
+
 @register("select_by_l1")
 def q_select_by_l1(spark, sf):
     enc = _encoded(spark, sf).where(F.col("split") == "train")
