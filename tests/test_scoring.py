@@ -237,3 +237,25 @@ def test_rules_unknown_meters_and_other_years(spark, tables, saved):
                             .otherwise(F.col("timestamp")))
     rep = pl.score_report(late, weather, building, b, on_nulls="report", meter_limits={"meter": (0, 3)})
     assert rep.rows == 1500 and rep.nulls["is_holiday"] == 0 and rep.nulls["wind_speed"] == 1
+
+
+# ------------------------------------------------------------------ one-hot vectors
+
+def test_dictionary_vectors(spark, tmp_path):
+    df = spark.createDataFrame([(i, c) for i, c in enumerate(["b", "a", None, "c", "a", "é"])], "id int, c string")
+    model = stages.DictionaryEstimator(inputCol="c", outputCol="v", handleUnseen="keep").fit(df)
+    model.write().overwrite().save(str(tmp_path / "d"))
+    more = df.unionByName(spark.createDataFrame([(9, "new")], "id int, c string"))
+    for m in (model, stages.DictionaryModel.load(str(tmp_path / "d"))):
+        got = {r.id: r.v for r in m.transform(more).collect()}
+        assert {k: (v.size, list(v.indices), list(v.values)) for k, v in got.items()} == {
+            0: (5, [1], [1.0]), 1: (5, [0], [1.0]), 2: (5, [4], [1.0]), 3: (5, [2], [1.0]), 4: (5, [0], [1.0]), 5: (5, [3], [1.0]),
+            9: (5, [4], [1.0])}
+    strict = stages.DictionaryEstimator(inputCol="c").fit(df)
+    known = df.where("c is not null")
+    assert {r.one_hot.size for r in strict.transform(known).collect()} == {4}
+    with pytest.raises(Exception, match="not in the dictionary: new"):
+        strict.transform(more.where("id = 9")).collect()
+    with pytest.raises(ValueError, match="more than 3"):
+        stages.DictionaryEstimator(inputCol="c", maxCategories=3).fit(df)
+    assert Pipeline(stages=[stages.DictionaryEstimator(inputCol="c", handleUnseen="keep")]).fit(df).transform(df).count() == 6

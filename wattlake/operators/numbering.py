@@ -32,7 +32,8 @@ def numbered(df: DataFrame, by: Sequence[str], order: Sequence[str], out: str =
      .write.parquet(path))
     rows = spark.read.parquet(path).withColumn("__pid", F.shiftright("__id", _ROW_BITS).cast("int"))
     counts = rows.groupBy("__pid", *by).agg(F.count(F.lit(1)).alias("__n"), F.min("__id").alias("__first"))
-    before = Window.partitionBy(*by).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    # one row per partition and group
+    before = Window.partitionBy(*(by or [F.lit(0)])).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     base = counts.select(F.col("__pid").alias("__p"), *[F.col(b).alias(f"__g_{b}") for b in by],
                          (F.coalesce(F.sum("__n").over(before), F.lit(0)) - F.col("__first")).alias("__base"))
     cond = F.col("__pid") == F.col("__p")

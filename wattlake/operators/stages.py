@@ -21,6 +21,7 @@ from collections.abc import Sequence
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, PipelineModel
+from pyspark.ml.feature import OneHotEncoder
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsReader, DefaultParamsWritable, DefaultParamsWriter
 from pyspark.ml.util import MLReadable, MLReader, MLWritable, MLWriter
@@ -29,6 +30,7 @@ from pyspark.sql import functions as F
 
 from wattlake.constants import RARE_LABEL, RARE_MIN_CATEGORIES, RARE_TOL
 from wattlake.operators import encoders as enc
+from wattlake.operators.numbering import numbered
 from wattlake.session import ensure_checkpoint_dir
 
 
@@ -242,3 +244,75 @@ class FeatureEncoder(_GroupEstimator):
         labelled = rare.transform(table)
         mean = MeanTargetEstimator(**given)._from(labelled)
         return PipelineModel([rare, mean, ScalerEstimator(**given)._from(mean.transform(labelled))])
+
+
+# ------------------------------------------------------------------ one-hot vectors by a stored dictionary
+
+class DictionaryParams(Params):
+    inputCol = Param(Params._dummy(), "inputCol", "categorical column", TypeConverters.toString)
+    outputCol = Param(Params._dummy(), "outputCol", "sparse vector column", TypeConverters.toString)
+    maxCategories = Param(Params._dummy(), "maxCategories", "largest dictionary; more categories are an error", TypeConverters.toInt)
+    handleUnseen = Param(Params._dummy(), "handleUnseen", "error, or keep: one more slot for NULL and unseen values",
+                         TypeConverters.toString)
+    size = Param(Params._dummy(), "size", "categories of the dictionary", TypeConverters.toInt)
+
+    def __init__(self):
+        super().__init__()
+        self._setDefault(outputCol="one_hot", maxCategories=100_000, handleUnseen="error", size=0)
+
+    def get(self, name: str):
+        return self.getOrDefault(self.getParam(name))
+
+
+class DictionaryModel(Model, DictionaryParams, MLReadable, MLWritable):
+    """Categories in order, numbered from 0; a value becomes a sparse vector with a one in its slot.  No column per value
+    and no list of values on the driver: the dictionary is a table."""
+
+    def __init__(self, state: DataFrame | None = None):
+        super().__init__()
+        self.state = state
+
+    def copy(self, extra=None):
+        that = super().copy(extra)
+        that.state = self.state
+        return that
+
+    def write(self) -> MLWriter:
+        return _StateWriter(self)
+
+    @classmethod
+    def read(cls) -> MLReader:
+        return _StateReader(cls)
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        n, col = self.get("size"), self.get("inputCol")
+        numbers = self.state.select(F.col("category").alias("__category"), F.col("index").cast("double").alias("__index"))
+        j = dataset.join(enc.sized_broadcast(numbers, n), F.col(col).cast("string") == F.col("__category"), "left")
+        if self.get("handleUnseen") == "keep":
+            slot, width = F.coalesce("__index", F.lit(float(n))), n + 1
+        else:
+            problem = F.concat(F.lit(f"{col}: not in the dictionary: "), F.coalesce(F.col(col).cast("string"), F.lit("NULL")))
+            slot, width = F.coalesce("__index", F.raise_error(problem).cast("double")), n
+        slots = dataset.sparkSession.range(max(width, 1)).select(F.col("id").cast("double").alias("__slot"))
+        hot = OneHotEncoder(inputCol="__slot", outputCol=self.get("outputCol"), dropLast=False).fit(slots)
+        return hot.transform(j.withColumn("__slot", slot)).drop("__category", "__index", "__slot")
+
+
+class DictionaryEstimator(Estimator, DictionaryParams, DefaultParamsReadable, DefaultParamsWritable):
+    """Distinct non-null values of a column, numbered in string order; the count is checked before anything is written."""
+
+    @keyword_only
+    def __init__(self, *, inputCol=None, outputCol="one_hot", maxCategories=100_000, handleUnseen="error"):
+        super().__init__()
+        self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
+
+    def _fit(self, dataset: DataFrame) -> DictionaryModel:
+        if self.get("handleUnseen") not in ("error", "keep"):
+            raise ValueError("handleUnseen: error or keep")
+        values = dataset.select(F.col(self.get("inputCol")).cast("string").alias("category")).where("category is not null").distinct()
+        most = self.get("maxCategories")
+        size = values.limit(most + 1).count()
+        if size > most:
+            raise ValueError(f"{self.get('inputCol')} has more than {most} categories")
+        state, size = _held(numbered(values, [], ["category"], "index"))
+        return self._copyValues(DictionaryModel(state))._set(size=size)

@@ -9,6 +9,7 @@ from wattlake.operators import encoders as enc
 from wattlake.operators import ml
 from wattlake.operators import profiling as pr
 from wattlake.operators import setops
+from wattlake.operators import stages
 from wattlake.operators import validation as val
 from wattlake.operators.joins import join_building, join_models, attach_keys, align_by_position
 from wattlake.plans.common import round_doubles
@@ -85,6 +86,19 @@ def q_one_hot_encode(spark, sf):
     return enc.one_hot(b, "country")
 
 
+@register("one_hot_sparse", with_ctes("""
+select building_id, cast(k as int) as slots, cast(rank as int) as slot
+from (select building_id, primary_use, dense_rank() over (order by primary_use) - 1 as rank,
+             (select count(distinct primary_use) from building_fx) as k from building_fx) t""", BUILDING_CTE))
+def q_one_hot_sparse(spark, sf):
+    """The primary use as sparse vectors by a stored dictionary; each vector's size and hot slot."""
+    from pyspark.ml.functions import vector_to_array
+    b = fx.buildings(spark, sf).select("building_id", "primary_use")
+    out = stages.DictionaryEstimator(inputCol="primary_use").fit(b).transform(b)
+    hot = vector_to_array("one_hot")
+    return out.select("building_id", F.size(hot).alias("slots"), (F.array_position(hot, 1.0) - 1).cast("int").alias("slot"))
+
+
 @register("transform_features", with_ctes("""
 select r.row_id, r.meter,
   round((e.mean - s.m1) / case when s.s1 = 0 then 1 else s.s1 end, 6) as primary_use,
