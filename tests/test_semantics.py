@@ -256,3 +256,29 @@ def test_fill_missing_others_variant(spark, chunk):
     assert [r.ff for r in out] == [7.0, 7.0, 7.0, 7.0]
     plain = ts.fill_missing(df, linear_cols=["lin"], cubic_method="linear", chunk_hours=chunk)
     assert [r.other for r in plain.orderBy("timestamp").collect()] == [None, 5.0, None, None]
+
+
+#: Published holidays of 2024 (US federal, Ontario, all parts of the UK, Ireland), observed days included.
+HOLIDAYS_2024 = {
+    "US": "01-01 01-15 02-19 05-27 07-04 09-02 10-14 11-11 11-28 12-25",
+    "CA": "01-01 02-19 03-29 05-20 07-01 08-05 09-02 10-14 12-25 12-26",
+    "UK": "01-01 01-02 03-17 03-18 03-29 04-01 05-06 05-27 07-12 08-05 08-26 11-30 12-25 12-26",
+    "IE": "01-01 03-17 03-18 04-01 05-06 06-03 08-05 10-28 12-25 12-26",
+}
+
+
+def test_holidays_of_a_year_against_published_dates(spark):
+    got = {}
+    for r in hol.holiday_calendar(spark, [2024]).collect():
+        got.setdefault(r.country, set()).add(f"{r.holiday_date:%m-%d}")
+    assert got == {c: set(d.split()) for c, d in HOLIDAYS_2024.items()}
+
+
+def test_unbounded_category_lists_are_refused(spark):
+    from wattlake.operators import encoders as enc
+    df = spark.createDataFrame([(i, f"v{i}") for i in range(20)], "id int, c string")
+    with pytest.raises(ValueError, match="more than 5"):
+        enc.one_hot(df, "c", max_categories=5)
+    with pytest.raises(ValueError, match="more than 5"):
+        pr.pivot_count(df, "id", "c", max_categories=5)
+    assert len(enc.one_hot(df, "c", max_categories=20).columns) == 21

@@ -179,11 +179,20 @@ class StandardScaler:
         return ScalerModel(state, n, list(self.cols), by)
 
 
-def one_hot(df: DataFrame, col: str, categories: Sequence | None = None, drop: bool = True) -> DataFrame:
-    """One 0/1 column per category (``{col}_{category}``).  Categories are
-    collected once when not given (bounded by the category dimension)."""
+def category_list(df: DataFrame, col: str, max_categories: int) -> list:
+    """The distinct non-null values in order; an error beyond ``max_categories`` (no more than that leaves the cluster)."""
+    values = df.select(col).where(F.col(col).isNotNull()).distinct().limit(max_categories + 1).collect()
+    if len(values) > max_categories:
+        raise ValueError(f"{col} has more than {max_categories} categories")
+    return sorted(r[0] for r in values)
+
+
+def one_hot(df: DataFrame, col: str, categories: Sequence | None = None, drop: bool = True,
+            max_categories: int = 1000) -> DataFrame:
+    """One 0/1 column per category (``{col}_{category}``), for a small dictionary; ``stages.DictionaryEstimator`` makes
+    sparse vectors for larger ones."""
     if categories is None:
-        categories = [r[0] for r in df.select(col).distinct().where(F.col(col).isNotNull()).orderBy(col).collect()]
+        categories = category_list(df, col, max_categories)
     out = df.withColumns({f"{col}_{v}": (F.col(col) == F.lit(v)).cast("int") for v in categories})
     return out.drop(col) if drop else out
 

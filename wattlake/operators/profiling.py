@@ -449,12 +449,12 @@ def pivot_mean(df: DataFrame, idx: str | Sequence[str], col: str, val: str,
     return p.withColumnsRenamed({str(v): f"{col}_{v}" for v in values})
 
 
-def pivot_count(df: DataFrame, idx: str, col: str, values: Sequence | None = None) -> DataFrame:
-    """idx x col count matrix with 0 for empty cells.  Categories are
-    collected once if not given (bounded by the category dimension)."""
+def pivot_count(df: DataFrame, idx: str, col: str, values: Sequence | None = None, max_categories: int = 1000) -> DataFrame:
+    """idx x col count matrix with 0 for empty cells.  Categories are listed if not given, at most ``max_categories``
+    (one column each); more are an error."""
     if values is None:
-        values = [r[0] for r in df.select(col).distinct().where(F.col(col).isNotNull())
-                  .orderBy(col).collect()]
+        from wattlake.operators.encoders import category_list
+        values = category_list(df, col, max_categories)
     p = df.groupBy(idx).pivot(col, list(values)).agg(F.count(F.lit(1)))
     return p.na.fill(0, subset=[str(v) for v in values])
 
