@@ -52,6 +52,50 @@ def test_tokens_equal_whole_text_encoding(docs):
     assert sorted((tuple(r[:4]) for r in out), key=lambda r: r[1]) == want
 
 
+def test_tokens_of_an_empty_table_and_of_one_hot_doc_id(spark, empty, tmp_path):
+    assert token_repair.tokenize_corpus(empty, tokenizer_file()).count() == 0
+    tok = Tokenizer.from_file(tokenizer_file())
+    for hot in (7, None):
+        rows = [(hot, f"text number {i % 250} of the hot id") for i in range(400)] + [(i, f"other {i}") for i in range(100)]
+        frame = spark.createDataFrame(rows, "doc_id long, text string")
+        shards = token_repair.write_shards(frame, str(tmp_path / f"shards{hot}"), tokenizer_file())
+        parts = collections.Counter(r.part for r in shards.collect()
+                                    for d, n in zip(np.frombuffer(r.doc_ids, np.int64), np.frombuffer(r.nulls, np.uint8))
+                                    if (n and hot is None) or (not n and d == hot))
+        assert len(parts) > 1 and max(parts.values()) < 300, "the hot id is spread over parts"
+        got = token_repair.read_documents(shards).orderBy("start").collect()
+        want = collections.Counter((d, zlib.crc32(np.array(tok.encode(t, add_special_tokens=False).ids + [2], "<u4").tobytes()))
+                                   for d, t in rows)
+        assert collections.Counter((r.doc_id, r.ids_crc32) for r in got) == want
+        order = [(r.doc_id is None, r.doc_id or 0) for r in got]
+        assert order == sorted(order)
+        ends = np.cumsum([r.n_tokens for r in got])
+        assert [r.start for r in got] == [0, *ends[:-1].tolist()]
+
+
+def test_grammar_is_complete_and_equal_to_pair_counts():
+    rng = np.random.default_rng(5)
+    words = [rng.integers(0, 5000, rng.integers(2, 6)) for _ in range(400)]
+    ids = np.concatenate([words[i] for i in rng.zipf(1.3, 9000) % 400])[:20000]
+    sizes = np.array([5000, 1, 0, 9999, 5000])
+    left = []
+    for least in (256, 16, 4):
+        rules, lengths, seq, symbols = token_repair.repair(ids, sizes, 1 << 17, least)
+        assert (token_repair.expand(seq, rules, lengths, 1 << 17) == ids).all() and symbols[2] == 0
+        cuts = np.cumsum(symbols)
+        # disjoint places of a pair inside documents: none is left that often
+        count, last = collections.Counter(), {}
+        for a, b in zip(cuts - symbols, cuts):
+            for i in range(a, b - 1):
+                pair = (int(seq[i]), int(seq[i + 1]))
+                if last.get(pair) != i - 1 or pair[0] != pair[1]:
+                    count[pair] += 1
+                    last[pair] = i
+        assert max(count.values()) < least
+        left.append(len(seq) + 2 * len(rules))
+    assert left[2] < left[1] < left[0] and left[2] < 0.6 * len(ids)
+
+
 def test_contamination_both_paths(spark, docs, empty):
     items = [(1, "brown fox jumps over the lazy dog while seven small birds sing on an old"), (2, "One two THREE"),
              (2, "quiet river"), (None, "42 tables"), (3, None), (4, ""), (5, "never anywhere at all")]
