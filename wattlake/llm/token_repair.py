@@ -47,6 +47,8 @@ from wattlake.llm import exchange as ex
 from wattlake.llm import store as st
 
 CHUNK = 2 << 20
+#: Words whose ids a worker process keeps between tasks (about 250 bytes each).
+HELD = 400_000
 #: A round takes the pairs from the most frequent one down to this fraction of it.
 RANGE = 32
 #: Counters that rule out rare pairs ahead of the exact count.
@@ -186,10 +188,10 @@ _ENCODERS: dict[str, Encoder] = {}
 
 
 def worker_encoder(tokenizer: str) -> Encoder:
-    """The worker process's encoder: the words it has met in earlier tasks are known (at most ``held`` and one chunk's)."""
+    """The worker process's encoder: the words it has met in earlier tasks are known (at most HELD and one chunk's)."""
     if tokenizer not in _ENCODERS:
         _ENCODERS.clear()
-        _ENCODERS[tokenizer] = Encoder(tokenizer)
+        _ENCODERS[tokenizer] = Encoder(tokenizer, HELD)
     return _ENCODERS[tokenizer]
 
 
