@@ -282,3 +282,30 @@ def test_unbounded_category_lists_are_refused(spark):
     with pytest.raises(ValueError, match="more than 5"):
         pr.pivot_count(df, "id", "c", max_categories=5)
     assert len(enc.one_hot(df, "c", max_categories=20).columns) == 21
+
+
+def test_correlation_of_constant_columns_matches_duckdb(spark, duck):
+    # 0.1 and 3.3 over uneven partitions: their merged averages need not be exact
+    rows = [(float(i), 0.1, 3.3 if i % 3 else None, float(i * i % 17), None, 1.0 if i == 5 else None) for i in range(40)]
+    df = spark.createDataFrame(rows, "x double, c double, d double, y double, empty double, one double").repartition(7).cache()
+    duck.execute("create or replace temp table const_src (x double, c double, d double, y double, empty double, one double)")
+    duck.executemany("insert into const_src values (?, ?, ?, ?, ?, ?)", rows)
+    cols = ["x", "c", "d", "y", "one", "empty"]
+
+    def same(got, want):
+        return (got is None) == (want is None) and (got is None or (np.isnan(got) and np.isnan(want)) or abs(got - want) < 1e-9)
+
+    def oracle(a, b):
+        return duck.execute(f"select corr({a}, {b}) from const_src").fetchone()[0]
+
+    matrix = {(r.col1, r.col2): r["corr"] for r in pr.correlation_matrix(df, cols).collect()}
+    for (a, b), got in matrix.items():
+        assert same(got, 1.0 if a == b else oracle(a, b)), (a, b, got)
+    assert np.isnan(matrix["x", "c"]) and np.isnan(matrix["x", "one"]) and matrix["x", "empty"] is None
+    assert abs(matrix["x", "y"]) < 1
+    target = {r.feature: r["corr"] for r in pr.target_correlation(df, "y", cols[:3], threshold=None).collect()}
+    assert all(same(v, oracle(c, "y")) for c, v in target.items())
+    picked = {(r.method, r.feature) for r in pr.filter_selections(df, ["x", "c", "d"], "y").collect()}
+    # NaN orders above every number, here as in the SQL: kept by target_corr, and a later twin of x
+    assert {("target_corr", "c"), ("uncorrelated", "x")} <= picked and ("uncorrelated", "c") not in picked
+    df.unpersist()

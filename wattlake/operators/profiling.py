@@ -636,13 +636,26 @@ def duplicate_features(df: DataFrame, cols: Sequence[str] | None = None) -> Data
     return df.sparkSession.createDataFrame([(a, b, (a, b) in equal) for a, b in pairs], "col1 string, col2 string, equal boolean")
 
 
+def pair_corr(a: str, b: str) -> Column:
+    """Pearson correlation over the rows with both values: NaN if one of the two is constant there, NULL without rows.
+
+    ``F.corr`` divides by the spread and fails on a constant column under ANSI.  Constant is min = max: the moments of
+    a constant can miss zero by the last digit once partial averages are merged."""
+    both = F.col(a).isNotNull() & F.col(b).isNotNull()
+    x, y = F.when(both, _dbl(F.col(a))), F.when(both, _dbl(F.col(b)))
+    constant = (F.min(x) == F.max(x)) | (F.min(y) == F.max(y))
+    spread = F.stddev_pop(x) * F.stddev_pop(y)
+    return (F.when(constant, F.lit(float("nan")))
+            .when(F.count(x) > 0, F.coalesce(F.try_divide(F.covar_pop(x, y), spread), F.lit(float("nan")))))
+
+
 def correlation_matrix(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """Pearson correlation of every column pair, pairwise-complete (rows
     with a NULL in either column are skipped for that pair).  Long form
     (col1, col2, corr) with i <= j in schema order; one aggregate."""
     cols = list(cols) if cols else numeric_columns(df)
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    agg = df.agg(*[(F.lit(1.0) if a == b else F.corr(_dbl(F.col(a)), _dbl(F.col(b)))).alias(f"p{i}")
+    agg = df.agg(*[(F.lit(1.0) if a == b else pair_corr(a, b)).alias(f"p{i}")
                    for i, (a, b) in enumerate(pairs)])
     return _long(agg, [F.struct(F.lit(a).alias("col1"), F.lit(b).alias("col2"),
                                 F.col(f"p{i}").alias("corr"))
@@ -657,7 +670,7 @@ def correlated_features(corr_long: DataFrame, threshold: float) -> DataFrame:
 def target_correlation(df: DataFrame, target: str, cols: Sequence[str] | None = None,
                        threshold: float | None = 0.1) -> DataFrame:
     cols = list(cols) if cols else numeric_columns(df, exclude=[target])
-    agg = df.agg(*[F.corr(_dbl(F.col(c)), _dbl(F.col(target))).alias(f"c{i}") for i, c in enumerate(cols)])
+    agg = df.agg(*[pair_corr(c, target).alias(f"c{i}") for i, c in enumerate(cols)])
     out = _long(agg, [F.struct(F.lit(c).alias("feature"), F.col(f"c{i}").alias("corr"))
                       for i, c in enumerate(cols)])
     return out if threshold is None else out.where(F.col("corr") > threshold)
@@ -675,11 +688,9 @@ def filter_selections(df: DataFrame, feats: Sequence[str], target: str, var_min:
     a pair with correlation >= pair_corr_max).  Long form (method, feature)."""
     feats = list(feats)
     aggs = [F.var_samp(F.col(c).cast("double")).alias(f"v{i}") for i, c in enumerate(feats)]
-    aggs += [F.corr(F.col(c).cast("double"), F.col(target).cast("double")).alias(f"t{i}")
-             for i, c in enumerate(feats)]
+    aggs += [pair_corr(c, target).alias(f"t{i}") for i, c in enumerate(feats)]
     pairs = [(i, j) for i in range(len(feats)) for j in range(i + 1, len(feats))]
-    aggs += [F.corr(F.col(feats[i]).cast("double"), F.col(feats[j]).cast("double")).alias(f"p{i}_{j}")
-             for i, j in pairs]
+    aggs += [pair_corr(feats[i], feats[j]).alias(f"p{i}_{j}") for i, j in pairs]
     one = df.agg(*aggs)
     structs = []
     for j, c in enumerate(feats):
