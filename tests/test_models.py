@@ -117,3 +117,21 @@ def test_stream_scoring_equals_batch_scoring(spark):
     stream = {r.row_id: r.meter_reading for r in queries()["stream_score"](spark, SF_SMALL).collect()}
     assert batch.keys() == stream.keys()
     assert max(abs(batch[k] - stream[k]) for k in batch) < 1e-9
+
+
+def test_models_read_their_own_meter_only(spark):
+    cols = [c for c in pl.MODEL_FEATURES if c not in ("primary_use", "country", "site_id", "meter")]
+    rows = [(i, float(i % 11), "a" if i % 3 else "b", "US", 1, i % 2, *[float((i * k) % 13) for k in range(len(cols))]) for i in range(400)]
+    train = spark.createDataFrame(rows, "row_id bigint, meter_reading double, primary_use string, country string, site_id int, meter int, "
+                                  + ", ".join(f"{c} double" for c in cols))
+    before = ml.GBT_PROFILES
+    ml.GBT_PROFILES = {"a": dict(maxIter=2, maxDepth=2)}
+    try:
+        encoding, models, encoded = pl.fit_models(train, "a")
+    finally:
+        ml.GBT_PROFILES = before
+    assert sorted(models) == [0, 1] and encoded.count() == 400
+    want = {tuple(r) for r in encoding.transform(train).select("row_id", "meter", *pl.MODEL_INPUTS).collect()}
+    assert {tuple(r) for r in encoded.select("row_id", "meter", *pl.MODEL_INPUTS).collect()} == want
+    plan = encoded.where(F.col("meter") == 1)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(meter" in plan, plan
