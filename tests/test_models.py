@@ -119,6 +119,19 @@ def test_stream_scoring_equals_batch_scoring(spark):
     assert max(abs(batch[k] - stream[k]) for k in batch) < 1e-9
 
 
+def test_random_search_builds_its_rows_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(x):
+        read.add(1)
+        return x
+    rows = spark.createDataFrame([(float(i % 7), float(i % 3), float(i % 7 + 2 * (i % 3))) for i in range(60)], "x1 double, x2 double, y double")
+    watched = rows.withColumn("x1", F.udf(seen, "double")("x1"))
+    out = ml.random_search(watched, watched, ["x1", "x2"], "y", space={"maxDepth": ("int", 2, 3)}, n_trials=3, max_iter=2).collect()
+    assert sorted(r["rank"] for r in out) == [1, 2, 3]
+    assert read.value == 120  # training and validation rows, once each, whatever the trials
+
+
 def test_models_read_their_own_meter_only(spark):
     cols = [c for c in pl.MODEL_FEATURES if c not in ("primary_use", "country", "site_id", "meter")]
     rows = [(i, float(i % 11), "a" if i % 3 else "b", "US", 1, i % 2, *[float((i * k) % 13) for k in range(len(cols))]) for i in range(400)]
