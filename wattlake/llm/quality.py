@@ -49,7 +49,8 @@ from wattlake.llm.kn_lm import _discounts, _runs
 from wattlake.llm.textvec import SPACE_WORDS, U64, chunks, mix
 
 ORDER = 5
-CHUNK = 2 << 20
+#: Bytes of text that are cut into 5-grams together; arrays of 8 bytes for each stand side by side.
+CHUNK = 1 << 19
 TRUSTED, TOXIC = 0, 2
 _PAD = b"\n" * (ORDER - 1)
 
@@ -95,10 +96,10 @@ def _count_training(batches, part_of: dict) -> Iterator[pa.RecordBatch]:
 
 def _send_grams(batches, n_shards: int, store: str) -> Iterator[pa.RecordBatch]:
     """The partition's distinct 5-grams, to a side file and to their shards."""
-    pid, keys = ex.pid(), []
+    pid, keys = ex.pid(), [np.zeros(0, U64)]
     for cols in chunks(batches, "text", CHUNK):
         keys.append(np.unique(keys_of([t for t in cols["text"] if t])[0]))
-        if len(keys) > 8:
+        if sum(map(len, keys[1:])) > max(1 << 20, len(keys[0])):
             keys = [_merge(keys)]
     k = _merge(keys)
     order, bounds = ex.by_shard(_shard(k, n_shards), n_shards)

@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 U64 = np.uint64
 BLOCK = 1 << 19
@@ -153,22 +154,26 @@ def chunks(batches, text: str, limit: int) -> Iterator[dict[str, list]]:
     held: dict[str, list] = {}
     size = 0
     for batch in batches:
-        cols = {name: batch.column(i).to_pylist() for i, name in enumerate(batch.schema.names)}
+        names = batch.schema.names
         if not held:
-            held = {name: [] for name in cols}
-        lens = [len(t) if t is not None else 0 for t in cols[text]]
-        start = 0
-        for i, n in enumerate(lens):
-            size += n + 64
-            if size >= limit:
-                for name, values in cols.items():
-                    held[name].extend(values[start:i + 1])
-                yield held
-                held = {name: [] for name in cols}
-                start, size = i + 1, 0
-                give_back()
-        for name, values in cols.items():
-            held[name].extend(values[start:])
+            held = {name: [] for name in names}
+        column = batch.column(names.index(text))
+        lens = pc.fill_null(pc.binary_length(column), 0).to_numpy().astype(np.int64)
+        ends = np.cumsum(lens + 64)
+        start = before = 0
+        while start < len(ends):
+            # only the rows of the chunk become Python objects
+            stop = int(np.searchsorted(ends, before + limit - size)) + 1
+            part = batch.slice(start, min(stop, len(ends)) - start)
+            for i, name in enumerate(names):
+                held[name].extend(part.column(i).to_pylist())
+            if stop > len(ends):
+                size += int(ends[-1]) - before
+                break
+            yield held
+            held = {name: [] for name in names}
+            start, size, before = stop, 0, int(ends[stop - 1])
+            give_back()
     if held and held[text]:
         yield held
     give_back()
