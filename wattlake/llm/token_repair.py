@@ -2,8 +2,9 @@
 
 *Encoding.*  Texts are cut before a space that follows a non-space character;
 the tokenizer's splitting pattern has a boundary there in any context, so the
-pieces' ids, joined, are the text's ids.  Each distinct piece is encoded once
-per chunk, by the tokenizers library.
+pieces' ids, joined, are the text's ids.  Words of letters with a full stop, a
+comma or line feeds are cut there too, as the pattern does.  Each distinct part
+is encoded once per chunk, by the tokenizers library.
 
 *Grammar.*  A shard holds the ids of consecutive documents.  Re-Pair replaces
 the most frequent pairs of neighbouring symbols by new symbols, round by round,
@@ -32,184 +33,239 @@ ignored.  An empty table gives no shards.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
 from collections.abc import Iterator
 from functools import partial
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattlake.llm import exchange as ex
 from wattlake.llm import store as st
+from wattlake.llm.textvec import give_back
 
-CHUNK = 2 << 20
-#: Words whose ids a worker process keeps between tasks (about 250 bytes each).
-HELD = 400_000
+#: Bytes of text whose words are told apart together.
+CHUNK = 8 << 20
+#: Parts of words whose ids a worker process keeps between tasks (about 40 bytes each).
+HELD = 1_000_000
 #: A round takes the pairs from the most frequent one down to this fraction of it.
 RANGE = 32
-#: Counters that rule out rare pairs ahead of the exact count.
-_SLOTS = 1 << 17
 SHARD_SCHEMA = ("part int, shard int, start long, doc_ids binary, nulls binary, sizes binary, symbols binary,"
                 " base int, rules binary, lengths binary, low binary, high binary, n_ids long")
 #: What may be read as white space before a space; a text that has it is cut more carefully.
 #: (Controls, U+0085, U+00A0, U+1680, U+180E, U+2000-U+206F, U+3000, U+FEFF: more than any definition of white space.)
-_ODD = re.compile("[\x00-\x20\x7f\x85\xa0\u1680\u180e\u2000-\u206f\u3000\ufeff] ")
-_CUT = re.compile("(?<=[^\x00-\x20\x7f\x85\xa0\u1680\u180e\u2000-\u206f\u3000\ufeff]) ")
-_SPACES = frozenset([*map(chr, range(0x21)), "\x7f", "\x85", "\xa0", "\u1680", "\u180e",
-                     *map(chr, range(0x2000, 0x2070)), "\u3000", "\ufeff"])
-#: Pieces that are encoded as one text.
-_JOINED = 100
-
-
-def pieces(text: str) -> list[str]:
-    """The text in parts that encode independently; all but the first are given without their leading space."""
-    if text[:1] == " " or _ODD.search(text):
-        return _CUT.split(text)
-    return text.split(" ")
-
-
-class _Numbers(dict):
-    """Numbers for pieces in order of first use."""
-
-    def __init__(self):
-        super().__init__()
-        self.fresh: list = []
-
-    def __missing__(self, piece):
-        self[piece] = n = len(self)
-        self.fresh.append(piece)
-        return n
+_BLANK = "\x01-\x20\x7f\x85\xa0\u1680\u180e\u2000-\u206f\u3000\ufeff"
+_ODD = f"^ |[{_BLANK}\\x{{0}}] "
+_CUT = re.compile(f"(?<=[^\x00{_BLANK}]) ")
+#: Parts that are encoded alone: what ends in white space, or holds a space.
+_APART = f"(?s)^.+ |[{_BLANK}\\x{{0}}]\\z"
+#: Letters that every version of the tokenizer's pattern calls so (U+00C0 to U+024F without the two signs).
+_LETTERS = "[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+"
+#: Words that the pattern cuts at every full stop, comma and line feed; and the parts it cuts them into.
+_PLAIN = f"^{_LETTERS}[.,]?(\n{_LETTERS}[.,]?)*$"
+_PART = f"^( ?{_LETTERS}|[.,]|\n)$"
+#: Parts that are encoded as one text.
+_JOINED = 200
+
+
+def words_of(texts: pa.StringArray) -> tuple[pa.StringArray, np.ndarray]:
+    """(pieces that encode independently, offsets): all but a text's first piece are given without their leading space."""
+    odd = np.flatnonzero(pc.match_substring_regex(texts, _ODD).to_numpy(zero_copy_only=False))
+    lists = pc.split_pattern(texts, " ")
+    words, off = lists.flatten(), lists.offsets.to_numpy().astype(np.int64)
+    if not len(odd):
+        return words, off
+    blocks, at, count = [], 0, np.diff(off)
+    for i, text in zip(odd.tolist(), texts.take(pa.array(odd)).to_pylist()):
+        cut = _CUT.split(text)
+        blocks += [words.slice(at, off[i] - at), pa.array(cut, pa.string())]
+        at, count[i] = off[i + 1], len(cut)
+    return pa.concat_arrays([*blocks, words.slice(at)]), np.concatenate([[0], np.cumsum(count)])
+
+
+def _picked(ids: np.ndarray, size: np.ndarray, which: np.ndarray) -> np.ndarray:
+    """Lists of ``size`` ids each, taken in the order of ``which`` and joined."""
+    off = np.concatenate([[0], np.cumsum(size)])
+    return pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(ids)).take(pa.array(which)).flatten().to_numpy()
 
 
 class Encoder:
-    """Ids of texts by the tokenizers library, each distinct piece encoded once.
+    """Ids of texts by the tokenizers library, each distinct part of the words encoded once.
 
-    First pieces are kept as 1-tuples, apart from those that follow a space.
+    Arrow's dictionaries tell the words of a chunk apart, and the parts of its
+    distinct words.  Parts met before, at most ``held`` and a chunk's, are kept
+    as one Arrow array with their ids.
     """
 
-    def __init__(self, path: str, held: int = 600_000):
+    def __init__(self, path: str, held: int = HELD):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
-        from tokenizers.pre_tokenizers import ByteLevel
-        self.tokenizer, self.held = Tokenizer.from_file(path), held
+        from tokenizers.models import BPE
+        from tokenizers.pre_tokenizers import ByteLevel, CharDelimiterSplit
+        self.tokenizer, self.held, self.cut = Tokenizer.from_file(path), held, None
         letters = {c: 1 for c in ByteLevel.alphabet()}  # one character stands for one byte
         vocab = self.tokenizer.get_vocab(with_added_tokens=True)
         self.bytes_of = np.zeros(max(vocab.values()) + 1, np.int64)
         for token, i in vocab.items():
             self.bytes_of[i] = len(token) if all(c in letters for c in token) else len(token.encode())
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        self.added = [t["content"] for t in spec.get("added_tokens") or []]
+        split, model = spec.get("pre_tokenizer") or {}, spec["model"]
+        usual = {"dropout": None, "unk_token": None, "continuing_subword_prefix": None, "end_of_word_suffix": None,
+                 "byte_fallback": False, "ignore_merges": False}
+        if (split.get("type") == "ByteLevel" and split.get("use_regex") and not split.get("add_prefix_space")
+                and not spec.get("normalizer") and model.get("type") == "BPE" and all((model.get(k) or v) == v for k, v in usual.items())
+                and not any(re.fullmatch(rf"[ .,\n]*({_LETTERS}[ .,\n]*)*", t) for t in self.added)):
+            # the same merges on parts that are cut already; no part comes twice, so the library need not remember them
+            merges = [tuple(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]]
+            self.cut = Tokenizer(BPE(model["vocab"], merges, cache_capacity=0))
+            self.cut.pre_tokenizer = CharDelimiterSplit(" ")
+        seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        hidden = [b for b in range(256) if b not in set(seen)]
+        # the byte-level alphabet; a zero byte, which no such part has, ends a part
+        self.character = np.arange(256, dtype="<u4")
+        self.character[hidden] = 256 + np.arange(len(hidden))
+        self.character[0] = 32
         self.clear()
 
     def clear(self) -> None:
-        self.number, self.size, self.ids = _Numbers(), np.zeros(0, np.int64), np.zeros(0, np.int32)
-
-    def _encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _learn(self, end: int) -> None:
-        """Encode the fresh pieces; those that stand between two spaces are encoded many at a time."""
-        fresh, self.number.fresh = self.number.fresh, []
-        if not fresh:
-            return
-        base, known = len(self.size), self.number
-        alone, joined, stopped, stems, marks = [], [], [], [], []
-        for i, x in enumerate(fresh):
-            if type(x) is tuple or not x or x[-1] in _SPACES or "<|" in x:
-                alone.append(i)
-            elif x[-1] in ".," and x[-2:-1].isalpha() and x[-2] < "\u0250" and x[:-1] in known:
-                # a full stop or comma after a letter is a part of its own
-                stopped.append(i)
-                stems.append(known[x[:-1]])
-                marks.append(x[-1])
-            else:
-                joined.append(i)
-        got = self._encode([(fresh[i][0] or "") if type(fresh[i]) is tuple else " " + fresh[i] for i in alone])
-        got = [[end] if fresh[i] == (None,) else g for i, g in zip(alone, got)]
-        size = np.zeros(base + len(fresh), np.int64)
-        size[:base] = self.size
-        size[base + np.array(alone, np.int64)] = np.fromiter(map(len, got), np.int64, len(got))
-        flat = [self.ids, np.array([t for g in got for t in g], np.int32)]
-        words = [fresh[i] for i in joined]
-        texts = [" " + " ".join(words[i:i + _JOINED]) for i in range(0, len(words), _JOINED)]
-        raw = np.frombuffer("".join(texts).encode(), np.uint8)
-        begin = np.flatnonzero(raw == 32)
-        if len(begin) != len(words):  # some piece has a space inside
-            length = np.fromiter((len(x.encode()) + 1 for x in words), np.int64, len(words))
-            begin = np.cumsum(length) - length
-        ids = np.array([t for g in self._encode(texts) for t in g], np.int32)
-        # an id covers a known number of bytes, so the pieces' ends are found in the joined ids
-        stops = np.searchsorted(np.cumsum(self.bytes_of[ids]), np.append(begin[1:], len(raw))) + 1 if words else begin
-        size[base + np.array(joined, np.int64)] = np.diff(stops, prepend=0)
-        flat.append(ids)
-        # where each fresh piece's ids start in the gathered ids
-        order = np.concatenate([np.arange(base), base + np.array(alone + joined, np.int64)]).astype(np.int64)
-        start = np.zeros(len(size), np.int64)
-        start[order] = np.cumsum(size[order]) - size[order]
-        at = base + np.array(stopped, np.int64)
-        if len(at):  # a stem ends in a letter, so it is not of this kind itself
-            start[at], size[at] = start[stems], size[stems] + 1
-        start, new = start[base:], size[base:]
-        out = np.cumsum(new)
-        pick = np.arange(out[-1]) + np.repeat(start - (out - new), new)
-        gathered = np.concatenate(flat)
-        learnt = gathered[np.minimum(pick, len(gathered) - 1)]
-        if len(at):
-            ids_of = {m: self._encode([m])[0][0] for m in set(marks)}
-            learnt[out[stopped] - 1] = [ids_of[m] for m in marks]
-        self.ids, self.size = np.concatenate([self.ids, learnt]), size
-
-    def encode(self, texts: list[str], end: int) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts, each followed by the end id, ids per text)."""
-        if len(self.number) > self.held:
-            self.clear()
-        number, which, count = self.number.__getitem__, [], []
-        last = number((None,))  # stands for the end id
-        for t in texts:
-            p = pieces(t)
-            which.append(number((p[0],)))
-            which.extend(map(number, p[1:]))
-            which.append(last)
-            count.append(len(p) + 1)
-        self._learn(end)
-        at = np.cumsum(self.size) - self.size
-        w = np.array(which, np.int64)
-        if not len(w):
+        self.parts, self.size, self.ids = pa.array([], pa.string()), np.zeros(0, np.int64), np.zeros(0, np.int32)
+
+    def _encode(self, texts: list[str], tokenizer=None) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of the texts, joined; ids per text)."""
+        got = [e.ids for e in (tokenizer or self.tokenizer).encode_batch_fast(texts, add_special_tokens=False)]
+        return np.fromiter(chain.from_iterable(got), np.int32), np.fromiter(map(len, got), np.int64, len(got))
+
+    def _together(self, parts: pa.StringArray, mark: str, read, tokenizer) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, ids per part) of parts that are joined by ``mark`` and encoded many at a time."""
+        groups = pa.array([*range(0, len(parts), _JOINED), len(parts)], pa.int32())
+        texts = pc.binary_join(pa.ListArray.from_arrays(groups, parts), mark).to_pylist()
+        ids, _ = self._encode([read(t) for t in texts], tokenizer)
+        # an id covers a known number of bytes, so the parts' ends are found in the joined ids
+        ends = np.cumsum(pc.binary_length(parts).to_numpy().astype(np.int64))
+        return ids, np.diff(np.searchsorted(np.cumsum(self.bytes_of[ids]), ends) + 1, prepend=0)
+
+    def _spelt(self, text: str) -> str:
+        """The text in the byte-level alphabet."""
+        return self.character[np.frombuffer(text.encode(), np.uint8)].tobytes().decode("utf-32-le")
+
+    def _learn(self, fresh: pa.StringArray) -> np.ndarray:
+        """Encode unknown parts; returns their places among the known ones."""
+        plain = pc.match_substring_regex(fresh, _PART).to_numpy(zero_copy_only=False) & (self.cut is not None)
+        alone = pc.match_substring_regex(fresh, _APART)
+        for t in self.added:
+            alone = pc.or_(alone, pc.match_substring(fresh, t))
+        alone = alone.to_numpy(zero_copy_only=False) & ~plain
+        kind = np.where(plain, 0, np.where(alone, 2, 1))
+        order = np.argsort(kind, kind="stable")
+        fresh = fresh.take(pa.array(order))
+        n = np.bincount(kind, minlength=3)
+        got = [self._together(fresh[:n[0]], "\0", self._spelt, self.cut) if n[0] else None,
+               self._together(fresh[n[0]:n[0] + n[1]], "", str, self.tokenizer) if n[1] else None,
+               self._encode(fresh[n[0] + n[1]:].to_pylist()) if n[2] else None]
+        place = np.empty(len(order), np.int64)
+        place[order] = len(self.parts) + np.arange(len(order))
+        self.parts = pa.concat_arrays([self.parts, fresh])
+        self.ids = np.concatenate([self.ids, *(g[0] for g in got if g)])
+        self.size = np.concatenate([self.size, *(g[1] for g in got if g)])
+        return place
+
+    def _parts(self, words: pa.StringArray) -> tuple[pa.StringArray, np.ndarray, np.ndarray]:
+        """(parts of the words, parts per word, which of these each word is)."""
+        spaced = pc.binary_join_element_wise(" ", words, "")
+        plain = pc.match_substring_regex(words, _PLAIN).to_numpy(zero_copy_only=False) & (self.cut is not None)
+        x = spaced.filter(pa.array(plain))
+        for old, new in ((".", "\0."), (",", "\0,"), ("\n", "\0\n\0")):
+            x = pc.replace_substring(x, old, new)
+        lists = pc.split_pattern(x, "\0")
+        place = np.argsort(~plain, kind="stable")
+        which = np.empty(len(words), np.int64)
+        which[place] = np.arange(len(words))
+        count = np.concatenate([np.diff(lists.offsets.to_numpy()), np.ones(len(words) - len(x), np.int64)])
+        return pa.concat_arrays([lists.flatten(), spaced.filter(pa.array(~plain))]), count, which
+
+    def encode(self, texts, end: int) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, each followed by the end id, ids per text); null texts are empty."""
+        texts = pc.fill_null(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()), "")
+        if not len(texts):
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        size = self.size[w]
-        ends = np.cumsum(size)
-        ids = self.ids[np.arange(ends[-1]) + np.repeat(at[w] - (ends - size), size)]
-        return ids.astype(np.int64), np.add.reduceat(size, np.cumsum(count) - np.array(count))
+        words, off = words_of(texts)
+        first = words.take(pa.array(off[:-1]))
+        words = words.dictionary_encode()
+        parts, count, which = self._parts(words.dictionary)
+        parts = parts.dictionary_encode()
+        if len(self.parts) > self.held:
+            self.clear()
+        at = pc.index_in(parts.dictionary, value_set=self.parts)
+        fresh = at.is_null()
+        at = pc.fill_null(at, -1).to_numpy().astype(np.int64)
+        if at.min() < 0:
+            at[at < 0] = self._learn(parts.dictionary.filter(fresh))
+        at = at[parts.indices.to_numpy()]
+        # the distinct words, then the texts' first pieces, then the end id
+        first, first_size = self._encode(first.to_pylist())
+        size = np.concatenate([np.add.reduceat(self.size[at], np.cumsum(count) - count), first_size, [1]])
+        ids = np.concatenate([_picked(self.ids, self.size, at), first, np.array([end], np.int32)])
+        n, texts_n = len(count), len(off) - 1
+        which = np.insert(which[words.indices.to_numpy()], off[1:], n + texts_n)
+        at = off[:-1] + np.arange(texts_n)
+        which[at] = n + np.arange(texts_n)
+        return _picked(ids, size, which), np.add.reduceat(size[which], at)
+
+
+def text_blocks(batches, limit: int) -> Iterator[pa.RecordBatch]:
+    """Rows (doc_id, text) of Arrow batches, cut after about every ``limit`` bytes of text."""
+    held, size = [], 0
+
+    def joined() -> pa.RecordBatch:
+        return held[0] if len(held) == 1 else pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(batch.schema.names.index("text"))), 0).to_numpy().astype(np.int64) + 64)
+        lo = before = 0
+        while lo < len(ends):
+            hi = int(np.searchsorted(ends, before + limit - size)) + 1
+            held.append(batch.slice(lo, min(hi, len(ends)) - lo))
+            if hi > len(ends):
+                size += int(ends[-1]) - before
+                break
+            yield joined()
+            held, size, lo, before = [], 0, hi, int(ends[hi - 1])
+    if held:
+        yield joined()
+    give_back()
 
 
 _ENCODERS: dict[str, Encoder] = {}
 
 
 def worker_encoder(tokenizer: str) -> Encoder:
-    """The worker process's encoder: the words it has met in earlier tasks are known (at most HELD and one chunk's)."""
+    """The worker process's encoder: the parts it has met in earlier tasks are known (at most HELD and one chunk's)."""
     if tokenizer not in _ENCODERS:
         _ENCODERS.clear()
-        _ENCODERS[tokenizer] = Encoder(tokenizer, HELD)
+        _ENCODERS[tokenizer] = Encoder(tokenizer)
     return _ENCODERS[tokenizer]
 
 
-def _counted(code: np.ndarray, top: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(distinct pairs in order, which of them each place has, places of each); a pair (x, y) is x * top + y."""
-    x, y = code // top, code % top
-    lefts = np.flatnonzero(np.bincount(x, minlength=top))
-    rights = np.flatnonzero(np.bincount(y, minlength=top))
-    if len(lefts) * len(rights) > min(1 << 21, 16 * len(code) + 4096):  # a table would be mostly empty
-        return np.unique(code, return_inverse=True, return_counts=True)
-    dense = np.zeros((2, top), np.int32)
-    dense[0, lefts], dense[1, rights] = np.arange(len(lefts)), np.arange(len(rights))
-    small = dense[0, x] * len(rights) + dense[1, y]
-    n = np.bincount(small, minlength=len(lefts) * len(rights))
-    there = np.flatnonzero(n)
-    number = np.zeros(len(n), np.int32)
-    number[there] = np.arange(len(there))
-    return lefts[there // max(len(rights), 1)] * top + rights[there % max(len(rights), 1)], number[small], n[there]
+def _ordered(code: np.ndarray, top: int) -> tuple[np.ndarray, np.ndarray]:
+    """(the codes in order, which place each is from); a code is below ``top`` squared."""
+    bits = len(code).bit_length()
+    if 2 * int(top).bit_length() + bits > 62:
+        order = np.argsort(code, kind="stable")
+        return code[order], order
+    # a code and its place in one number: a plain sort is faster than one of places
+    key = code << bits
+    key |= np.arange(len(code))
+    key.sort()
+    return key >> bits, key & (1 << bits) - 1
 
 
 def _disjoint(rank: np.ndarray, touch: np.ndarray) -> np.ndarray:
@@ -241,12 +297,13 @@ def _disjoint(rank: np.ndarray, touch: np.ndarray) -> np.ndarray:
 def repair(ids: np.ndarray, sizes: np.ndarray, base: int, min_count: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Re-Pair grammar of a shard: (rules, expansion lengths, sequence, symbols per document)."""
     # the shard's own symbols: its distinct ids in order, then the rules
-    own, s = np.unique(ids, return_inverse=True)
-    s = s.astype(np.int32)
-    doc = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+    there = np.bincount(ids)
+    own = np.flatnonzero(there)
+    number = np.zeros(len(there), np.int64)
+    number[own] = np.arange(len(own))
+    s = number.take(ids)
     # the live symbols as a linked list that ends with each document
-    after = np.arange(1, len(s) + 1, dtype=np.int32)
-    before = np.arange(-1, len(s) - 1, dtype=np.int32)
+    after, before = np.arange(1, len(s) + 1), np.arange(-1, len(s) - 1)
     alive = np.ones(len(s), bool)
     first = (np.cumsum(sizes) - sizes)[sizes > 0]
     after[first - 1] = -1  # of the document before; the first one's wraps to the last symbol
@@ -256,32 +313,30 @@ def repair(ids: np.ndarray, sizes: np.ndarray, base: int, min_count: int) -> tup
     rules: list[np.ndarray] = []
     top = len(own)
     while len(place):
-        x, y = s[place], s[after[place]]
-        often = (np.bincount(x, minlength=top)[x] >= min_count) & (np.bincount(y, minlength=top)[y] >= min_count)
-        place, code = place[often], x[often].astype(np.int64) * top + y[often]
-        # places of one slot are those of a pair and of what falls on it: too few there are too few of the pair
-        if len(code) > _SLOTS >> 3:
-            slot = code * 0x9E3779B1 >> 7 & _SLOTS - 1
-            often = np.bincount(slot, minlength=_SLOTS)[slot] >= min_count
-            place, code = place[often], code[often]
-        pairs, which, n = _counted(code, top)
-        most = int(n.max(initial=0))
+        code, order = _ordered(s.take(place) * top + s.take(after.take(place)), top)
+        new = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]]))
+        pairs, n = code[new], np.diff(np.append(new, len(code)))
+        most = int(n.max())
         if most < min_count:
             break
         chosen = np.flatnonzero(n >= max(min_count, -(-most // RANGE)))
         by_rank = chosen[np.lexsort((pairs[chosen], -n[chosen]))]
-        rank_of = np.full(len(pairs), -1, np.int64)
+        # of every place its pair's rank; -1: a later round's pair, -2: too rare a pair
+        rank_of = np.where(n < min_count, -2, -1)
         rank_of[by_rank] = np.arange(len(by_rank))
-        stays = n[which] >= min_count
-        place, rank = place[stays], rank_of[which[stays]]
-        hit = place[rank >= 0]
-        rank = rank[rank >= 0]
+        ranks = np.empty(len(code), np.int64)
+        ranks[order] = np.repeat(rank_of, n)
+        now = np.flatnonzero(ranks >= 0)
+        hit, rank = place.take(now), ranks.take(now)
+        place = place[ranks > -2]
         kept = _disjoint(rank, after[hit[:-1]] == hit[1:])
         hit, rank = hit[kept], rank[kept]
-        used, name = np.unique(rank, return_inverse=True)
+        used = np.flatnonzero(np.bincount(rank, minlength=len(by_rank)))
+        name = np.empty(len(by_rank), np.int64)
+        name[used] = top + np.arange(len(used))
         pair = pairs[by_rank[used]]
         rules.append(np.stack([pair // top, pair % top], 1))
-        s[hit] = top + name
+        s[hit] = name.take(rank)
         top += len(used)
         gone = after[hit]
         alive[gone] = False
@@ -289,41 +344,31 @@ def repair(ids: np.ndarray, sizes: np.ndarray, base: int, min_count: int) -> tup
         after[hit] = then
         before[then[then >= 0]] = hit[then >= 0]
         left = before[hit]
-        place = np.concatenate([place, left[left >= 0]])
-        place = np.sort(place[alive[place] & (after[place] >= 0)])
-        place = place[np.concatenate([[True], place[1:] != place[:-1]])] if len(place) else place
-    s, doc = s[alive], doc[alive]
+        look = np.zeros(len(s), bool)
+        look[place] = look[left[left >= 0]] = True
+        look[gone] = look[hit[then < 0]] = False
+        place = np.flatnonzero(look)
     table = np.concatenate(rules) if rules else np.zeros((0, 2), np.int64)
-    name_of = np.concatenate([own.astype(np.int64), base + np.arange(len(table))])
+    name_of = np.concatenate([own, base + np.arange(len(table))])
     length = np.ones(top, np.int64)
     done = len(own)
     for block in rules:  # a rule only names symbols of earlier rounds
         length[done:done + len(block)] = length[block].sum(1)
         done += len(block)
-    return name_of[table], length[len(own):], name_of[s], np.bincount(doc, minlength=len(sizes))
+    left, end = np.concatenate([[0], np.cumsum(alive)]), np.cumsum(sizes)
+    return name_of[table], length[len(own):], name_of[s[alive]], left[end] - left[end - sizes]
 
 
 def expand(sequence: np.ndarray, rules: np.ndarray, lengths: np.ndarray, base: int) -> np.ndarray:
     """The ids that symbols stand for."""
     sequence, rules = sequence.astype(np.int64), rules.astype(np.int64).reshape(-1, 2)
-    flat, start = _rule_ids(rules, lengths.astype(np.int64), base)
-    is_rule = sequence >= base
-    size = np.ones(len(sequence), np.int64)
-    size[is_rule] = lengths[sequence[is_rule] - base]
-    end = np.cumsum(size)
-    out = np.zeros(int(end[-1]) if len(end) else 0, np.int64)
-    out[(end - size)[~is_rule]] = sequence[~is_rule]
-    r = sequence[is_rule] - base
-    n = size[is_rule]
-    shift = np.repeat(start[r] - (np.cumsum(n) - n), n)
-    place = np.repeat((end - size)[is_rule] - (np.cumsum(n) - n), n)
-    k = np.arange(int(n.sum()))
-    out[place + k] = flat[shift + k]
-    return out
-
-
-def _rule_ids(rules: np.ndarray, lengths: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray]:
-    """Expansions of all rules, one after the other: (ids, start of each)."""
+    lengths = lengths.astype(np.int64)
+    return _picked(np.concatenate([np.arange(base), _rule_ids(rules, lengths, base)]),
+                   np.concatenate([np.ones(base, np.int64), lengths]), sequence)
+
+
+def _rule_ids(rules: np.ndarray, lengths: np.ndarray, base: int) -> np.ndarray:
+    """Expansions of all rules, one after the other."""
     end = np.cumsum(lengths)
     start = end - lengths
     # symbol and place of every rule's two halves; halves that are rules are opened level by level
@@ -337,7 +382,7 @@ def _rule_ids(rules: np.ndarray, lengths: np.ndarray, base: int) -> tuple[np.nda
         r, at = sym[~plain] - base, place[~plain]
         sym = rules[r].ravel()
         place = np.stack([at, at + left[r]], 1).ravel()
-    return flat, start
+    return flat
 
 
 def sequence_of(shard: dict) -> np.ndarray:
@@ -383,14 +428,15 @@ def _write(batches, path: str, end: int, base: int, shard_ids: int, min_count: i
         start, number, held, size = start + len(ids), number + 1, [], 0
         return pa.RecordBatch.from_pylist([dict(zip(_SHARD.names, row))], schema=_SHARD)
 
-    for cols in _texts(batches):
-        ids, sizes = encoder.encode([t or "" for t in cols["text"]], end)
+    for block in text_blocks(batches, CHUNK):
+        doc_ids = block.column(block.schema.names.index("doc_id")).to_pylist()
+        ids, sizes = encoder.encode(block.column(block.schema.names.index("text")), end)
         at = np.concatenate([[0], np.cumsum(sizes)])
         lo = 0
         while lo < len(sizes):
             hi = int(np.searchsorted(at, at[lo] + shard_ids - size, side="left"))
             hi = min(max(hi, lo + 1), len(sizes))
-            held.append((cols["doc_id"][lo:hi], ids[at[lo]:at[hi]], sizes[lo:hi]))
+            held.append((doc_ids[lo:hi], ids[at[lo]:at[hi]], sizes[lo:hi]))
             size += int(at[hi] - at[lo])
             if size >= shard_ids:
                 yield flush()
@@ -404,11 +450,6 @@ _SHARD = pa.schema([("part", pa.int32()), ("shard", pa.int32()), ("start", pa.in
                     ("rules", pa.binary()), ("lengths", pa.binary()), ("low", pa.binary()), ("high", pa.binary()), ("n_ids", pa.int64())])
 
 
-def _texts(batches) -> Iterator[dict[str, list]]:
-    from wattlake.llm.textvec import chunks
-    return chunks(batches, "text", CHUNK)
-
-
 def _digest(batches) -> Iterator[pa.RecordBatch]:
     """Per document of the read shards: doc_id, start, n_tokens, ids_crc32."""
     for batch in batches:
