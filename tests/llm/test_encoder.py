@@ -3,9 +3,11 @@
 import itertools
 import random
 
+import pyarrow as pa
+import pytest
 from tokenizers import Tokenizer
 
-from wattlake.llm import token_repair
+from wattlake.llm import packing, token_repair
 from wattlake.llm.queries import tokenizer_file
 
 
@@ -31,3 +33,13 @@ def test_odd_texts_equal_the_library():
         want = [tok.encode(t or "", add_special_tokens=False).ids + [2] for t in texts]
         ids, sizes = encoder.encode(texts, 2)
         assert ids.tolist() == [i for w in want for i in w] and sizes.tolist() == list(map(len, want))
+
+
+@pytest.mark.parametrize("rows", [1, 400])
+def test_packing_uses_the_workers_one_encoder(rows, monkeypatch):
+    monkeypatch.setattr(packing.ex, "pid", lambda: 0)
+    monkeypatch.setattr(token_repair, "_ENCODERS", {})
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array(range(rows), pa.int64()), "text": [f"some text {i}" for i in range(rows)]})
+    out = list(packing._pieces([batch], tokenizer_file(), 1, 2048))
+    assert sum(b.num_rows for b in out) == rows
+    assert list(token_repair._ENCODERS) == [tokenizer_file()]

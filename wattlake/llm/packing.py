@@ -42,13 +42,9 @@ from pyspark.sql import functions as F
 
 from wattlake.llm import exchange as ex
 from wattlake.llm import store as st
-from wattlake.llm.textvec import chunks
-from wattlake.llm.token_repair import Encoder
+from wattlake.llm.token_repair import CHUNK, text_blocks, worker_encoder
 
-CHUNK = 2 << 20
 ROOM = 2048
-#: Words whose ids a worker process keeps between tasks (about 250 bytes each).
-HELD = 1_200_000
 #: Cost of a sequence besides its padded length, in ids.
 EXTRA = 16
 PIECE_SCHEMA = "doc_id long, start long, length long, doc_tokens long, ids binary, pid int, rank long"
@@ -71,22 +67,12 @@ def ranks(values: np.ndarray, seen: np.ndarray) -> np.ndarray:
     return out
 
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
-def _encoder(tokenizer: str) -> Encoder:
-    """The worker process's encoder: the words it has met in earlier tasks are known (at most HELD of them)."""
-    if tokenizer not in _ENCODERS:
-        _ENCODERS.clear()
-        _ENCODERS[tokenizer] = Encoder(tokenizer, HELD)
-    return _ENCODERS[tokenizer]
-
-
 def _pieces(batches, tokenizer: str, end: int, room: int) -> Iterator[pa.RecordBatch]:
     """The pieces of a partition's documents, with their ids as little-endian uint32."""
-    pid, encoder, seen = ex.pid(), _encoder(tokenizer), np.zeros(room + 1, np.int64)
-    for cols in chunks(batches, "text", CHUNK):
-        ids, sizes = encoder.encode([t or "" for t in cols["text"]], end)
+    pid, encoder, seen = ex.pid(), worker_encoder(tokenizer), np.zeros(room + 1, np.int64)
+    for block in text_blocks(batches, CHUNK):
+        doc_id, text = (block.column(block.schema.names.index(n)) for n in ("doc_id", "text"))
+        ids, sizes = encoder.encode(text, end)
         n = -(-sizes // room)
         doc = np.repeat(np.arange(len(sizes)), n)
         start = (np.arange(len(doc)) - np.repeat(np.cumsum(n) - n, n)) * room
@@ -98,7 +84,7 @@ def _pieces(batches, tokenizer: str, end: int, room: int) -> Iterator[pa.RecordB
             data = ids[first:first + int(cut[-1])].astype("<u4")
             blob = pa.Array.from_buffers(pa.binary(), len(cut) - 1, [None, pa.py_buffer((cut * 4).astype(np.int32)), pa.py_buffer(data)])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(cols["doc_id"], pa.int64()).take(pa.array(doc[part])), pa.array(start[part]), pa.array(length[part]),
+                [doc_id.take(pa.array(doc[part])), pa.array(start[part]), pa.array(length[part]),
                  pa.array(sizes[doc[part]]), blob, pa.array(np.full(len(cut) - 1, pid, np.int32)),
                  pa.array(ranks(length[part], seen))], schema=_PIECE)
 
