@@ -7,6 +7,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import NamedTuple
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -100,12 +101,17 @@ def training_frame(meter: DataFrame, weather_done: DataFrame, building: DataFram
     return fr.withColumn("meter_reading", F.log1p("meter_reading"))
 
 
-def fit_models(train: DataFrame, profile: str = "a", by: str = "meter", val: DataFrame | None = None):
-    """Encoders fitted on ``train`` per meter type (one read), then one boosted model
+def fit_encoding(train: DataFrame, by: str = "meter") -> PipelineModel:
+    """Encoders fitted on ``train`` per meter type (one read)."""
+    return stages.FeatureEncoder(catCols=CAT_FEATURES, numCols=NUM_FEATURES, by=[by], target="meter_reading").fit(train)
+
+
+def fit_models(train: DataFrame, profile: str = "a", by: str = "meter", val: DataFrame | None = None,
+               encoding: PipelineModel | None = None):
+    """Encoders fitted on ``train`` (unless given), then one boosted model
     per meter, on the encoded rows written once in a directory per meter.  With ``val``, its rows ride along flagged in ``is_val`` and
-    the booster stops early on them (``validationIndicatorCol``)."""
-    encoding = stages.FeatureEncoder(catCols=CAT_FEATURES, numCols=NUM_FEATURES, by=[by],
-                                     target="meter_reading").fit(train)
+    the booster stops once its patience with them is over."""
+    encoding = encoding or fit_encoding(train, by)
     rows = train.withColumn("is_val", F.lit(False))
     if val is not None:
         rows = rows.unionByName(val.withColumn("is_val", F.lit(True)))

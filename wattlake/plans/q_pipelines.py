@@ -135,21 +135,27 @@ def mean_area(spark, sf):
     return model_frame(spark, sf).groupBy("meter").agg(F.avg("square_feet").alias("__mean_square_feet"))
 
 
+def encoding(spark, sf):
+    """Encoders of the training rows, whatever models are fitted on them."""
+    key = ("encoding", spark.sparkContext.applicationId, sf)
+    if key not in _CACHE:
+        _CACHE[key] = pl.fit_encoding(model_frame(spark, sf).where(F.col("split") == "train"))
+    return _CACHE[key]
+
+
 def fitted(spark, sf, profile="a"):
     key = ("models", spark.sparkContext.applicationId, sf, profile)
     if key not in _CACHE:
         fr = model_frame(spark, sf)
         _CACHE[key] = pl.fit_models(fr.where(F.col("split") == "train"), profile,
-                                    val=fr.where(F.col("split") == "val"))
+                                    val=fr.where(F.col("split") == "val"), encoding=encoding(spark, sf))
     return _CACHE[key]
 
 
 def _encoded(spark, sf):
-    fr = model_frame(spark, sf)
     key = ("encoded", spark.sparkContext.applicationId, sf)
     if key not in _CACHE:
-        encoding, _, _ = fitted(spark, sf, "a")
-        _CACHE[key] = written_once(encoding.transform(fr), "model-encoded")
+        _CACHE[key] = written_once(encoding(spark, sf).transform(model_frame(spark, sf)), "model-encoded")
     return _CACHE[key]
 
 
