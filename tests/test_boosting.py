@@ -131,3 +131,39 @@ def test_a_torn_state_file_counts_as_none(tmp_path):
         raw = bytearray(path.read_bytes())
         raw[40] ^= 1
         path.write_bytes(raw)
+
+
+def test_search_scores_each_trial_at_its_best_round(rows):
+    space = {"stepSize": ("choice", [0.05]), "maxDepth": ("int", 2, 4), "subsamplingRate": ("uniform", 0.5, 1.0)}
+    got = ml.random_search(rows.where("not held"), rows.where("held"), FEATS, "y", space, n_trials=3, max_iter=60, patience=5).collect()
+    assert sorted(r["rank"] for r in got) == [1, 2, 3]
+    assert [r.msle for r in sorted(got, key=lambda r: r["rank"])] == sorted(r.msle for r in got)
+    params = ml.sample_params(space, 3)
+    data = boosting.prepare(rows, FEATS, "y", "held")
+    grown = boosting.boost(data, [boosting.setting(3, maxIter=60, patience=5, **p) for p in params])
+    for r in got:
+        b = grown[r.trial]
+        assert len(b.trees) > 20  # the budget before
+        model = boosting.spark_model(rows.sparkSession, b, data.splits, ml.FEATURES_COL, "y")
+        pred = model.transform(ml.assembler(FEATS).transform(rows.where("held")))
+        assert abs(ml.rmsle(pred, "y", "prediction", scale="log").first()["msle"] - r.msle) < 1e-5
+
+
+def test_registered_search_runs_its_whole_budget(spark, monkeypatch):
+    from conftest import SF_SMALL
+    from wattlake.plans import q_pipelines as q
+    seen = []
+
+    def watched(data, settings, keep=True, boost=boosting.boost):
+        seen.extend(settings)
+        return boost(data, settings, keep)
+    monkeypatch.setattr(boosting, "boost", watched)
+    monkeypatch.setattr(q, "fitted", None)  # the search needs the encoders, not the models
+    out = q.q_random_search(spark, SF_SMALL).collect()
+    assert len(seen) == len(out) == 50
+    assert {(s.rounds, s.patience) for s in seen} == {(5_000, 10)}
+
+
+def test_search_without_validation_rows_is_an_error(rows):
+    with pytest.raises(ValueError, match="validation"):
+        ml.random_search(rows, rows.limit(0), FEATS, "y", n_trials=1)
